@@ -155,7 +155,7 @@ def try_timestamp(col: ColumnOrName) -> Column:
 
 def bar_date_iso(col: ColumnOrName) -> Column:
     """FN-11: ``MM/dd/yyyy`` → ``yyyy-MM-ddT00:00:00+00:00``; unparsable → NULL."""
-    day = F.try_to_date(_c(col), F.lit("M/d/yyyy"))
+    day = F.try_to_date(_c(col), "M/d/yyyy")
     return F.when(day.isNotNull(), F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00+00:00")))
 
 

@@ -87,3 +87,70 @@ def tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name"), F.lit("."), F.lower(F.col("c_mktsegment")), F.lit("@Example.com")
     )
     return c.select(F.col("c_custkey").alias("tenant_id"), target.alias("bundle_target"), principal.alias("principal"))
+
+
+def stock_bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock-side events as vendor daily-bar rows (text fields as the vendor sends them).
+
+    One row per event: symbol ``STK<user_id>``, ``MM/dd/yyyy`` date (blank on a
+    deterministic id rule, to exercise the truthiness filter), ``$``-and-comma
+    close, comma-grouped volume (``k * 1000``).
+    """
+    ev = load(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view", "signup"))
+    return ev.select(
+        F.concat(F.lit("STK"), F.col("user_id").cast("string")).alias("symbol"),
+        F.col("user_id"),
+        F.col("event_id"),
+        F.col("ts"),
+        F.to_date("ts").alias("day"),
+        F.when(F.col("event_id") % 7 == 0, F.lit("")).otherwise(F.date_format("ts", "MM/dd/yyyy")).alias("date"),
+        F.concat(F.lit("$"), F.format_number("value", 2)).alias("close"),
+        F.format_number(_props_k().cast("bigint") * 1000, 0).alias("volume"),
+    )
+
+
+def bars_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One vendor payload per stock symbol: its newest bars inside the request window.
+
+    The window (45 days back from the newest day, at most 5 bars) is the
+    vendor request's own parameters, so every payload holds at most 5 rows.
+    Symbols whose user id is a multiple of 37 answer with a non-200 status.
+    """
+    from tidemark.sources.feeds import lookback_window
+
+    rows = stock_bar_rows(spark, sf_dir)
+    asof = rows.select(F.max("day")).scalar()
+    window = lookback_window(rows, asof, order=(F.col("ts").desc(), F.col("event_id").desc()))
+    grouped = window.groupBy("symbol", "user_id").agg(
+        F.sort_array(F.collect_list(F.struct("bar_rank", F.struct("date", "close", "volume").alias("r")))).alias("bars")
+    )
+    code = F.when(F.col("user_id") % 37 == 0, F.lit(404)).otherwise(F.lit(200))
+    payload = F.to_json(
+        F.struct(
+            F.struct(code.alias("rCode")).alias("status"),
+            F.struct(F.struct(F.transform("bars", lambda b: b["r"]).alias("rows")).alias("tradesTable")).alias("data"),
+        )
+    )
+    return grouped.select("symbol", payload.alias("payload"))
+
+
+def ticker_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ticker payload per purchase event: ``{"price", "volume", "time"}`` texts.
+
+    Product ids cycle through the three known products plus one unknown
+    (``DOGE-USD``); every 11th event omits its price.
+    """
+    ev = load(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    m = F.col("user_id") % 4
+    product = (
+        F.when(m == 0, "BTC-USD").when(m == 1, "ETH-USD").when(m == 2, "SOL-USD").otherwise("DOGE-USD")
+    )
+    price = F.when(F.col("event_id") % 11 != 0, F.col("value").cast("string"))
+    payload = F.to_json(
+        F.struct(
+            price.alias("price"),
+            _props_k().alias("volume"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time"),
+        )
+    )
+    return ev.select("event_id", product.alias("product_id"), payload.alias("payload"))
