@@ -1 +1,120 @@
-"""Queries (filled in below)."""
+"""Dashboard queries (SRT-1..3, AGG-8, AGG-9, SNK-4, PIP-4)."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from tidemark.plans import dashboard, market
+from tidemark.registry import query
+from tidemark.registry.market_queries import bronze
+from tidemark.registry.sql import BRONZE, LATEST, MARKET_CHAIN, RAW_FEED, SUMMARY, TOPK, with_ctes
+from tidemark.sinks.writers import market_table_names
+
+BRONZE_SQL = """SELECT source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id, source_file
+FROM bronze ORDER BY ingestion_time DESC, event_time DESC, source, asset_type, symbol, price, volume, batch_id,
+         source_file LIMIT 10"""
+
+SUMMARY10_SQL = """SELECT symbol, asset_type, latest_price, volume, high, low, last_updated
+FROM summary ORDER BY asset_type, symbol LIMIT 10"""
+
+
+def _top_sql(asset_type: str) -> str:
+    return (
+        "SELECT rank, symbol, price, volume, transaction_value, event_time FROM topk "
+        f"WHERE asset_type = '{asset_type}' ORDER BY rank LIMIT 5"
+    )
+
+
+def _gold(spark, sf_dir):
+    b = bronze(spark, sf_dir)
+    s = market.silver(b)
+    return b, s
+
+
+@query("dash_bronze_latest10", with_ctes(RAW_FEED, BRONZE, select=BRONZE_SQL))
+def dash_bronze_latest10(spark, sf_dir):
+    """SRT-1: newest 10 bronze rows by text order (two DESC keys; TakeOrderedAndProject)."""
+    return dashboard.bronze_latest(bronze(spark, sf_dir))
+
+
+@query("dash_summary10", with_ctes(*MARKET_CHAIN, LATEST, SUMMARY, select=SUMMARY10_SQL))
+def dash_summary10(spark, sf_dir):
+    """SRT-2: first 10 summary rows by asset type, symbol."""
+    _, s = _gold(spark, sf_dir)
+    return dashboard.summary_extract(market.gold_summary(s))
+
+
+@query("dash_top_stock5", with_ctes(*MARKET_CHAIN, TOPK, select=_top_sql("stock")))
+def dash_top_stock5(spark, sf_dir):
+    """SRT-3: stock top-5 by rank."""
+    _, s = _gold(spark, sf_dir)
+    return dashboard.top_extract(market.top_for_type(s, "stock"))
+
+
+@query("dash_top_crypto5", with_ctes(*MARKET_CHAIN, TOPK, select=_top_sql("crypto")))
+def dash_top_crypto5(spark, sf_dir):
+    """SRT-3: crypto top-5 by rank."""
+    _, s = _gold(spark, sf_dir)
+    return dashboard.top_extract(market.top_for_type(s, "crypto"))
+
+
+TILES_SQL = with_ctes(
+    *MARKET_CHAIN,
+    LATEST,
+    SUMMARY,
+    f"s10 AS ({SUMMARY10_SQL})",
+    f"b10 AS ({BRONZE_SQL})",
+    select="SELECT CAST(count(*) AS BIGINT) AS asset_count, "
+    "CAST(count_if(asset_type = 'stock') AS BIGINT) AS stock_count, "
+    "CAST(count_if(asset_type = 'crypto') AS BIGINT) AS crypto_count, "
+    "(SELECT CAST(count(*) AS BIGINT) FROM b10) AS batch_count FROM s10",
+)
+
+
+@query("agg_dashboard_tiles", TILES_SQL)
+def agg_dashboard_tiles(spark, sf_dir):
+    """AGG-8: header tiles counted over the exported extracts."""
+    b, s = _gold(spark, sf_dir)
+    return dashboard.tiles(dashboard.summary_extract(market.gold_summary(s)), dashboard.bronze_latest(b))
+
+
+@query("agg_collect_rows")
+def agg_collect_rows(spark, sf_dir):
+    """AGG-9: each top-k extract as one ordered array of text-valued structs."""
+    _, s = _gold(spark, sf_dir)
+    parts = []
+    for t in ("stock", "crypto"):
+        rows = dashboard.ordered_rows(dashboard.top_extract(market.top_for_type(s, t)), [F.col("rank")])
+        parts.append(rows.select(F.lit(t).alias("asset_type"), F.size("rows").alias("n"), F.to_json("rows").alias("rows")))
+    return parts[0].unionByName(parts[1])
+
+
+GENERATED_AT = "2026-07-12T16:02:56.298156+00:00"
+
+
+def dashboard_document(spark, sf_dir, bundle_target: str = "dev", principal: str = "analyst@example.com"):
+    b, s = _gold(spark, sf_dir)
+    tables = {k: v for k, v in market_table_names(bundle_target, principal).items() if k != "silver"}
+    return dashboard.document(
+        spark,
+        b,
+        market.gold_summary(s),
+        market.top_for_type(s, "stock"),
+        market.top_for_type(s, "crypto"),
+        bundle_target=bundle_target,
+        principal=principal,
+        tables=tables,
+        generated_at=GENERATED_AT,
+    )
+
+
+@query("snk_dashboard_json")
+def snk_dashboard_json(spark, sf_dir):
+    """SNK-4 / PIP-4: the whole nested dashboard document as one JSON text row."""
+    return dashboard_document(spark, sf_dir)
+
+
+def parse_document(text: str) -> dict:
+    return json.loads(text)

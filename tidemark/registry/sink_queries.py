@@ -1 +1,82 @@
-"""Queries (filled in below)."""
+"""Sink round-trip queries (SNK-1, SNK-2, SNK-3, SNK-5)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tidemark.plans import market
+from tidemark.registry import query
+from tidemark.registry.feed_queries import FEED_BUILD_SQL, build_feed
+from tidemark.registry.market_queries import silver
+from tidemark.registry.sql import LATEST, MARKET_CHAIN, SUMMARY, TOPK, with_ctes
+from tidemark.schemas import MARKET_FIELDS, MARKET_SCHEMA
+from tidemark.session import staging_path
+from tidemark.sinks import writers
+from tidemark.sources import files
+
+
+def _name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+@query("snk_overwrite_roundtrip", with_ctes(*MARKET_CHAIN, LATEST, SUMMARY, select="SELECT * FROM summary"))
+def snk_overwrite_roundtrip(spark, sf_dir):
+    """SNK-1: a table overwritten with a different schema (silver → gold summary), then read."""
+    s = silver(spark, sf_dir)
+    name = _name("gold_market_summary")
+    path = staging_path(spark, name)
+    writers.overwrite_table(s.select(*MARKET_FIELDS), name, path)
+    writers.overwrite_table(market.gold_summary(s), name, path)
+    return spark.table(name)
+
+
+@query(
+    "snk_split_by_type",
+    with_ctes(
+        *MARKET_CHAIN,
+        TOPK,
+        select="SELECT CASE asset_type WHEN 'stock' THEN 'gold_top_stock_transactions' "
+        "ELSE 'gold_top_crypto_transactions' END AS target, * FROM topk",
+    ),
+)
+def snk_split_by_type(spark, sf_dir):
+    """SNK-2: one top-k result split into a stock table and a crypto table."""
+    top = market.top_transactions(silver(spark, sf_dir))
+    names = {"stock": _name("gold_top_stock_transactions"), "crypto": _name("gold_top_crypto_transactions")}
+    paths = {k: staging_path(spark, v) for k, v in names.items()}
+    writers.split_by_value(top, "asset_type", names, paths)
+    stock = spark.table(names["stock"]).select(F.lit("gold_top_stock_transactions").alias("target"), "*")
+    crypto = spark.table(names["crypto"]).select(F.lit("gold_top_crypto_transactions").alias("target"), "*")
+    return stock.unionByName(crypto)
+
+
+@query("snk_jsonl_roundtrip", FEED_BUILD_SQL)
+def snk_jsonl_roundtrip(spark, sf_dir):
+    """SNK-3: the normalised feed batch written as sorted-key JSON lines and read back."""
+    path = staging_path(spark, "feed_jsonl")
+    writers.write_jsonl(build_feed(spark, sf_dir), path)
+    return files.read_jsonl(spark, path, MARKET_SCHEMA)
+
+
+@query(
+    "snk_drop_tables",
+    with_ctes(
+        *MARKET_CHAIN,
+        select="SELECT 'dropped' AS state, CAST(count(*) AS BIGINT) AS silver_rows FROM silver",
+    ),
+)
+def snk_drop_tables(spark, sf_dir):
+    """SNK-5: tables are created, dropped if present (twice: idempotent), and gone afterwards."""
+    s = silver(spark, sf_dir)
+    names = [_name(p) for p in ("silver_market_ticks", "gold_market_summary")]
+    writers.overwrite_table(s.select(*MARKET_FIELDS), names[0], staging_path(spark, names[0]))
+    writers.overwrite_table(market.gold_summary(s), names[1], staging_path(spark, names[1]))
+    rows = spark.table(names[0]).agg(F.count(F.lit(1)).alias("silver_rows"))
+    counted = rows.collect()[0]["silver_rows"]
+    writers.drop_tables(spark, names)
+    writers.drop_tables(spark, names)
+    left = [n for n in names if spark.catalog.tableExists(n)]
+    state = "dropped" if not left else "left:" + ",".join(left)
+    return spark.range(1).select(F.lit(state).alias("state"), F.lit(counted).cast("bigint").alias("silver_rows"))
