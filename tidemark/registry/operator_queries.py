@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import ALLOWED_ASSET_TYPES, ALLOWED_SOURCES, VALUE_TOLERANCE
 from tidemark.functions import positive_finite
 from tidemark.operators import quality as qa
+from tidemark.operators.lineage import materialize
 from tidemark.plans import market
 from tidemark.registry import query
 from tidemark.registry.market_queries import bronze, silver
@@ -158,7 +159,7 @@ UNION ALL SELECT 'gold_top_crypto', count(*) FROM topk WHERE asset_type = 'crypt
 def agg_layer_counts(spark, sf_dir):
     """AGG-4: global row count of every layer, one row per layer."""
     b = bronze(spark, sf_dir)
-    s = market.silver(b)
+    s = materialize(market.silver(b))
     layers = {
         "bronze": b,
         "silver": s,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as qa
+from tidemark.operators.lineage import materialize
 from tidemark.plans import feed, market, market_checks, orders
 from tidemark.registry import query
 from tidemark.registry.market_queries import bronze
@@ -25,8 +26,9 @@ from tidemark.schemas import (
 
 
 def _layers(spark, sf_dir):
+    """Bronze (lazy) and silver computed once (its dedup shuffle feeds several checks)."""
     b = bronze(spark, sf_dir)
-    s = market.silver(b)
+    s = materialize(market.silver(b))
     return b, s
 
 
