@@ -42,6 +42,19 @@ def bronze_latest(bronze: DataFrame, n: int = DASH_BRONZE_LIMIT) -> DataFrame:
     return bronze.select(*BRONZE_COLS).orderBy(*bronze_order()).limit(n)
 
 
+def bronze_latest_typed(bronze: DataFrame, n: int = DASH_BRONZE_LIMIT) -> DataFrame:
+    """SRT-1, typed variant: the same extract ordered by the parsed instants.
+
+    Text order treats ``...Z`` and ``...+00:00`` forms as unrelated strings;
+    parsing first compares them as instants (rows that do not parse sort last).
+    """
+    order = [
+        F.try_to_timestamp("ingestion_time").desc_nulls_last(),
+        F.try_to_timestamp("event_time").desc_nulls_last(),
+    ] + [F.col(c).asc() for c in BRONZE_COLS]
+    return bronze.select(*BRONZE_COLS).orderBy(*order).limit(n)
+
+
 def summary_extract(summary: DataFrame, n: int = DASH_SUMMARY_LIMIT) -> DataFrame:
     """SRT-2: gold summary ordered by asset type, symbol."""
     return summary.select(*SUMMARY_COLS).orderBy("asset_type", "symbol").limit(n)

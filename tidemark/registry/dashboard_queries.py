@@ -39,6 +39,17 @@ def dash_bronze_latest10(spark, sf_dir):
     return dashboard.bronze_latest(bronze(spark, sf_dir))
 
 
+BRONZE_TYPED_SQL = """SELECT source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id, source_file
+FROM bronze ORDER BY TRY_CAST(ingestion_time AS TIMESTAMP) DESC NULLS LAST, TRY_CAST(event_time AS TIMESTAMP) DESC NULLS LAST,
+         source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id, source_file LIMIT 10"""
+
+
+@query("dash_bronze_latest10_typed", with_ctes(RAW_FEED, BRONZE, select=BRONZE_TYPED_SQL))
+def dash_bronze_latest10_typed(spark, sf_dir):
+    """SRT-1 (typed variant): newest 10 bronze rows by parsed instants instead of text."""
+    return dashboard.bronze_latest_typed(bronze(spark, sf_dir))
+
+
 @query("dash_summary10", with_ctes(*MARKET_CHAIN, LATEST, SUMMARY, select=SUMMARY10_SQL))
 def dash_summary10(spark, sf_dir):
     """SRT-2: first 10 summary rows by asset type, symbol."""
