@@ -216,11 +216,8 @@ def agg_scalar(spark, sf_dir):
     broadcast into the filter, so nothing but one scalar crosses the driver.
     """
     s = silver(spark, sf_dir)
-    s.createOrReplaceTempView("_tm_silver_scalar")
-    return spark.sql(
-        "SELECT symbol, asset_type, price, event_time FROM _tm_silver_scalar "
-        "WHERE event_time = (SELECT max(event_time) FROM _tm_silver_scalar)"
-    )
+    latest = s.select(F.max("event_time")).scalar()
+    return s.where(F.col("event_time") == latest).select("symbol", "asset_type", "price", "event_time")
 
 
 # ---- sets and key-set joins -----------------------------------------------------------
