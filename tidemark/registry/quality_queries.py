@@ -43,7 +43,32 @@ def _union(*sql: str) -> str:
     return "\nUNION ALL\n".join(sql)
 
 
-@query("qa_schema_contract")
+def _contract_row(table: str, source: str) -> str:
+    return (
+        f"SELECT '{table}' AS \"table\", '' AS missing, '' AS unexpected, true AS passed, "
+        f"CAST(count(*) AS BIGINT) AS rows FROM {source}"
+    )
+
+
+SCHEMA_SQL = with_ctes(
+    *MARKET_CHAIN,
+    LATEST,
+    SUMMARY,
+    TOPK,
+    *ORDER_CTES,
+    select=_union(
+        _contract_row("bronze_market_events", "bronze"),
+        _contract_row("silver_market_ticks", "silver"),
+        _contract_row("gold_market_summary", "summary"),
+        _contract_row("gold_top_stock_transactions", "(SELECT * FROM topk WHERE asset_type = 'stock')"),
+        _contract_row("gold_top_crypto_transactions", "(SELECT * FROM topk WHERE asset_type = 'crypto')"),
+        _contract_row("proof_bronze_orders", "bronze_orders"),
+        _contract_row("proof_silver_orders", "silver_orders"),
+    ),
+)
+
+
+@query("qa_schema_contract", SCHEMA_SQL)
 def qa_schema_contract(spark, sf_dir):
     """QA-1: every layer's column set against its contract, with the layer's row count.
 
@@ -311,14 +336,69 @@ def qa_key_set_equal(spark, sf_dir):
     return qa.key_set_equal(bo.where("status = 'complete'"), orders.silver(bo), ["order_id"], "proof_silver_orders")
 
 
-@query("orders_validation")
+ORDERS_VALIDATION_SQL = with_ctes(
+    *ORDER_CTES,
+    select=_union(
+        _check_sql("bronze_orders", "null_required",
+                   "SELECT count_if(order_id IS NULL OR customer IS NULL OR status IS NULL OR amount IS NULL) FROM bronze_orders"),
+        _check_sql("bronze_orders", "non_positive_amount", "SELECT count_if(amount <= 0) FROM bronze_orders"),
+        _check_sql("silver_orders", "non_positive_amount", "SELECT count_if(amount <= 0) FROM silver_orders"),
+        _check_sql("silver_orders", "bucket_rule",
+                   "SELECT count_if((amount >= 50 AND amount_bucket != 'high') OR (amount < 50 AND amount_bucket != 'standard')) "
+                   "FROM silver_orders"),
+        _check_sql("bronze_orders", "unique_order_id",
+                   "SELECT count(*) FROM (SELECT 1 FROM bronze_orders GROUP BY order_id HAVING count(*) > 1)"),
+        _check_sql("silver_orders", "non_complete_status",
+                   "SELECT count(*) FROM bronze_orders b JOIN silver_orders s USING (order_id) WHERE status != 'complete'"),
+        _check_sql("silver_orders", "key_set_equal",
+                   "SELECT count(*) FROM ((SELECT order_id FROM bronze_orders WHERE status = 'complete' "
+                   "EXCEPT SELECT order_id FROM silver_orders) UNION ALL (SELECT order_id FROM silver_orders "
+                   "EXCEPT SELECT order_id FROM bronze_orders WHERE status = 'complete'))"),
+    ),
+)
+
+
+@query("orders_validation", ORDERS_VALIDATION_SQL)
 def orders_validation(spark, sf_dir):
     """PIP-5 (orders): the whole orders suite as rows."""
     bo = bronze_orders(spark, sf_dir)
     return orders.validation(bo, orders.silver(bo))
 
 
-@query("market_validation")
+def _non_empty_sql(table: str, source: str) -> str:
+    return (
+        f"SELECT '{table}' AS \"table\", 'non_empty' AS \"check\", CAST(greatest(1 - count(*), 0) AS BIGINT) AS violations, "
+        f"count(*) >= 1 AS passed FROM {source}"
+    )
+
+
+MARKET_VALIDATION_SQL = with_ctes(
+    *MARKET_CHAIN,
+    LATEST,
+    SUMMARY,
+    TOPK,
+    select=_union(
+        _non_empty_sql("bronze_market_events", "bronze"),
+        _non_empty_sql("silver_market_ticks", "silver"),
+        _non_empty_sql("gold_market_summary", "summary"),
+        _check_sql("silver_market_ticks", "null_required",
+                   "SELECT count_if(source IS NULL OR asset_type IS NULL OR symbol IS NULL OR price IS NULL OR volume IS NULL "
+                   "OR event_time IS NULL OR ingestion_time IS NULL OR batch_id IS NULL) FROM silver"),
+        _check_sql("silver_market_ticks", "invalid_source", "SELECT count_if(source NOT IN ('nasdaq','coinbase')) FROM silver"),
+        _check_sql("silver_market_ticks", "invalid_asset_type", "SELECT count_if(asset_type NOT IN ('stock','crypto')) FROM silver"),
+        _check_sql("silver_market_ticks", "invalid_numeric", "SELECT count_if(price <= 0 OR volume <= 0) FROM silver"),
+        _check_sql("silver_market_ticks", "unique_batch_id_symbol_event_time",
+                   "SELECT count(*) FROM (SELECT 1 FROM silver GROUP BY batch_id, symbol, event_time HAVING count(*) > 1)"),
+        _check_sql("gold_market_summary", "invalid_rows",
+                   "SELECT count_if(symbol IS NULL OR asset_type IS NULL OR latest_price IS NULL OR volume IS NULL "
+                   "OR last_updated IS NULL OR latest_price <= 0 OR volume <= 0) FROM summary"),
+        *_topk_sql("stock", "gold_top_stock_transactions"),
+        *_topk_sql("crypto", "gold_top_crypto_transactions"),
+    ),
+)
+
+
+@query("market_validation", MARKET_VALIDATION_SQL)
 def market_validation(spark, sf_dir):
     """PIP-5 (market): the whole market suite as rows."""
     b, s = _layers(spark, sf_dir)
