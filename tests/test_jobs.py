@@ -26,6 +26,17 @@ def test_market_jobs_end_to_end(spark, tmp_path):
     assert doc["gold"]["top_stock_transactions"][0]["rank"] == "1"
     assert doc["gold"]["latest_summary"][0]["last_updated"] == "2026-07-12T15:58:21.998Z"
     assert len(doc["bronze"]["latest_records"]) == 8
+    # every value is text, rendered as the committed export renders it
+    top = doc["gold"]["top_stock_transactions"][0]
+    assert (top["price"], top["volume"], top["transaction_value"]) == ("210.96", "1.48421E8", "3.131089416E10")
+    aapl = [r for r in doc["gold"]["latest_summary"] if r["symbol"] == "AAPL"][0]
+    assert (aapl["volume"], aapl["high"], aapl["last_updated"]) == ("3.413232E7", "315.32", "2026-07-10T00:00:00.000Z")
+    assert [r["symbol"] for r in doc["gold"]["latest_summary"]][:3] == ["BTCUSD", "ETHUSD", "SOLUSD"]
+    assert doc["bronze"]["latest_records"][0]["event_time"] == "2026-07-12T15:58:21.998137659Z"
+    btc = doc["gold"]["top_crypto_transactions"][0]
+    assert btc == {"event_time": "2026-07-12T15:58:21.998Z", "price": "64122.77", "rank": "1", "symbol": "BTCUSD",
+                   "transaction_value": "1.7927255772724384E8", "volume": "2795.77064009"}
+    assert sorted(doc["tables"]) == ["bronze", "summary", "top_crypto", "top_stocks"]
     dropped = jobs.cleanup(spark, "dev", principal="Tester@Example.com")
     assert len(dropped) == 7 and not spark.catalog.tableExists(names["silver"])
 

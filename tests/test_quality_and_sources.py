@@ -79,3 +79,11 @@ def test_tables_overwrite_split_and_drop(spark, tmp_path):
 
 def test_current_principal_scalar(spark):
     assert writers.current_principal(spark)
+
+
+def test_scale_conf_sizes_partitions():
+    from tidemark.session import scale_conf
+
+    conf = scale_conf(100 * 1024**4, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1024, cores=8)["spark.sql.shuffle.partitions"] == "16"

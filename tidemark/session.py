@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # streaming state (dedup keys inside the watermark, open candle windows) off the JVM heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -52,6 +56,26 @@ def build_session(
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input with ``cores`` task slots.
+
+    Start with enough shuffle partitions that each holds about
+    ``partition_bytes`` of the input (never fewer than 2 waves of tasks), and
+    let AQE coalesce them toward the same advisory size once real sizes are
+    known.  Scan splits stay at 128 MB, so a scan task's rows fit in
+    memory.  At 100 TB and 256 MB per partition this starts at ~400k
+    partitions; AQE then merges the small ones.
+    """
+    initial = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024**2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Session settings every query relies on (safe to call repeatedly)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
