@@ -10,12 +10,14 @@ key order, copied from earlier buckets and dropped after the window.
 
 How the halo is found (all distributed, all bounded by n per bucket):
 
-1. per ``(key, bucket)`` row counts, numbered and accumulated per key — one
-   row per key-bucket, so this table is small;
+1. per ``(key, bucket)`` row counts, accumulated per key — one row per
+   key-bucket, so this table is small — and, for each bucket, its next ``n``
+   buckets (a bounded ``collect_list`` frame) with the number of rows lying
+   between them;
 2. halo candidates: the last ``n`` rows of every bucket (a ``row_number``
    filter, limited per map task before the shuffle);
-3. each candidate is offered to the next ``n`` buckets of its key and kept
-   where fewer than ``n`` rows lie between it and that bucket's start.
+3. one join of candidates to their target buckets, keeping a candidate where
+   fewer than ``n`` rows lie between it and the target's start.
 
 The bucket must be non-decreasing in the window's order (day of the first
 order column does this).
@@ -39,31 +41,32 @@ def with_halo(df: DataFrame, key: str, bucket: Column, order: Sequence[str], n:
     bucket they were copied *into*.
     """
     rows = df.withColumn(BUCKET, bucket).withColumn(HALO, F.lit(False))
-    per_bucket = rows.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_c"))
+    # (1) one row per key-bucket: its row count and the running count through it
     by_key = Window.partitionBy(key).orderBy(BUCKET)
-    buckets = per_bucket.select(
-        key,
-        BUCKET,
-        F.row_number().over(by_key).alias("_i"),
-        F.sum("_c").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
-        "_c",
+    buckets = (
+        rows.groupBy(key, BUCKET)
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .withColumn("_cum", F.sum("_c").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
+    # each bucket lists its next n buckets with the rows lying before their start;
+    # `gap` = rows strictly between this bucket's end and the target's start
+    following = F.collect_list(F.struct(F.col(BUCKET).alias("b"), (F.col("_cum") - F.col("_c")).alias("before"))).over(
+        by_key.rowsBetween(1, n)
+    )
+    targets = (
+        buckets.select(key, F.col(BUCKET).alias("_src"), "_cum", following.alias("_next"))
+        .select(key, "_src", F.inline(F.transform("_next", lambda t: F.struct(
+            t["b"].alias("_dst"), (t["before"] - F.col("_cum")).alias("_gap")))))
+        .where(F.col("_gap") < n)
+    )
+    # (2) halo candidates: the last n rows of every bucket (limited per map task before the shuffle)
     last_first = Window.partitionBy(key, BUCKET).orderBy(*[F.col(c).desc() for c in order])
     cand = rows.withColumn("_r", F.row_number().over(last_first)).where(F.col("_r") <= n)
-    src = buckets.select(key, BUCKET, F.col("_i").alias("_src_i"), F.col("_cum").alias("_src_cum"))
-    cand = cand.join(src, [key, BUCKET])
-    cand = cand.withColumn("_dst_i", F.explode(F.sequence(F.col("_src_i") + 1, F.col("_src_i") + n)))
-    dst = buckets.select(
-        key,
-        F.col(BUCKET).alias("_dst_bucket"),
-        F.col("_i").alias("_dst_i"),
-        (F.col("_cum") - F.col("_c")).alias("_dst_before"),
-    )
+    # (3) a candidate reaches a target bucket when fewer than n rows separate them
     halo = (
-        cand.join(dst, [key, "_dst_i"])
-        .where((F.col("_dst_before") - F.col("_src_cum")) + F.col("_r") <= n)
-        .withColumn(BUCKET, F.col("_dst_bucket"))
-        .withColumn(HALO, F.lit(True))
+        cand.join(targets, (cand[key] == targets[key]) & (cand[BUCKET] == targets["_src"]))
+        .where(F.col("_r") + F.col("_gap") <= n)
+        .select(*[cand[c] for c in rows.columns if c not in (BUCKET, HALO)], F.col("_dst").alias(BUCKET), F.lit(True).alias(HALO))
         .select(*rows.columns)
     )
     return rows.unionByName(halo)
