@@ -73,9 +73,14 @@ def is_finite(col: ColumnOrName) -> Column:
 
 
 def positive_finite(col: ColumnOrName) -> Column:
-    """FLT-5 plus the documented finite check (plain ``> 0`` would admit NaN/Infinity)."""
+    """FLT-5 plus the documented finite check (plain ``> 0`` would admit NaN/Infinity).
+
+    ``0 < x < +inf`` is false for NULL (unknown), NaN (Spark orders NaN above
+    +inf) and ±Infinity, so a filter on it keeps exactly the positive finite
+    values, with two evaluations of ``x`` instead of three.
+    """
     c = _c(col)
-    return c.isNotNull() & (c > 0) & is_finite(c)
+    return (c > 0) & (c < F.lit(float("inf")))
 
 
 def clean_number_text(col: ColumnOrName) -> Column:
