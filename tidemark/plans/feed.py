@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import ALLOWED_ASSET_TYPES, ALLOWED_SOURCES
-from tidemark.functions import decimal_text, normalize_text, strip_ws
+from tidemark.functions import decimal_text, normalize_text
 from tidemark.operators.quality import DataQualityError
 from tidemark.schemas import MARKET_FIELDS
 
@@ -119,6 +119,3 @@ def union_feeds(stocks: DataFrame | None, crypto: DataFrame | None) -> DataFrame
         out = out.unionByName(b)
     return out
 
-
-def strip_text(col: Column) -> Column:
-    return strip_ws(col)

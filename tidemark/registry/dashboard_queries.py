@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from tidemark.plans import dashboard, market
@@ -126,6 +124,3 @@ def snk_dashboard_json(spark, sf_dir):
     """SNK-4 / PIP-4: the whole nested dashboard document as one JSON text row."""
     return dashboard_document(spark, sf_dir)
 
-
-def parse_document(text: str) -> dict:
-    return json.loads(text)

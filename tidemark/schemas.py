@@ -11,7 +11,6 @@ from pyspark.sql.types import (
     ArrayType,
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -141,4 +140,3 @@ TOP_TRANSACTION_ORDER = (
     "source_file",
 )
 
-EVENT_ID_TYPE = LongType()

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import iso_utc_text
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,45 +25,37 @@ def _props_k() -> Column:
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events → raw market feed (all text) + ``event_id`` as the tie-break key."""
-    ev = load(spark, sf_dir, "events")
-    et = F.col("event_type")
-    eid = F.col("event_id")
-    stockish = et.isin("click", "view", "signup")
-    return ev.select(
-        F.when(stockish, " NASDAQ ").when(et == "purchase", "CoinBase").otherwise("other").alias("source"),
-        F.when(stockish, "Stock").when(et == "purchase", " crypto").otherwise("fx").alias("asset_type"),
-        F.when(eid % 89 == 0, F.lit("  "))
-        .otherwise(F.concat(F.lit(" "), et, F.lit("-"), F.col("user_id").cast("string"), F.lit(" ")))
-        .alias("symbol"),
-        F.when(eid % 97 == 0, F.lit("bad"))
-        .when(eid % 103 == 0, F.lit("-1.5"))
-        .otherwise(F.col("value").cast("string"))
-        .alias("price"),
-        _props_k().alias("volume"),
-        F.when(eid % 101 == 0, F.lit("not a time"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'00:00:00+00:00"))
-        .alias("event_time"),
-        iso_utc_text("ts").alias("ingestion_time"),
-        F.date_format("ts", "yyyy-MM").alias("batch_id"),
-        eid.alias("event_id"),
+    return load(spark, sf_dir, "events").selectExpr(
+        "CASE WHEN event_type IN ('click', 'view', 'signup') THEN ' NASDAQ ' "
+        "WHEN event_type = 'purchase' THEN 'CoinBase' ELSE 'other' END AS source",
+        "CASE WHEN event_type IN ('click', 'view', 'signup') THEN 'Stock' "
+        "WHEN event_type = 'purchase' THEN ' crypto' ELSE 'fx' END AS asset_type",
+        "CASE WHEN event_id % 89 = 0 THEN '  ' "
+        "ELSE concat(' ', event_type, '-', CAST(user_id AS STRING), ' ') END AS symbol",
+        "CASE WHEN event_id % 97 = 0 THEN 'bad' WHEN event_id % 103 = 0 THEN '-1.5' "
+        "ELSE CAST(value AS STRING) END AS price",
+        "get_json_object(props, '$.k') AS volume",
+        "CASE WHEN event_id % 101 = 0 THEN 'not a time' "
+        "ELSE date_format(ts, \"yyyy-MM-dd'T'00:00:00+00:00\") END AS event_time",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'\") AS ingestion_time",
+        "date_format(ts, 'yyyy-MM') AS batch_id",
+        "event_id",
     )
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events (minus errors) → clean typed ticks for the analytics layer."""
-    ev = load(spark, sf_dir, "events").where(F.col("event_type") != "error")
-    crypto = F.col("event_type") == "purchase"
-    out = ev.select(
-        F.when(crypto, "coinbase").otherwise("nasdaq").alias("source"),
-        F.when(crypto, "crypto").otherwise("stock").alias("asset_type"),
-        F.upper(F.concat(F.col("event_type"), F.lit("-"), F.col("user_id").cast("string"))).alias("symbol"),
-        F.col("value").alias("price"),
-        _props_k().cast("double").alias("volume"),
-        F.col("ts").cast("timestamp").alias("event_time"),
-        F.date_format("ts", "yyyy-MM").alias("batch_id"),
-        F.col("event_id"),
+    out = load(spark, sf_dir, "events").where("event_type != 'error'").selectExpr(
+        "CASE WHEN event_type = 'purchase' THEN 'coinbase' ELSE 'nasdaq' END AS source",
+        "CASE WHEN event_type = 'purchase' THEN 'crypto' ELSE 'stock' END AS asset_type",
+        "upper(concat(event_type, '-', CAST(user_id AS STRING))) AS symbol",
+        "value AS price",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS volume",
+        "CAST(ts AS TIMESTAMP) AS event_time",
+        "date_format(ts, 'yyyy-MM') AS batch_id",
+        "event_id",
     )
-    return out.where(F.col("volume") > 0)
+    return out.where("volume > 0")
 
 
 def orders_in(spark: SparkSession, sf_dir: str) -> DataFrame:
