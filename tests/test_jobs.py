@@ -49,3 +49,20 @@ def test_orders_jobs_end_to_end(spark, tmp_path):
     res = jobs.orders_validation(spark, "dev", principal="tester", expected_counts=(4, 2))
     assert res.where("NOT passed").count() == 0
     jobs.cleanup(spark, "dev", principal="tester")
+
+
+def test_bucketed_orders_validate_without_join_shuffles(spark, tmp_path):
+    p = tmp_path / "sample_orders.csv"
+    p.write_text(ORDERS_CSV)
+    names = jobs.orders_job(spark, str(p), "bkt", principal="tester", buckets=4)
+    b, s = spark.table(names["bronze"]), spark.table(names["silver"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        anti = b.join(s, "order_id", "left_anti")
+        anti.collect()
+        assert "Exchange" not in anti._jdf.queryExecution().executedPlan().toString()
+        assert jobs.orders_validation(spark, "bkt", principal="tester", expected_counts=(4, 2)).where("NOT passed").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        jobs.cleanup(spark, "bkt", principal="tester")

@@ -8,7 +8,7 @@ reference's ``overwriteSchema`` writes do.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,17 +23,29 @@ from tidemark.constants import (
 )
 
 
-def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> str:
+def overwrite_table(
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
+) -> str:
     """SNK-1: replace table ``name`` (data and schema).
 
     ``path`` makes it an external table at a chosen location (e.g. under the
     shared staging root); without it the table is managed by the catalog.
-    A table may not be overwritten while the same plan reads it; callers
-    write each layer to a different table, as the reference does.
+    ``bucket_by=(n, keys)`` writes ``n`` buckets hashed and sorted on
+    ``keys``: two tables bucketed alike join on those keys with no shuffle.
+    Use it only for key columns (unique or near-unique): a hot key would sit
+    in one bucket and so in one task.  A table may not be overwritten while
+    the same plan reads it; callers write each layer to a different table,
+    as the reference does.
     """
     writer = df.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)
+    if bucket_by is not None:
+        n, keys = bucket_by
+        writer = writer.bucketBy(n, *keys).sortBy(*keys)
     writer.saveAsTable(name)
     return name
 
