@@ -13,14 +13,18 @@ from tidemark.operators.series import rows_window
 
 ROW = st.tuples(
     st.sampled_from(["HOT", "HOT", "HOT", "A", "B"]),  # one key holds most rows
-    st.integers(min_value=0, max_value=10 * 24 * 60),  # minute within 10 days
+    st.one_of(st.integers(min_value=0, max_value=10 * 24 * 60), st.integers(min_value=600, max_value=610)),  # minute; a hot hour
     st.floats(min_value=1, max_value=100, allow_nan=False).map(lambda x: round(x, 2)),
 )
 
 
-@given(rows=st.lists(ROW, min_size=1, max_size=60), n=st.integers(min_value=1, max_value=6))
+@given(
+    rows=st.lists(ROW, min_size=1, max_size=60),
+    n=st.integers(min_value=1, max_value=6),
+    target=st.sampled_from([1, 2, 3, 1_000_000]),  # small targets slice hot key-days into many buckets
+)
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-def test_rows_window_matches_plain_window(spark, rows, n):
+def test_rows_window_matches_plain_window(spark, rows, n, target):
     base = dt.datetime(2026, 7, 1)
     data = [(k, base + dt.timedelta(minutes=m), i, p) for i, (k, m, p) in enumerate(rows)]
     df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long, price double")
@@ -30,7 +34,7 @@ def test_rows_window_matches_plain_window(spark, rows, n):
         "roll_sum": lambda spec: F.sum("price").over(spec.rowsBetween(-n, -1)),
         "roll_cnt": lambda spec: F.count("price").over(spec.rowsBetween(-n, 0)),
     }
-    got = rows_window(df, "symbol", ("event_time", "event_id"), n, cols)
+    got = rows_window(df, "symbol", ("event_time", "event_id"), n, cols, target_rows=target)
     spec = Window.partitionBy("symbol").orderBy("event_time", "event_id")
     want = df.select("*", *[f(spec).alias(k) for k, f in cols.items()])
     key = lambda r: r["event_id"]
@@ -40,3 +44,16 @@ def test_rows_window_matches_plain_window(spark, rows, n):
     for a, b in zip(g, w):
         assert a["prev"] == b["prev"] and a["back_n"] == b["back_n"] and a["roll_cnt"] == b["roll_cnt"]
         assert (a["roll_sum"] is None and b["roll_sum"] is None) or abs(a["roll_sum"] - b["roll_sum"]) < 1e-9
+
+
+def test_hot_key_day_is_sliced(spark):
+    from tidemark.operators.series import BUCKET, time_buckets
+
+    base = dt.datetime(2026, 7, 1)
+    data = [("HOT", base + dt.timedelta(seconds=i), i) for i in range(1000)] + [("A", base, 5000)]
+    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long")
+    b = time_buckets(df, "symbol", "event_time", target_rows=100)
+    per = {r[0]: r[1] for r in b.groupBy("symbol").agg(F.countDistinct(BUCKET)).collect()}
+    assert per["HOT"] >= 5 and per["A"] == 1
+    biggest = b.groupBy("symbol", BUCKET).count().agg(F.max("count")).first()[0]
+    assert biggest <= 200

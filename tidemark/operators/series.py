@@ -4,9 +4,12 @@
 ``Window.partitionBy(symbol)``: every row of a symbol goes to one task, so a
 symbol holding a third of all ticks becomes one third of the job in a single
 task.  :func:`rows_window` computes the *same* frames over finer partitions
-``(key, bucket)`` (e.g. the tick's day) and restores exactness at bucket
-boundaries with a small **halo**: the ``n`` rows that precede each bucket in
-key order, copied from earlier buckets and dropped after the window.
+``(key, bucket)`` and restores exactness at bucket boundaries with a small
+**halo**: the ``n`` rows that precede each bucket in key order, copied from
+earlier buckets and dropped after the window.  Buckets are days, cut into
+equal time slices of their own range where a key's day is hot
+(:func:`time_buckets`), so even a single symbol-day holding a third of the
+data is spread over many tasks (as long as its ticks are spread in time).
 
 How the halo is found (all distributed, all bounded by n per bucket):
 
@@ -27,20 +30,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HALO = "_halo"
 BUCKET = "_bucket"
+DAY_US = 86_400_000_000
+MAX_SLICES = 100_000  # slices per key-day at most
+DEFAULT_TARGET_ROWS = 2_000_000
 
 
-def with_halo(df: DataFrame, key: str, bucket: Column, order: Sequence[str], n: int) -> DataFrame:
-    """``df`` plus, for every ``(key, bucket)``, copies of the ``n`` rows preceding it.
+def time_buckets(df: DataFrame, key: str, time_col: str, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """``df`` with ``_bucket``: the UTC day of ``time_col``, sliced where a key's day is hot.
+
+    A (key, day) with more than ``target_rows`` rows has its own time range
+    (first to last tick) cut into ``k = ceil(rows / target_rows)`` equal
+    slices, so a symbol-day holding a third of the data is spread over ``k``
+    tasks when its ticks are spread in time.  The slice table lists hot
+    key-days only (at most ``total_rows / target_rows`` rows) and is joined
+    back; AQE broadcasts it when it is small.  Bucket ids increase with time
+    within a key, which is all :func:`with_halo` needs.
+    """
+    us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    rows = df.withColumn("_us", us).withColumn("_day", F.floor(F.col("_us") / DAY_US))
+    hot = (
+        rows.groupBy(key, "_day")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+        .where(F.col("_n") > target_rows)
+        .select(
+            key,
+            "_day",
+            "_lo",
+            (F.col("_hi") - F.col("_lo") + 1).alias("_span"),
+            F.least(F.ceil(F.col("_n") / target_rows), F.lit(MAX_SLICES)).alias("_k"),
+        )
+    )
+    joined = rows.join(hot, [key, "_day"], "left")
+    slice_ = F.coalesce(F.floor((F.col("_us") - F.col("_lo")) * F.col("_k") / F.col("_span")), F.lit(0))
+    bucket = F.col("_day") * MAX_SLICES + slice_
+    return joined.withColumn(BUCKET, bucket).drop("_us", "_day", "_lo", "_span", "_k")
+
+
+def with_halo(rows_in: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
+    """``rows_in`` (with ``_bucket``) plus, for every (key, bucket), copies of the ``n`` rows preceding it.
 
     Real rows carry ``_halo = false``; copies carry ``_halo = true`` and the
     bucket they were copied *into*.
     """
-    rows = df.withColumn(BUCKET, bucket).withColumn(HALO, F.lit(False))
+    rows = rows_in.withColumn(HALO, F.lit(False))
     # (1) one row per key-bucket: its row count and the running count through it
     by_key = Window.partitionBy(key).orderBy(BUCKET)
     buckets = (
@@ -78,17 +115,17 @@ def rows_window(
     order: Sequence[str],
     n: int,
     columns: dict[str, "callable"],
-    bucket: Column | None = None,
+    target_rows: int = DEFAULT_TARGET_ROWS,
 ) -> DataFrame:
     """Add window columns whose frame reaches at most ``n`` rows back, exactly, per key.
 
     ``columns`` maps an output name to ``f(window_spec) -> Column`` where the
     spec is partitioned by ``(key, bucket)`` and ordered by ``order``; only
     frames that look back ≤ ``n`` rows (``lag(x, k<=n)``,
-    ``rowsBetween(-n, 0)``) are exact.
+    ``rowsBetween(-n, 0)``) are exact.  ``order[0]`` must be the time column
+    the buckets are cut on (:func:`time_buckets`).
     """
-    bucket = bucket if bucket is not None else F.to_date(F.col(order[0]))
-    wide = with_halo(df, key, bucket, order, n)
+    wide = with_halo(time_buckets(df, key, order[0], target_rows), key, order, n)
     spec = Window.partitionBy(key, BUCKET).orderBy(*order)
     out = wide.select("*", *[f(spec).alias(name) for name, f in columns.items()])
     return out.where(~F.col(HALO)).drop(HALO, BUCKET)
