@@ -33,6 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.lineage import materialize
+
 HALO = "_halo"
 BUCKET = "_bucket"
 DAY_US = 86_400_000_000
@@ -125,7 +127,11 @@ def rows_window(
     ``rowsBetween(-n, 0)``) are exact.  ``order[0]`` must be the time column
     the buckets are cut on (:func:`time_buckets`).
     """
-    wide = with_halo(time_buckets(df, key, order[0], target_rows), key, order, n)
+    # The bucketed rows feed three branches (bucket counts, halo candidates, the
+    # window itself); Spark would recompute the source and the hot-day join for
+    # each, so they are written once to the shared folder and read back.
+    bucketed = materialize(time_buckets(df, key, order[0], target_rows), "series_buckets")
+    wide = with_halo(bucketed, key, order, n)
     spec = Window.partitionBy(key, BUCKET).orderBy(*order)
     out = wide.select("*", *[f(spec).alias(name) for name, f in columns.items()])
     return out.where(~F.col(HALO)).drop(HALO, BUCKET)
