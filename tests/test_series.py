@@ -57,3 +57,22 @@ def test_hot_key_day_is_sliced(spark):
     assert per["HOT"] >= 5 and per["A"] == 1
     biggest = b.groupBy("symbol", BUCKET).count().agg(F.max("count")).first()[0]
     assert biggest <= 200
+
+
+def test_staged_windows_match_plain(spark):
+    base = dt.datetime(2026, 7, 1)
+    data = [("HOT", base + dt.timedelta(minutes=7 * i), i, float(i % 13) + 1) for i in range(400)]
+    data += [("A", base + dt.timedelta(hours=i), 1000 + i, float(i) + 1) for i in range(30)]
+    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long, price double")
+    stages = [
+        {"d": lambda spec: F.col("price") - F.lag("price", 1).over(spec)},
+        {"s": lambda spec: F.sum("d").over(spec.rowsBetween(-3, 0))},
+    ]
+    got = rows_window(df, "symbol", ("event_time", "event_id"), 4, stages, target_rows=25)
+    spec = Window.partitionBy("symbol").orderBy("event_time", "event_id")
+    want = df.withColumn("d", F.col("price") - F.lag("price", 1).over(spec)).withColumn(
+        "s", F.sum("d").over(spec.rowsBetween(-3, 0))
+    )
+    g = {r["event_id"]: (r["d"], r["s"]) for r in got.collect()}
+    w = {r["event_id"]: (r["d"], r["s"]) for r in want.collect()}
+    assert g == w

@@ -116,22 +116,26 @@ def rows_window(
     key: str,
     order: Sequence[str],
     n: int,
-    columns: dict[str, "callable"],
+    columns: dict[str, "callable"] | Sequence[dict[str, "callable"]],
     target_rows: int = DEFAULT_TARGET_ROWS,
 ) -> DataFrame:
     """Add window columns whose frame reaches at most ``n`` rows back, exactly, per key.
 
     ``columns`` maps an output name to ``f(window_spec) -> Column`` where the
-    spec is partitioned by ``(key, bucket)`` and ordered by ``order``; only
-    frames that look back ≤ ``n`` rows (``lag(x, k<=n)``,
-    ``rowsBetween(-n, 0)``) are exact.  ``order[0]`` must be the time column
-    the buckets are cut on (:func:`time_buckets`).
+    spec is partitioned by ``(key, bucket)`` and ordered by ``order``.  A list
+    of such maps is applied in stages over the same partitioning (no extra
+    shuffle), each stage seeing the previous stages' columns; ``n`` must then
+    cover the *total* look-back of the stages (e.g. a lag of 1 feeding a
+    10-row frame needs ``n = 10``).  ``order[0]`` must be the time column the
+    buckets are cut on (:func:`time_buckets`).
     """
+    stages = [columns] if isinstance(columns, dict) else list(columns)
     # The bucketed rows feed three branches (bucket counts, halo candidates, the
     # window itself); Spark would recompute the source and the hot-day join for
     # each, so they are written once to the shared folder and read back.
     bucketed = materialize(time_buckets(df, key, order[0], target_rows), "series_buckets")
     wide = with_halo(bucketed, key, order, n)
     spec = Window.partitionBy(key, BUCKET).orderBy(*order)
-    out = wide.select("*", *[f(spec).alias(name) for name, f in columns.items()])
-    return out.where(~F.col(HALO)).drop(HALO, BUCKET)
+    for stage in stages:
+        wide = wide.select("*", *[f(spec).alias(name) for name, f in stage.items()])
+    return wide.where(~F.col(HALO)).drop(HALO, BUCKET)

@@ -134,17 +134,23 @@ def volatility(ticks: DataFrame) -> DataFrame:
 
 
 def rolling_volatility(ticks: DataFrame, points: int = 10) -> DataFrame:
-    """WIN-6 (rolling): stddev of the last ``points`` returns at every tick."""
-    prev = with_previous_price(ticks).select(
-        "symbol", "asset_type", "event_time", "event_id", "price", (F.try_divide(F.col("price"), F.col("previous_price")) - 1).alias("r")
-    )
-    return rows_window(
-        prev,
+    """WIN-6 (rolling): stddev of the last ``points`` returns at every tick.
+
+    Two stacked windows over one partitioning: the return needs the previous
+    price (1 row back) and the deviation the previous ``points - 1`` returns,
+    so one halo of ``points`` rows serves both.
+    """
+    out = rows_window(
+        ticks,
         "symbol",
         ORDER,
-        points - 1,
-        {"rolling_volatility": lambda spec: F.round(F.stddev_samp("r").over(spec.rowsBetween(-(points - 1), 0)), 4)},
+        points,
+        [
+            {"r": lambda spec: F.try_divide(F.col("price"), F.lag("price", 1).over(spec)) - 1},
+            {"rolling_volatility": lambda spec: F.round(F.stddev_samp("r").over(spec.rowsBetween(-(points - 1), 0)), 4)},
+        ],
     )
+    return out.select("symbol", "asset_type", "event_time", "event_id", "price", "r", "rolling_volatility")
 
 
 def symbol_performance(ticks: DataFrame) -> DataFrame:
