@@ -1,8 +1,9 @@
 """Streaming queries (ST-1..5).
 
-Each query lands the driver-derived feed in two batches (days 1-15, then
-16-31 of the month) and runs the stream once per landed batch with
-``availableNow`` on one checkpoint, as a scheduled incremental job would.
+Each query lands the driver-derived feed in two time-ordered batches (the
+first and second half of the data's own day range) and runs the stream once
+per landed batch with ``availableNow`` on one checkpoint, as a scheduled
+incremental job would.
 The result is what the stream's sink holds afterwards.
 """
 
@@ -32,13 +33,24 @@ WATERMARK = "1 day"
 CANDLE_WATERMARK = "1 hour"
 
 
-def _first_half(day_text_col) -> "F.Column":
-    return F.substring(day_text_col, 9, 2).cast("int") <= 15
+def _first_half(df: DataFrame, day: "F.Column") -> "F.Column":
+    """Rows whose day falls in the first half of the data's own day range (time-ordered split).
+
+    The range ends come from scalar subqueries over the same data, so the
+    split point moves with the data and batch 2 never holds older rows.
+    """
+    days = df.select(day.alias("d"))
+    lo, hi = days.select(F.min("d")).scalar(), days.select(F.max("d")).scalar()
+    return F.datediff(day, lo) <= F.floor(F.datediff(hi, lo) / 2)
+
+
+def _feed_day() -> "F.Column":
+    return F.to_date(F.substring("ingestion_time", 1, 10))
 
 
 def _land_feed(spark: SparkSession, sf_dir: str, landing: str, batch: int) -> None:
     raw = bindings.raw_feed(spark, sf_dir)
-    cond = _first_half(F.col("ingestion_time"))
+    cond = _first_half(raw, _feed_day())
     raw.where(cond if batch == 1 else ~cond).write.mode("overwrite").json(f"{landing}/batch-{batch}")
 
 
@@ -48,11 +60,22 @@ def _two_runs(spark, sf_dir, landing, start_stream) -> None:
         ms.run_available(start_stream)
 
 
+def _first_half_sql(day: str, source: str) -> str:
+    """DuckDB restatement of :func:`_first_half` (days are the same UTC calendar days)."""
+    return (
+        f"datediff('day', (SELECT min({day}) FROM {source}), {day}) <= "
+        f"(datediff('day', (SELECT min({day}) FROM {source}), (SELECT max({day}) FROM {source})) // 2)"
+    )
+
+
+FEED_DAY = "CAST(substr(ingestion_time, 1, 10) AS DATE)"
+
+
 @query(
     "stream_bronze_append",
     with_ctes(
         RAW_FEED,
-        select="SELECT *, CASE WHEN CAST(substr(ingestion_time, 9, 2) AS INTEGER) <= 15 THEN 'batch-1' "
+        select=f"SELECT *, CASE WHEN {_first_half_sql(FEED_DAY, 'raw_feed')} THEN 'batch-1' "
         "ELSE 'batch-2' END AS source_file FROM raw_feed",
     ),
 )
@@ -129,7 +152,7 @@ def stream_candles(spark, sf_dir):
             .outputMode("append")
         )
 
-    day = F.dayofmonth("event_time") <= 15
+    day = _first_half(ticks, F.to_date("event_time"))
     for batch, cond in ((1, day), (2, ~day)):
         ticks.where(cond).write.mode("overwrite").parquet(f"{landing}/batch-{batch}")
         ms.run_available(start)
@@ -160,7 +183,7 @@ def stream_latest_summary(spark, sf_dir):
 
 
 SECOND_HALF_FEED = RAW_FEED.replace("raw_feed AS (", "raw_feed_all AS (", 1) + (
-    ",\nraw_feed AS (SELECT * FROM raw_feed_all WHERE CAST(substr(ingestion_time, 9, 2) AS INTEGER) > 15)"
+    f",\nraw_feed AS (SELECT * FROM raw_feed_all WHERE NOT ({_first_half_sql(FEED_DAY, 'raw_feed_all')}))"
 )
 
 
