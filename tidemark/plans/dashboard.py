@@ -130,4 +130,5 @@ def document(
         F.lit(principal).alias("principal"),
         tables_struct.alias("tables"),
     )
-    return spark.range(1).select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("document"))
+    # one row in one partition: the document is written as a single small file
+    return spark.range(1, numPartitions=1).select(F.to_json(doc, {"ignoreNullFields": "false"}).alias("document"))
