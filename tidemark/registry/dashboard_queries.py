@@ -11,17 +11,18 @@ from tidemark.registry.sql import BRONZE, LATEST, MARKET_CHAIN, RAW_FEED, SUMMAR
 from tidemark.sinks.writers import market_table_names
 
 BRONZE_SQL = """SELECT source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id, source_file
-FROM bronze ORDER BY ingestion_time DESC, event_time DESC, source, asset_type, symbol, price, volume, batch_id,
-         source_file LIMIT 10"""
+FROM bronze ORDER BY ingestion_time DESC NULLS LAST, event_time DESC NULLS LAST, source NULLS FIRST,
+         asset_type NULLS FIRST, symbol NULLS FIRST, price NULLS FIRST, volume NULLS FIRST, batch_id NULLS FIRST,
+         source_file NULLS FIRST LIMIT 10"""
 
 SUMMARY10_SQL = """SELECT symbol, asset_type, latest_price, volume, high, low, last_updated
-FROM summary ORDER BY asset_type, symbol LIMIT 10"""
+FROM summary ORDER BY asset_type NULLS FIRST, symbol NULLS FIRST LIMIT 10"""
 
 
 def _top_sql(asset_type: str) -> str:
     return (
         "SELECT rank, symbol, price, volume, transaction_value, event_time FROM topk "
-        f"WHERE asset_type = '{asset_type}' ORDER BY rank LIMIT 5"
+        f"WHERE asset_type = '{asset_type}' ORDER BY rank NULLS FIRST LIMIT 5"
     )
 
 
@@ -39,7 +40,8 @@ def dash_bronze_latest10(spark, sf_dir):
 
 BRONZE_TYPED_SQL = """SELECT source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id, source_file
 FROM bronze ORDER BY TRY_CAST(ingestion_time AS TIMESTAMP) DESC NULLS LAST, TRY_CAST(event_time AS TIMESTAMP) DESC NULLS LAST,
-         source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id, source_file LIMIT 10"""
+         source NULLS FIRST, asset_type NULLS FIRST, symbol NULLS FIRST, price NULLS FIRST, volume NULLS FIRST,
+         event_time NULLS FIRST, ingestion_time NULLS FIRST, batch_id NULLS FIRST, source_file NULLS FIRST LIMIT 10"""
 
 
 @query("dash_bronze_latest10_typed", with_ctes(RAW_FEED, BRONZE, select=BRONZE_TYPED_SQL))

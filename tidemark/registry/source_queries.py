@@ -62,8 +62,9 @@ def src_sql_identifier(spark, sf_dir):
     bronze.createOrReplaceTempView(name)
     cols = ", ".join(dashboard.BRONZE_COLS)
     return spark.sql(
-        f"SELECT {cols} FROM IDENTIFIER(:t) ORDER BY ingestion_time DESC, event_time DESC, "
-        "source, asset_type, symbol, price, volume, batch_id, source_file LIMIT 10",
+        f"SELECT {cols} FROM IDENTIFIER(:t) ORDER BY ingestion_time DESC NULLS LAST, event_time DESC NULLS LAST, "
+        "source NULLS FIRST, asset_type NULLS FIRST, symbol NULLS FIRST, price NULLS FIRST, volume NULLS FIRST, "
+        "batch_id NULLS FIRST, source_file NULLS FIRST LIMIT 10",
         args={"t": name},
     )
 
