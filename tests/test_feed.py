@@ -76,3 +76,25 @@ def test_batch_stamp_is_one_value_per_batch(spark):
     rows = [("nasdaq", "stock", "A", "1", "1", "t"), ("coinbase", "crypto", "B", "2", "2", "t")]  # price, volume, time
     accepted, _ = feed.normalize(_records(spark, rows))
     assert accepted.select(F.countDistinct("batch_id"), F.countDistinct("ingestion_time")).first() == (1, 1)
+
+
+def test_feed_build_job_writes_normalised_jsonl(spark, tmp_path):
+    from tidemark.plans import jobs
+    from tidemark.schemas import MARKET_SCHEMA
+
+    bars = spark.createDataFrame(
+        [("AAPL", _bars(200, [{"date": "07/10/2026", "close": "$315.32", "volume": "34,132,320"}]))],
+        "symbol string, payload string",
+    )
+    tickers = spark.createDataFrame(
+        [("BTC-USD", json.dumps({"price": "64122.77", "volume": "2795.77064009", "time": "2026-07-12T15:58:21.998137659Z"}))],
+        "product_id string, payload string",
+    )
+    out = jobs.feed_build(bars, tickers, feeds.product_symbols(spark), str(tmp_path / "feed"), batch_id="b-1")
+    rows = {r["symbol"]: r for r in spark.read.schema(MARKET_SCHEMA).json(out).collect()}
+    assert rows["AAPL"]["price"] == "315.32" and rows["AAPL"]["volume"] == "34132320"
+    assert rows["AAPL"]["event_time"] == "2026-07-10T00:00:00+00:00"
+    assert rows["BTCUSD"]["source"] == "coinbase" and rows["BTCUSD"]["batch_id"] == "b-1"
+    first_line = spark.read.text(out).first()[0]
+    keys = list(json.loads(first_line))
+    assert keys == sorted(keys)  # sorted keys, one object per line

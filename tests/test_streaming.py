@@ -62,3 +62,34 @@ def test_streaming_latest_equals_batch_summary(spark, tmp_path):
     key = lambda r: r["symbol"]
     assert sorted(streamed.collect(), key=key) == sorted(batch.collect(), key=key)
     assert streamed.count() == 8  # the union of both batches' symbols
+
+
+def test_candles_ignore_data_later_than_the_watermark(spark, tmp_path):
+    import datetime as dt
+
+    landing, sink, ckpt = tmp_path / "landing", str(tmp_path / "candles"), str(tmp_path / "ckpt")
+    schema = "symbol string, asset_type string, price double, volume double, event_time timestamp, event_id long"
+    t0 = dt.datetime(2026, 7, 1, 10, 0)
+
+    def land(batch, rows):
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(str(landing / f"batch-{batch}"))
+
+    def start():
+        stream = spark.readStream.schema(schema).parquet(f"{landing}/*")
+        return (
+            ms.candle_stream(stream, "1 hour", "1 hour").writeStream.format("parquet")
+            .option("path", sink).option("checkpointLocation", ckpt).outputMode("append")
+        )
+
+    land(1, [("X", "stock", 10.0, 1.0, t0 + dt.timedelta(minutes=5), 1),
+             ("X", "stock", 12.0, 1.0, t0 + dt.timedelta(minutes=50), 2),
+             ("X", "stock", 11.0, 1.0, t0 + dt.timedelta(hours=3), 3)])
+    ms.run_available(start)
+    # a tick for the 10:00 window arrives after the watermark (13:00 - 1h) has closed it
+    land(2, [("X", "stock", 99.0, 5.0, t0 + dt.timedelta(minutes=30), 4),
+             ("X", "stock", 13.0, 1.0, t0 + dt.timedelta(hours=5), 5)])
+    ms.run_available(start)
+    out = {r["window_start"].hour: r for r in spark.read.parquet(sink).collect()}
+    ten = out[10]
+    assert (ten["open"], ten["high"], ten["low"], ten["close"], ten["trades"]) == (10.0, 12.0, 10.0, 12.0, 2)
+    assert 13 in out  # closed by the second run's watermark (15:00 - 1h)
