@@ -105,12 +105,11 @@ def src_symbol_map(spark, sf_dir):
     return ticker_records(spark, sf_dir).select("event_id", "product_id", "symbol", "error")
 
 
-UNION_SQL = with_ctes(
-    BARS,
-    TICKERS,
-    select="SELECT source, asset_type, symbol, price, volume, event_time FROM bar_records WHERE error IS NULL "
-    "UNION ALL SELECT source, asset_type, symbol, price, volume, event_time FROM ticker_records WHERE error IS NULL",
+FEED_UNION = (
+    "SELECT source, asset_type, symbol, price, volume, event_time FROM bar_records WHERE error IS NULL "
+    "UNION ALL SELECT source, asset_type, symbol, price, volume, event_time FROM ticker_records WHERE error IS NULL"
 )
+UNION_SQL = with_ctes(BARS, TICKERS, select=FEED_UNION)
 
 
 @query("set_union_feeds", UNION_SQL)
@@ -135,14 +134,7 @@ CRYPTO_ONLY_SQL = with_ctes(
     ),
 )
 
-FEED_BUILD_SQL = with_ctes(
-    BARS,
-    TICKERS,
-    select=_normalised_sql(
-        "SELECT source, asset_type, symbol, price, volume, event_time FROM bar_records WHERE error IS NULL "
-        "UNION ALL SELECT source, asset_type, symbol, price, volume, event_time FROM ticker_records WHERE error IS NULL"
-    ),
-)
+FEED_BUILD_SQL = with_ctes(BARS, TICKERS, select=_normalised_sql(FEED_UNION))
 
 
 def build_feed(spark, sf_dir, include_stocks=True, include_crypto=True):
@@ -170,12 +162,7 @@ def flt_crypto_only(spark, sf_dir):
 PRJ_SQL = with_ctes(
     BARS,
     TICKERS,
-    "feed_batch AS ("
-    + _normalised_sql(
-        "SELECT source, asset_type, symbol, price, volume, event_time FROM bar_records WHERE error IS NULL "
-        "UNION ALL SELECT source, asset_type, symbol, price, volume, event_time FROM ticker_records WHERE error IS NULL"
-    )
-    + ")",
+    f"feed_batch AS ({_normalised_sql(FEED_UNION)})",
     select="SELECT batch_id, ingestion_time, CAST(count(*) AS BIGINT) AS records FROM feed_batch "
     "GROUP BY batch_id, ingestion_time",
 )
