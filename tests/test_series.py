@@ -76,3 +76,22 @@ def test_staged_windows_match_plain(spark):
     g = {r["event_id"]: (r["d"], r["s"]) for r in got.collect()}
     w = {r["event_id"]: (r["d"], r["s"]) for r in want.collect()}
     assert g == w
+
+
+def test_burst_inside_a_hot_day_is_sliced_again(spark):
+    from tidemark.operators.series import BUCKET, refine_buckets, still_hot, time_buckets
+
+    base = dt.datetime(2026, 7, 1)
+    data = [("HOT", base + dt.timedelta(seconds=i), i, 1.0 + i % 7) for i in range(1000)]
+    data.append(("HOT", base + dt.timedelta(hours=20), 5000, 3.0))  # stretches the day's range
+    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long, price double")
+    first = time_buckets(df, "symbol", "event_time", target_rows=100).cache()
+    assert still_hot(first, "symbol", 100)  # the burst sits in one equal-time slice of the day
+    second = refine_buckets(first, "symbol", "event_time", 100)
+    assert second.groupBy("symbol", BUCKET).count().agg(F.max("count")).first()[0] <= 200
+    # and the staged/series result is still exact with the refinement in play
+    got = rows_window(df, "symbol", ("event_time", "event_id"), 3,
+                      {"p": lambda spec: F.lag("price", 3).over(spec)}, target_rows=100)
+    spec = Window.partitionBy("symbol").orderBy("event_time", "event_id")
+    want = df.withColumn("p", F.lag("price", 3).over(spec))
+    assert {r["event_id"]: r["p"] for r in got.collect()} == {r["event_id"]: r["p"] for r in want.collect()}

@@ -42,35 +42,56 @@ MAX_SLICES = 100_000  # slices per key-day at most
 DEFAULT_TARGET_ROWS = 2_000_000
 
 
-def time_buckets(df: DataFrame, key: str, time_col: str, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """``df`` with ``_bucket``: the UTC day of ``time_col``, sliced where a key's day is hot.
+def _slice_hot(rows: DataFrame, key: str, target_rows: int) -> DataFrame:
+    """Cut every (key, ``_bucket``) holding more than ``target_rows`` rows into equal time slices
+    of its own first-to-last range; ``_bucket`` becomes ``_bucket * MAX_SLICES + slice``.
 
-    A (key, day) with more than ``target_rows`` rows has its own time range
-    (first to last tick) cut into ``k = ceil(rows / target_rows)`` equal
-    slices, so a symbol-day holding a third of the data is spread over ``k``
-    tasks when its ticks are spread in time.  The slice table lists hot
-    key-days only (at most ``total_rows / target_rows`` rows) and is joined
-    back; AQE broadcasts it when it is small.  Bucket ids increase with time
-    within a key, which is all :func:`with_halo` needs.
+    Needs ``_us`` (the row's time in microseconds).  The hot table lists hot
+    buckets only (at most ``total_rows / target_rows``) and is joined back;
+    AQE broadcasts it when it is small.
     """
-    us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    rows = df.withColumn("_us", us).withColumn("_day", F.floor(F.col("_us") / DAY_US))
     hot = (
-        rows.groupBy(key, "_day")
+        rows.groupBy(key, BUCKET)
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
         .where(F.col("_n") > target_rows)
         .select(
             key,
-            "_day",
+            BUCKET,
             "_lo",
             (F.col("_hi") - F.col("_lo") + 1).alias("_span"),
             F.least(F.ceil(F.col("_n") / target_rows), F.lit(MAX_SLICES)).alias("_k"),
         )
     )
-    joined = rows.join(hot, [key, "_day"], "left")
     slice_ = F.coalesce(F.floor((F.col("_us") - F.col("_lo")) * F.col("_k") / F.col("_span")), F.lit(0))
-    bucket = F.col("_day") * MAX_SLICES + slice_
-    return joined.withColumn(BUCKET, bucket).drop("_us", "_day", "_lo", "_span", "_k")
+    joined = rows.join(hot, [key, BUCKET], "left")
+    return joined.withColumn(BUCKET, F.col(BUCKET) * MAX_SLICES + slice_).drop("_lo", "_span", "_k")
+
+
+def time_buckets(df: DataFrame, key: str, time_col: str, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """``df`` with ``_bucket``: the UTC day of ``time_col``, sliced where a key's day is hot.
+
+    A (key, day) with more than ``target_rows`` rows has its own time range
+    (first to last tick) cut into ``k = ceil(rows / target_rows)`` equal
+    slices, so a symbol-day holding a third of the data is spread over ``k``
+    tasks.  Bucket ids increase with time within a key, which is all
+    :func:`with_halo` needs; :func:`refine_buckets` slices again where ticks
+    were bunched inside one slice.
+    """
+    us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    rows = df.withColumn("_us", us).withColumn(BUCKET, F.floor(F.col("_us") / DAY_US))
+    return _slice_hot(rows, key, target_rows).drop("_us")
+
+
+def refine_buckets(df: DataFrame, key: str, time_col: str, target_rows: int) -> DataFrame:
+    """One more slicing pass over buckets that are still hot (bursts inside one slice)."""
+    rows = df.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
+    return _slice_hot(rows, key, target_rows).drop("_us")
+
+
+def still_hot(bucketed: DataFrame, key: str, target_rows: int) -> bool:
+    """Whether any (key, bucket) exceeds ``target_rows`` (one aggregate; one number reaches the driver)."""
+    biggest = bucketed.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return biggest is not None and biggest > target_rows
 
 
 def with_halo(rows_in: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
@@ -134,6 +155,10 @@ def rows_window(
     # window itself); Spark would recompute the source and the hot-day join for
     # each, so they are written once to the shared folder and read back.
     bucketed = materialize(time_buckets(df, key, order[0], target_rows), "series_buckets")
+    if still_hot(bucketed, key, target_rows):
+        # ticks bunched inside one slice: slice those buckets once more (ids stay
+        # monotone in time: bucket * MAX_SLICES + sub-slice; day * 1e10 + … fits a long)
+        bucketed = materialize(refine_buckets(bucketed, key, order[0], target_rows), "series_buckets")
     wide = with_halo(bucketed, key, order, n)
     spec = Window.partitionBy(key, BUCKET).orderBy(*order)
     for stage in stages:
