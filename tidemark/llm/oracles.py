@@ -1,0 +1,36 @@
+"""DuckDB statements for the text operators that SQL can express."""
+
+from __future__ import annotations
+
+from tidemark.llm.quality_rules import BASE_RULES, RULES, STOP_WORDS
+
+_FAILED = ", ".join(f"CASE WHEN {r.sql()} THEN '{r.name}' END" for r in (*BASE_RULES, *RULES))
+_BASE = " OR ".join(f"({r.sql()})" for r in BASE_RULES)
+_STOPS = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+
+QUALITY_RULES = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM d WHERE len(words) >= 8)),
+again AS (SELECT doc_id, win FROM wins GROUP BY doc_id, win HAVING count(*) > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n
+  FROM wins JOIN again USING (doc_id, win), range(8) AS r(k) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS n_exclaims,
+    CAST(len(list_filter(words, w -> lower(w) IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(range(2, len(words) + 1), i -> words[i] = words[i - 1])) AS BIGINT) AS n_doubled_words,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+  FROM d LEFT JOIN covered USING (doc_id))
+SELECT *, concat_ws(',', {_FAILED}) AS failed_rules, ({_BASE}) AS base_failed, concat_ws(',', {_FAILED}) = '' AS kept
+FROM m
+"""
