@@ -11,7 +11,7 @@ _STOPS = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
 QUALITY_RULES = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 wins AS (
   SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS win
@@ -27,8 +27,8 @@ m AS (
     CAST(len(lines) AS BIGINT) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
     CAST(length(text) - length(replace(text, '!', '')) AS BIGINT) AS n_exclaims,
-    CAST(len(list_filter(words, w -> lower(w) IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
-    CAST(len(list_filter(range(2, len(words) + 1), i -> words[i] = words[i - 1])) AS BIGINT) AS n_doubled_words,
+    CAST(len(list_filter(words, lambda w: lower(w) IN ({_STOPS}))) AS BIGINT) AS n_stop_words,
+    CAST(len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) AS BIGINT) AS n_doubled_words,
     CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
   FROM d LEFT JOIN covered USING (doc_id))
 SELECT *, concat_ws(',', {_FAILED}) AS failed_rules, ({_BASE}) AS base_failed, concat_ws(',', {_FAILED}) = '' AS kept

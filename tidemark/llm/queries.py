@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm import oracles
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import secret_report
+from tidemark.llm.token_counts import token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +24,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_quality_rules)
+    f.__name__: f for f in (op1_secrets, op3_quality_rules, op9_token_counts)
 }
 
 ORACLES: dict[str, str] = {"op3_quality_rules": oracles.QUALITY_RULES}
