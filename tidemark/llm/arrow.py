@@ -6,6 +6,7 @@ import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -15,7 +16,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20) ->
     """
     for batch in batches:
         start = held = 0
-        sizes = pa.compute.binary_length(batch.column("text")).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column("text")).fill_null(0).to_pylist()
         for row, size in enumerate(sizes):
             if held and held + size > max_bytes:
                 yield batch.slice(start, row - start)
