@@ -10,6 +10,7 @@ from tidemark.llm import oracles
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import secret_report
 from tidemark.llm.token_counts import token_counts
+from tidemark.llm.token_files import token_file_report
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +25,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_report(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_quality_rules, op9_token_counts)
+    f.__name__: f for f in (op1_secrets, op3_quality_rules, op7_token_files, op9_token_counts)
 }
 
 ORACLES: dict[str, str] = {"op3_quality_rules": oracles.QUALITY_RULES}
