@@ -34,3 +34,30 @@ m AS (
 SELECT *, concat_ws(',', {_FAILED}) AS failed_rules, ({_BASE}) AS base_failed, concat_ws(',', {_FAILED}) = '' AS kept
 FROM m
 """
+
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BENCH_WORDS = rf"regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT doc_id, {_BENCH_WORDS} AS words FROM documents),
+b AS (SELECT item_id, {_BENCH_WORDS} AS words FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, w, array_to_string(words[i:i + w - 1], ' ') AS win
+  FROM (SELECT item_id, words, least(10, len(words)) AS w,
+      unnest(range(1, len(words) - least(10, len(words)) + 2)) AS i FROM b WHERE len(words) > 0)),
+dw AS (
+  SELECT doc_id, w, i, array_to_string(words[i:i + w - 1], ' ') AS win
+  FROM (SELECT doc_id, words, w, unnest(range(1, len(words) - w + 2)) AS i
+    FROM d, (SELECT DISTINCT w FROM bw) WHERE len(words) >= w)),
+hits AS (SELECT doc_id, item_id, i, w FROM dw JOIN bw USING (w, win)),
+marked AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT doc_id, i, unnest(range(w)) AS k FROM (SELECT DISTINCT doc_id, i, w FROM hits)) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracles
+from tidemark.llm.decontam import contamination_report
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import secret_report
 from tidemark.llm.token_counts import token_counts
@@ -29,12 +30,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_quality_rules, op7_token_files, op9_token_counts)
+    f.__name__: f for f in (op1_secrets, op3_quality_rules, op7_token_files, op8_decontamination, op9_token_counts)
 }
 
-ORACLES: dict[str, str] = {"op3_quality_rules": oracles.QUALITY_RULES}
+ORACLES: dict[str, str] = {
+    "op3_quality_rules": oracles.QUALITY_RULES,
+    "op8_decontamination": oracles.DECONTAMINATION,
+}
