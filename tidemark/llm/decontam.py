@@ -67,17 +67,45 @@ class BenchmarkBlock:
             if self.lead == 4:
                 named = [np.searchsorted(self.pairs, x) for x in (first, third)]
                 self.quads = np.unique(named[0] * len(self.pairs) + named[1])
-        # distinct windows, each with its items
-        low = keys(self.text, at, width, window)
-        self.windows, which = np.unique(low, return_inverse=True) if len(at) else (low, np.zeros(0, np.int64))
-        first_at = np.zeros(len(self.windows), np.int64)
-        first_at[which[::-1]] = at[::-1]
-        self.at = first_at
-        self.width = np.zeros(len(self.windows), np.int64)
-        self.width[which] = width
-        order = np.lexsort((owner, which))
-        self.owner = np.array(owner, np.int64)[order]
-        self.owner_from = np.searchsorted(which[order], np.arange(len(self.windows) + 1))
+        # the benchmark's own suffix array, then its distinct windows, each a range of that array
+        own = keys(self.text, at, width, window)
+        order = np.lexsort((_suffix_ranks(self.text)[at], own, width)) if len(at) else at
+        self.array, width, own = at[order], width[order], own[order]
+        owner_of = np.array(owner, np.int64)[order]
+        fresh = np.ones(len(own), bool)
+        fresh[1:] = (own[1:] != own[:-1]) | (width[1:] != width[:-1])
+        self.low = np.flatnonzero(fresh)
+        self.high = np.append(self.low[1:], len(own))
+        self.windows, self.width = own[self.low], width[self.low]
+        self.owners = owner_of
+
+    def items_of(self, windows: np.ndarray) -> set[str]:
+        return {self.names[o] for w in windows for o in np.unique(self.owners[self.low[w] : self.high[w]])}
+
+    def bound(self, low: np.ndarray, high: np.ndarray, depth: np.ndarray, word: np.ndarray, after: bool) -> np.ndarray:
+        """Binary search in ranges of the suffix array that agree on their first ``depth`` words."""
+        low, high = low.copy(), high.copy()
+        while (live := low < high).any():
+            mid = (low + high) // 2
+            seen = self.text[np.minimum(self.array[np.minimum(mid, len(self.array) - 1)] + depth, len(self.text) - 1)]
+            right = live & ((seen <= word) if after else (seen < word))
+            low, high = np.where(right, mid + 1, low), np.where(live & ~right, mid, high)
+        return low
+
+
+def _suffix_ranks(text: np.ndarray) -> np.ndarray:
+    """Order numbers of all suffixes by prefix doubling; a negative word ends its item and sorts first."""
+    place = np.arange(len(text))
+    ends = np.append(np.flatnonzero(text < 0), len(text))
+    end = ends[np.searchsorted(ends, place)]
+    rank = np.where(text < 0, 0, text + 1)
+    step, longest = 1, int((end - place).max()) if len(text) else 0
+    while step < longest:
+        ahead = np.where(place + step < end, rank[np.minimum(place + step, len(text) - 1)], 0)
+        rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)[1].astype(np.int64)
+        rank[text < 0] = 0
+        step *= 2
+    return rank
 
 
 def keys(text: np.ndarray, at: np.ndarray, width: np.ndarray | int, window: int) -> np.ndarray:
@@ -96,8 +124,8 @@ def _named(names: np.ndarray, step: int, radix: int, table: np.ndarray) -> np.nd
     return np.where(table[place] == key, place, -1)
 
 
-def search_shard(text: np.ndarray, block: BenchmarkBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Occurrences ``(position, window, longest)`` of the block's windows in the shard ``text``."""
+def search_shard(text: np.ndarray, block: BenchmarkBlock) -> tuple[np.ndarray, ...]:
+    """Occurrences ``(position, window, longest, item)`` of the block's windows in the shard ``text``."""
     names = text
     if block.lead >= 2:
         names = _named(text, 1, len(block.vocabulary), block.pairs)
@@ -107,23 +135,28 @@ def search_shard(text: np.ndarray, block: BenchmarkBlock) -> tuple[np.ndarray, n
     own = keys(text, kept, block.window, block.window)
     order = np.argsort(own, kind="stable")
     array, own = kept[order], own[order]
-    low = np.searchsorted(own, block.windows, "left")
+    first = np.searchsorted(own, block.windows, "left")
     padded = np.frombuffer(block.windows.tobytes(), np.uint8).reshape(len(block.windows), 4 * block.window).copy()
     padded[np.arange(4 * block.window) >= 4 * block.width[:, None]] = 0xFF
-    high = np.searchsorted(own, padded.view(f"S{4 * block.window}").ravel(), "right") if len(padded) else low
-    n = high - low
+    high = np.searchsorted(own, padded.view(f"S{4 * block.window}").ravel(), "right") if len(padded) else first
+    n = high - first
     window = np.repeat(np.arange(len(n)), n)
-    position = array[np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(window))] if len(
+    position = array[np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(len(window))] if len(
         window
     ) else np.zeros(0, np.int64)
     length = block.width[window]
+    low, high = block.low[window], block.high[window]
     live = np.arange(len(window))
-    while len(live):
-        a = np.minimum(position[live] + length[live], len(text) - 1)
-        b = np.minimum(block.at[window[live]] + length[live], len(block.text) - 1)
-        live = live[(text[a] == block.text[b]) & (text[a] >= 0)]
+    while len(live):  # one more word: the range of benchmark suffixes that go on with it
+        word = text[np.minimum(position[live] + length[live], len(text) - 1)]
+        live, word = live[word >= 0], word[word >= 0]
+        a = block.bound(low[live], high[live], length[live], word, after=False)
+        b = block.bound(low[live], high[live], length[live], word, after=True)
+        more = a < b
+        live, a, b = live[more], a[more], b[more]
+        low[live], high[live] = a, b
         length[live] += 1
-    return position, window, length
+    return position, window, length, block.owners[low]
 
 
 def scan_shard(rows: list[tuple[list[bytes], dict | None]], block: BenchmarkBlock) -> list[dict]:
@@ -134,24 +167,22 @@ def scan_shard(rows: list[tuple[list[bytes], dict | None]], block: BenchmarkBloc
     starts = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) + 1)]).astype(np.int64)
     for (ws, _), at, size in zip(rows, starts.tolist(), sizes, strict=False):
         text[at : at + size] = [get(w, -1) for w in ws]
-    position, window, length = search_shard(text, block)
+    position, window, length, item = search_shard(text, block)
     out = [b or {"spans": [], "items": [], "longest": None} for _, b in rows]
     row = np.searchsorted(starts, position, "right") - 1
     order = np.lexsort((position, row))
-    position, window, length, row = position[order], window[order], length[order], row[order]
+    position, window, length, item, row = (x[order] for x in (position, window, length, item, row))
     hit_rows, from_ = np.unique(row, return_index=True)
     until = np.append(from_[1:], len(row))
     for r, a, b in zip(hit_rows.tolist(), from_.tolist(), until.tolist(), strict=False):
         at, win, long = position[a:b] - starts[r], window[a:b], length[a:b]
         spans = [(s["start"], s["stop"]) for s in out[r]["spans"]]
         spans += zip(at.tolist(), (at + block.width[win]).tolist(), strict=True)
-        items = {
-            block.names[o] for w in np.unique(win) for o in block.owner[block.owner_from[w] : block.owner_from[w + 1]]
-        }
+        items = block.items_of(np.unique(win))
         best = int(np.lexsort((at, -long))[0])
         longest = {
             "words": int(long[best]),
-            "item": block.names[block.owner[block.owner_from[win[best]]]],
+            "item": block.names[item[a + best]],
             "start": int(at[best]),
         }
         before = out[r]["longest"]
