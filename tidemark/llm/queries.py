@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracles
 from tidemark.llm.decontam import contamination_report
+from tidemark.llm.near_dup import near_duplicate_groups
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import secret_report
 from tidemark.llm.token_counts import token_counts
@@ -38,8 +39,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_quality_rules, op7_token_files, op8_decontamination, op9_token_counts)
+    f.__name__: f for f in (op1_secrets, op3_quality_rules, op7_token_files, op8_decontamination, op9_token_counts, op10_near_duplicates)
 }
 
 ORACLES: dict[str, str] = {
