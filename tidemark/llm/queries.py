@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracles
 from tidemark.llm.decontam import contamination_report
+from tidemark.llm.mixing import mixed_rows
 from tidemark.llm.near_dup import near_duplicate_groups
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import secret_report
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.token_files import token_file_report
+from tidemark.llm.weak_quality import quality_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +29,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_rows(table(spark, sf_dir, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"))
 
@@ -44,7 +54,17 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secrets, op3_quality_rules, op7_token_files, op8_decontamination, op9_token_counts, op10_near_duplicates)
+    f.__name__: f
+    for f in (
+        op1_secrets,
+        op3_quality_rules,
+        op5_quality_classifier,
+        op6_mixing,
+        op7_token_files,
+        op8_decontamination,
+        op9_token_counts,
+        op10_near_duplicates,
+    )
 }
 
 ORACLES: dict[str, str] = {
