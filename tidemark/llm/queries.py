@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracles
 from tidemark.llm.decontam import contamination_report
+from tidemark.llm.main_text import extract_main_text
 from tidemark.llm.mixing import mixed_rows
 from tidemark.llm.near_dup import near_duplicate_groups
 from tidemark.llm.quality_rules import quality_rules
@@ -25,6 +26,10 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secrets,
+        op2_main_text,
         op3_quality_rules,
         op5_quality_classifier,
         op6_mixing,
