@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracles
 from tidemark.llm.decontam import contamination_report
+from tidemark.llm.lang_id import language_report
 from tidemark.llm.main_text import extract_main_text
 from tidemark.llm.mixing import mixed_rows
 from tidemark.llm.near_dup import near_duplicate_groups
@@ -34,6 +35,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_secrets,
         op2_main_text,
         op3_quality_rules,
+        op4_language_id,
         op5_quality_classifier,
         op6_mixing,
         op7_token_files,
