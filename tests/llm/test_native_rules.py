@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+from tests.llm import edges
+from tidemark.llm.quality_rules import quality_rules
+from tidemark.llm.secrets import KINDS, secret_report
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(found))
+
+
+def word_metrics(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {i + k for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for k in range(8)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+    )
+
+
+def test_base_spans_match_a_plain_scan(spark):
+    rng = random.Random(4)
+    parts = [
+        "password", "TOKEN", "api_key", "apikey", "secret=", ": ", "='", '"', " ", "é", "\n", "AKIA", "ABCDEFGH12345678",
+        "0123456789abcdef", "deadbeef", "hunter2hunter2", "Zz9+/", "\x01", "🙂", "passwd:token=",
+    ]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in secret_report(docs).collect():
+        expected = base_spans(texts[row["doc_id"]])
+        assert row["base_sha256"] == hashlib.sha256(expected.encode()).hexdigest(), texts[row["doc_id"]]
+        kinds = Counter(s.split(":")[0] for s in expected.split(",") if s)
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [kinds[k] for k in KINDS[:3]]
+        assert ",".join(s for s in row["spans"].split(",") if not s.startswith("entropy")) == expected
+
+
+def test_entropy_spans_and_allow_list(spark):
+    random_like = "q7Rz2Lk9XvB4nMw8YtPc3HsD6fJg"
+    texts = {
+        1: f"see {random_like} here",
+        2: "see ABCDEFGH12345678abcdefgh12345678 here",
+        3: "see EXAMPLEq7Rz2Lk9XvB4nMw8YtPc3HsD6fJg here",
+        4: "antidisestablishmentarianismandmore words",
+        5: f"token={random_like}",
+        6: "0F" * 20,
+        7: "7A1C09E2B84D3F65" * 3,
+    }
+    rows = {r["doc_id"]: r for r in secret_report(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert rows[1]["spans"] == f"entropy:4:{4 + len(random_like)}"
+    assert [rows[k]["n_entropy"] for k in (2, 3, 4, 6)] == [0, 0, 0, 0]
+    assert rows[5]["spans"] == f"assign:0:{6 + len(random_like)}"  # inside a pattern span: not added
+    assert rows[7]["n_entropy"] == 1
+
+
+def test_quality_metrics_match_a_plain_count(spark):
+    rng = random.Random(5)
+    words = ["the", "a", "x#", "new\nline", "b  c", "\n", "dog", "é!", "|", "the\tend"]
+    texts = [" ".join(rng.choice(words[: rng.randint(1, 10)]) for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in quality_rules(docs).collect():
+        expected = word_metrics(texts[r["doc_id"]])
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == expected
+        failed = expected[0] < 20 or 100 * expected[4] > 30 * expected[0]
+        assert r["base_failed"] == failed and not (failed and r["kept"])
+
+
+def test_awkward_rows(spark):
+    for report in (quality_rules, secret_report):
+        assert report(edges.docs(spark)).count() == len(edges.rows())
+        assert report(edges.empty(spark)).count() == 0
+    kept = {r["doc_id"]: r for r in quality_rules(edges.docs(spark)).where("doc_id in (2, 3, 4, 6)").collect()}
+    assert [kept[k]["n_words"] for k in (2, 3, 4)] == [0, 0, 0] and not any(kept[k]["kept"] for k in (2, 3, 4))
+    assert kept[6]["n_words"] == 60_000

@@ -132,22 +132,20 @@ class ByteTagger:
         grads = [*self.ahead.back(steps, saved_fore, d_fore), *self.behind.back(steps[::-1], saved_back, d_back[::-1])]
         return loss, [*grads, d_out, p.sum(axis=(0, 1))]
 
-    def fit(self, windows: np.ndarray, labels: np.ndarray, epochs: int, seed: int, batch: int = 256, rate: float = 0.02):
+    def fit(self, windows: np.ndarray, labels: np.ndarray, steps: int, seed: int, batch: int = 256, rate: float = 0.02):
+        """Adam over shuffled batches, for a fixed number of steps whatever the sample's size."""
         rng = np.random.default_rng(seed)
         first = [np.zeros_like(w) for w in self.weights()]
         second = [np.zeros_like(w) for w in self.weights()]
-        step, total = 0, max(1, epochs * -(-len(windows) // batch))
-        for _ in range(epochs):
-            order = rng.permutation(len(windows))
-            for at in range(0, len(order), batch):
-                pick = order[at : at + batch]
-                _, grads = self.gradients(windows[pick], labels[pick])
-                step += 1
-                size = rate * (1 - 0.9 * step / total)
-                for w, g, m, v in zip(self.weights(), grads, first, second, strict=True):
-                    m += 0.1 * (g - m)
-                    v += 0.01 * (g * g - v)
-                    w -= size * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
+        order = np.concatenate([rng.permutation(len(windows)) for _ in range(-(-steps * batch // len(windows)))])
+        for step in range(1, steps + 1):
+            pick = order[(step - 1) * batch : step * batch]
+            _, grads = self.gradients(windows[pick], labels[pick])
+            size = rate * (1 - 0.9 * step / steps)
+            for w, g, m, v in zip(self.weights(), grads, first, second, strict=True):
+                m += 0.1 * (g - m)
+                v += 0.01 * (g * g - v)
+                w -= size * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-7)
         return self
 
 
@@ -255,7 +253,7 @@ def train_language_model(
     lang_col: str = "lang",
     docs_per_language: int = 400,
     windows_per_doc: int = 4,
-    epochs: int = 10,
+    steps: int = 300,
     seed: int = 11,
 ) -> ByteTagger | None:
     """Train on about ``docs_per_language`` documents of each language, ``windows_per_doc`` windows of each.
@@ -290,7 +288,7 @@ def train_language_model(
     languages = sorted({lang for lang, _ in rows})
     windows = np.stack([np.frombuffer(b, np.uint8) for _, b in rows])
     labels = np.array([languages.index(lang) for lang, _ in rows])
-    return ByteTagger.fresh(languages, seed).fit(windows, labels, epochs, seed)
+    return ByteTagger.fresh(languages, seed).fit(windows, labels, steps, seed)
 
 
 def identify_languages(
