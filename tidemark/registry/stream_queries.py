@@ -29,35 +29,28 @@ from tidemark.session import staging_path
 from tidemark.sources import bindings
 from tidemark.streaming import market_stream as ms
 
-WATERMARK = "1 day"
-CANDLE_WATERMARK = "1 hour"
-
-
-def _first_half(df: DataFrame, day: "F.Column") -> "F.Column":
-    """Rows whose day falls in the first half of the data's own day range (time-ordered split).
-
-    The range ends come from scalar subqueries over the same data, so the
-    split point moves with the data and batch 2 never holds older rows.
-    """
-    days = df.select(day.alias("d"))
-    lo, hi = days.select(F.min("d")).scalar(), days.select(F.max("d")).scalar()
-    return F.datediff(day, lo) <= F.floor(F.datediff(hi, lo) / 2)
+def _midpoint(spark: SparkSession, df: DataFrame, day: "F.Column") -> "F.Column":
+    """Rows whose day falls in the first half of the data's own day range (time-ordered split)."""
+    lo, hi = df.agg(F.min(day), F.max(day)).first()
+    return F.datediff(day, F.lit(lo)) <= (hi - lo).days // 2 if lo else F.lit(True)
 
 
 def _feed_day() -> "F.Column":
     return F.to_date(F.substring("ingestion_time", 1, 10))
 
 
-def _land_feed(spark: SparkSession, sf_dir: str, landing: str, batch: int) -> None:
-    raw = bindings.raw_feed(spark, sf_dir)
-    cond = _first_half(raw, _feed_day())
-    raw.where(cond if batch == 1 else ~cond).write.mode("overwrite").json(f"{landing}/batch-{batch}")
+def _land(df: DataFrame, day: "F.Column", landing: str, run, kind: str = "json") -> None:
+    """Land the two halves of ``df`` and run the stream after each."""
+    first = _midpoint(df.sparkSession, df, day)
+    for batch, rows in ((1, first), (2, ~first)):
+        df.where(rows).write.mode("overwrite").format(kind).save(f"{landing}/batch-{batch}")
+        run()
 
 
-def _two_runs(spark, sf_dir, landing, start_stream) -> None:
-    for batch in (1, 2):
-        _land_feed(spark, sf_dir, landing, batch)
-        ms.run_available(start_stream)
+def _drain(stream: DataFrame, write, checkpoint: str):
+    return lambda: ms.run_available(
+        lambda: stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    )
 
 
 def _first_half_sql(day: str, source: str) -> str:
@@ -94,92 +87,59 @@ def stream_bronze_append(spark, sf_dir):
             .outputMode("append")
         )
 
-    _two_runs(spark, sf_dir, landing, start)
+    _land(bindings.raw_feed(spark, sf_dir), _feed_day(), landing, lambda: ms.run_available(start))
     return spark.read.parquet(sink)
 
 
-@query(
-    "stream_silver_dedup",
-    with_ctes(RAW_FEED, BRONZE, STD, VALID, select="SELECT DISTINCT batch_id, symbol, event_time FROM valid"),
-)
-def stream_silver_dedup(spark, sf_dir):
-    """ST-2: streaming silver with watermarked dedup; the sink holds one row per key."""
-    root = staging_path(spark, "stream_silver")
-    landing, sink = f"{root}/landing", f"{root}/silver"
+BATCH_OF_ROW = f"CASE WHEN {_first_half_sql(FEED_DAY, 'raw_feed')} THEN 'batch-1' ELSE 'batch-2' END"
+LANDED = f"""bronze AS (
+  SELECT source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id,
+         {BATCH_OF_ROW} AS source_file, event_id
+  FROM raw_feed)"""
 
-    def start():
-        bronze = ms.bronze_stream(ms.read_feed_stream(spark, f"{landing}/*"))
-        keys = ms.silver_stream(bronze, WATERMARK).select("batch_id", "symbol", "event_time")
-        return (
-            keys.writeStream.format("parquet")
-            .option("path", sink)
-            .option("checkpointLocation", f"{root}/_checkpoint")
-            .outputMode("append")
-        )
 
-    _two_runs(spark, sf_dir, landing, start)
-    return spark.read.parquet(sink)
+@query("stream_silver_dedup", with_ctes(RAW_FEED, LANDED, STD, VALID, SILVER, select="SELECT * FROM silver"))
+def stream_silver_dedup(spark, sf_dir):
+    """ST-2: streaming silver, whole rows; one row per key with the batch layer's survivor."""
+    root = staging_path(spark, "stream_silver")
+    rows = ms.silver_stream(ms.bronze_stream(ms.read_feed_stream(spark, f"{root}/landing/*")))
+    run = _drain(rows, ms.append_epochs(f"{root}/silver"), f"{root}/_checkpoint")
+    _land(bindings.raw_feed(spark, sf_dir), _feed_day(), f"{root}/landing", run)
+    return ms.silver_table(spark, f"{root}/silver")
 
 
 @query(
     "stream_candles",
     with_ctes(
         TICKS,
-        select="""SELECT * FROM (
-  SELECT symbol, asset_type, date_trunc('hour', event_time) AS window_start,
+        select="""SELECT symbol, asset_type, date_trunc('hour', event_time) AS window_start,
          date_trunc('hour', event_time) + INTERVAL 1 hour AS window_end,
          arg_min(price, (event_time, event_id)) AS open, max(price) AS high, min(price) AS low,
          arg_max(price, (event_time, event_id)) AS close, round(sum(volume), 4) AS volume,
          CAST(count(*) AS BIGINT) AS trades
-  FROM ticks GROUP BY symbol, asset_type, date_trunc('hour', event_time))
-WHERE window_end <= (SELECT max(event_time) FROM ticks) - INTERVAL 1 hour""",
+  FROM ticks GROUP BY symbol, asset_type, date_trunc('hour', event_time)""",
     ),
 )
 def stream_candles(spark, sf_dir):
-    """ST-3: hourly candles in append mode; the sink holds every window the watermark closed."""
+    """ST-3: hourly candles; each trigger adds partial ones, every window is delivered."""
     root = staging_path(spark, "stream_candles")
-    landing, sink = f"{root}/landing", f"{root}/candles"
     ticks = bindings.ticks(spark, sf_dir)
-    schema = ticks.schema
-
-    def start():
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{landing}/*")
-        return (
-            ms.candle_stream(stream, "1 hour", CANDLE_WATERMARK)
-            .writeStream.format("parquet")
-            .option("path", sink)
-            .option("checkpointLocation", f"{root}/_checkpoint")
-            .outputMode("append")
-        )
-
-    day = _first_half(ticks, F.to_date("event_time"))
-    for batch, cond in ((1, day), (2, ~day)):
-        ticks.where(cond).write.mode("overwrite").parquet(f"{landing}/batch-{batch}")
-        ms.run_available(start)
-    return spark.read.parquet(sink)
+    stream = spark.readStream.schema(ticks.schema).parquet(f"{root}/landing/*")
+    write = ms.append_epochs(f"{root}/partials")
+    run = _drain(stream, lambda df, epoch: write(ms.partial_candles(df, "1 hour"), epoch), f"{root}/_checkpoint")
+    _land(ticks, F.to_date("event_time"), f"{root}/landing", run, kind="parquet")
+    return ms.merged_candles(ms.read_epochs(spark, f"{root}/partials"))
 
 
 @query("stream_latest_summary", with_ctes(RAW_FEED, BRONZE, STD, VALID, SILVER, LATEST, SUMMARY, select="SELECT * FROM summary"))
 def stream_latest_summary(spark, sf_dir):
-    """ST-4: latest row per symbol kept in streaming state, summary rewritten per trigger."""
+    """ST-4: newest row per symbol of each trigger, and the summary of the newest of all."""
     root = staging_path(spark, "stream_latest")
-    landing, table = f"{root}/landing", f"{root}/latest"
-
-    def write_latest(batch_df: DataFrame, epoch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(table)
-
-    def start():
-        bronze = ms.bronze_stream(ms.read_feed_stream(spark, f"{landing}/*"))
-        rows = market.standardize(bronze).where(market.silver_predicate())
-        return (
-            ms.latest_state(rows)
-            .writeStream.foreachBatch(write_latest)
-            .option("checkpointLocation", f"{root}/_checkpoint")
-            .outputMode("complete")
-        )
-
-    _two_runs(spark, sf_dir, landing, start)
-    return ms.summary_from_latest(spark.read.parquet(table))
+    rows = ms.silver_stream(ms.bronze_stream(ms.read_feed_stream(spark, f"{root}/landing/*")))
+    write = ms.append_epochs(f"{root}/latest")
+    run = _drain(rows, lambda df, epoch: write(ms.latest_state(df), epoch), f"{root}/_checkpoint")
+    _land(bindings.raw_feed(spark, sf_dir), _feed_day(), f"{root}/landing", run)
+    return ms.summary_from_latest(ms.latest_state(ms.read_epochs(spark, f"{root}/latest")))
 
 
 SECOND_HALF_FEED = RAW_FEED.replace("raw_feed AS (", "raw_feed_all AS (", 1) + (
@@ -192,21 +152,23 @@ SECOND_HALF_FEED = RAW_FEED.replace("raw_feed AS (", "raw_feed_all AS (", 1) + (
     with_ctes(SECOND_HALF_FEED, BRONZE, STD, VALID, SILVER, LATEST, SUMMARY, select="SELECT * FROM summary"),
 )
 def stream_two_batch_replay(spark, sf_dir):
-    """ST-5: the batch job run once per landed batch with overwrite semantics.
+    """ST-5: the batch job run once per landed batch, each into a version of its own.
 
-    As in the reference, each run replaces the gold table, so after two
-    batches it reflects the second batch only.
+    As in the reference, a run replaces the gold table: after two batches the
+    newest version reflects the second batch only.  The job reads a landed
+    batch by its folder, however many triggers brought its files.
     """
     root = staging_path(spark, "stream_replay")
-    landing, table = f"{root}/landing", f"{root}/gold_summary"
-
-    def run_batch_job(batch_df: DataFrame, epoch_id: int) -> None:
-        bronze = batch_df.withColumn("source_file", F.lit("market_batch.jsonl"))
-        market.gold_summary(market.silver(bronze)).write.mode("overwrite").parquet(table)
-
-    def start():
-        raw = ms.read_feed_stream(spark, f"{landing}/*")
-        return raw.writeStream.foreachBatch(run_batch_job).option("checkpointLocation", f"{root}/_checkpoint")
-
-    _two_runs(spark, sf_dir, landing, start)
-    return spark.read.parquet(table)
+    bronze = ms.bronze_stream(ms.read_feed_stream(spark, f"{root}/landing/*"))
+    drain = _drain(bronze, ms.append_epochs(f"{root}/bronze"), f"{root}/_checkpoint")
+    versions: list[str] = []
+
+    def run() -> None:
+        drain()
+        batch = f"batch-{len(versions) + 1}"
+        rows = ms.read_epochs(spark, f"{root}/bronze").where(F.col("source_file") == batch)
+        market.gold_summary(market.silver(rows)).write.mode("overwrite").parquet(f"{root}/gold/{batch}")
+        versions.append(f"{root}/gold/{batch}")
+
+    _land(bindings.raw_feed(spark, sf_dir), _feed_day(), f"{root}/landing", run)
+    return spark.read.parquet(versions[-1])

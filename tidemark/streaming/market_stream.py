@@ -8,17 +8,20 @@ or a restarted driver resumes from the last committed batch.
 
 * ST-1 bronze: JSONL → bronze with per-file lineage, append to a file sink
   (exactly-once through the sink's metadata log).
-* ST-2 silver: the batch transformations (stateless) + ``withWatermark`` +
-  ``dropDuplicates`` on keys that include event time, so dedup state is
-  evicted as the watermark passes.
-* ST-3 candles: tumbling-window aggregation with a watermark, *append* mode:
-  a window is written once, when the watermark closes it; state holds only
-  open windows.
-* ST-4 latest summary: one row per symbol kept in the state store
-  (``max_by`` over the total order used by the batch layer), rewritten per
-  trigger; state and output are bounded by the number of symbols.
-* ST-5 replay: the reference's batch job applied per landed batch with
-  overwrite semantics, so the final tables reflect the last batch only.
+* ST-2 silver: each trigger appends its standardised, valid rows; the table's
+  reader keeps one row per key with the batch layer's survivor.
+* ST-3 candles: each trigger appends partial candles of its rows, the reader
+  merges them, so every window is there whatever files a trigger got.  A
+  watermarked append form (:func:`candle_stream`) is there for live feeds
+  whose files come in time order.
+* ST-4 latest summary: each trigger appends the newest row per symbol of its
+  rows; the reader takes the newest of those.
+* ST-5 replay: the batch job run per landed folder, each into a version of
+  its own, so the newest version reflects the last landed batch only.
+
+ST-2 to ST-4 write one folder per trigger (``epoch=N``), replaced as a whole if
+the trigger is run again and never otherwise.  Their reductions do not depend
+on how files were split among triggers.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.plans import analytics, market
-from tidemark.schemas import MARKET_SCHEMA, TOP_TRANSACTION_ORDER
+from tidemark.schemas import MARKET_SCHEMA
 
 FEED_SCHEMA = StructType(MARKET_SCHEMA.fields + [StructField("event_id", LongType())])
 
@@ -46,9 +49,30 @@ def run_available(writer_factory: Callable[[], "object"], timeout_s: float | Non
         raise query.exception()
 
 
-def read_feed_stream(spark: SparkSession, landing: str, schema: StructType = FEED_SCHEMA) -> DataFrame:
-    """ST-1 source: JSONL files of a landing folder, under an explicit schema."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).json(landing)
+def read_feed_stream(
+    spark: SparkSession, landing: str, schema: StructType = FEED_SCHEMA, files_per_trigger: int | None = None
+) -> DataFrame:
+    """ST-1 source: JSONL files of a landing folder, under an explicit schema.
+
+    ``files_per_trigger`` only paces the stream; no result here depends on it.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.json(landing)
+
+
+def append_epochs(table: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer: one folder per trigger, replaced whole if the trigger is retried."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+
+    return write
+
+
+def read_epochs(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.parquet(table).drop("epoch")
 
 
 def bronze_stream(raw: DataFrame) -> DataFrame:
@@ -57,10 +81,51 @@ def bronze_stream(raw: DataFrame) -> DataFrame:
     return raw.withColumn("source_file", folder)
 
 
-def silver_stream(bronze: DataFrame, watermark: str) -> DataFrame:
-    """ST-2: standardise + filter (stateless) + watermarked dedup on (batch_id, symbol, event_time)."""
-    clean = market.standardize(bronze).where(market.silver_predicate())
-    return clean.withWatermark("event_time", watermark).dropDuplicates(["batch_id", "symbol", "event_time"])
+def silver_stream(bronze: DataFrame) -> DataFrame:
+    """ST-2: the stateless half of silver, standardise + filter."""
+    return market.standardize(bronze).where(market.silver_predicate())
+
+
+def silver_table(spark: SparkSession, table: str) -> DataFrame:
+    """ST-2: whole silver rows, one per key; the same survivor as the batch layer."""
+    return market.dedup_keys(read_epochs(spark, table))
+
+
+def partial_candles(ticks: DataFrame, width: str) -> DataFrame:
+    """ST-3: what a set of ticks adds to each candle: ends with their place in the order, and sums."""
+    first, last = F.struct("event_time", "event_id", "price"), F.struct("event_time", "event_id", "price")
+    return ticks.groupBy("symbol", "asset_type", F.window("event_time", width).alias("w")).agg(
+        F.min(first).alias("first"),
+        F.max(last).alias("last"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.sum("volume").alias("volume"),
+        F.count("*").alias("trades"),
+    )
+
+
+def merged_candles(partials: DataFrame) -> DataFrame:
+    """ST-3: candles from the partial ones of all triggers."""
+    merged = partials.groupBy("symbol", "asset_type", "w").agg(
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.round(F.sum("volume"), 4).alias("volume"),
+        F.sum("trades").alias("trades"),
+    )
+    return merged.select(
+        "symbol",
+        "asset_type",
+        F.col("w.start").alias("window_start"),
+        F.col("w.end").alias("window_end"),
+        F.col("first.price").alias("open"),
+        "high",
+        "low",
+        F.col("last.price").alias("close"),
+        "volume",
+        "trades",
+    )
 
 
 def candle_stream(ticks: DataFrame, width: str, watermark: str) -> DataFrame:
@@ -73,19 +138,14 @@ def latest_state(silver_rows: DataFrame) -> DataFrame:
 
     The batch layer keeps the lowest event_id per (batch_id, symbol,
     event_time) and then the newest (event_time, batch_id); that row is the
-    max of ``(event_time, batch_id, -event_id)``, so one ``max_by`` per
-    symbol in the state store reproduces dedup + latest exactly.
+    max of ``(event_time, batch_id, -event_id)``.  The choice may be made in
+    parts: the newest of the triggers' newest rows is the newest of all.
     """
-    cols = [c for c in silver_rows.columns]
     order = F.struct("event_time", "batch_id", (-F.col("event_id")).alias("neg_id"))
-    agg = silver_rows.groupBy("symbol").agg(F.max_by(F.struct(*cols), order).alias("r"))
+    agg = silver_rows.groupBy("symbol").agg(F.max_by(F.struct(*silver_rows.columns), order).alias("r"))
     return agg.select("r.*")
 
 
 def summary_from_latest(latest: DataFrame) -> DataFrame:
     """Gold summary columns from latest rows (same projection as the batch layer)."""
     return market.gold_summary(latest)
-
-
-def top_from_batch(batch_silver: DataFrame) -> DataFrame:
-    return market.top_transactions(batch_silver).select(*TOP_TRANSACTION_ORDER)
