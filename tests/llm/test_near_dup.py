@@ -63,6 +63,14 @@ def test_awkward_rows(spark):
     assert near_duplicate_groups(edges.empty(spark)).count() == 0
 
 
+def test_repeated_and_missing_ids(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    near, other = base.replace("w59", "x"), " ".join(f"v{k}" for k in range(60))
+    rows = [(5, base), (5, other), (None, near), (7, near.replace("w0 ", "y ")), (8, other), (None, other.replace("v59", "x"))]
+    got = near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in got) == [(0, 5), (0, 5), (5, 5), (5, 5), (7, 5), (8, 5)]
+
+
 def test_sketch_counts_differing_samples():
     rng = np.random.default_rng(1)
     base = np.unique(rng.integers(0, 1 << 62, 4000, dtype=np.uint64))

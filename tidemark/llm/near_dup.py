@@ -13,8 +13,8 @@ No group is expanded into all its pairs:
 2. In each bucket every node is compared with the bucket's hub, the node with
    the largest buckets of its own; a node confirms the best hub it has.
 3. Only nodes of a bucket that are still in different components are compared
-   with each other, inside blocks of bounded size, and only pairs that pass
-   the sketch leave the join.
+   with each other, inside blocks of bounded size that carry the full sets;
+   a node leaves a block with at most one link to each other component.
 
 Step 3 covers every pair of a bucket that is not linked yet, so no candidate
 is dropped.  A pair of similarity 0.75 misses all bands with probability
@@ -118,8 +118,8 @@ def signature(members: np.ndarray) -> Signature:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, node, bands, sketch)`` per document; the last three NULL for an empty set."""
-    rows = text_rows(docs, id_col, text_col)
+    """``(doc_id, text_hash, n_shingles, node, bands, sketch)`` per document; the last three NULL for an empty set."""
+    rows = text_rows(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,16 +132,17 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("text_hash"),
                     pa.array(sizes, pa.int64()),
                     pa.array([s and s.node for s in found], pa.int64()),
                     pa.array([None if s is None else s.bands for s in found], pa.list_(pa.int64())),
                     pa.array([None if s is None else s.sketch for s in found], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "node", "bands", "sketch"],
+                names=["doc_id", "text_hash", "n_shingles", "node", "bands", "sketch"],
             )
 
     return rows.mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, node long, bands array<long>, sketch array<long>"
+        run, f"doc_id {kind}, text_hash long, n_shingles long, node long, bands array<long>, sketch array<long>"
     )
 
 
@@ -183,12 +184,12 @@ def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _unlinked(members: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and pass the sketch.
+def _blocks(members: DataFrame) -> DataFrame:
+    """Rows of the buckets that still hold several components, dealt to blocks of about BLOCK rows.
 
-    In a bucket only the rows outside its largest component meet all others.
-    Both sides are dealt to blocks of about BLOCK rows by a hash, so that a
-    group of the join holds at most BLOCK times BLOCK comparisons.
+    In a bucket only the rows outside its largest component (``side`` 0) meet
+    all rows (``side`` 1).  Both sides are dealt by a hash, so a block holds
+    at most BLOCK times BLOCK comparisons whatever the bucket's size.
     """
     counts = members.groupBy("band", "root").agg(F.count("*").alias("n"))
     sizes = counts.groupBy("band").agg(
@@ -200,25 +201,96 @@ def _unlinked(members: DataFrame) -> DataFrame:
         F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"),
         F.ceil((F.col("size") - F.col("most.n")) / BLOCK).cast("int").alias("rest_blocks"),
     )
-    rows = members.join(open_, "band")
-    block = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    rows = members.select("band", "node", "root").join(open_, "band")
+    own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rest = rows.where("root <> main").select(
-        "band", block(F.col("rest_blocks")).alias("i"), each(F.col("blocks")).alias("j"), "node", "root", "main", "sketch"
-    )
+    kept = [F.lit(0).alias("side"), "node", "root", "main"]
+    rest = rows.where("root <> main").select("band", own(F.col("rest_blocks")).alias("i"), each(F.col("blocks")).alias("j"), *kept)
     every = rows.select(
-        "band",
-        each(F.col("rest_blocks")).alias("i"),
-        block(F.col("blocks")).alias("j"),
-        F.col("node").alias("node2"),
-        F.col("root").alias("root2"),
-        F.col("sketch").alias("sketch2"),
+        "band", each(F.col("rest_blocks")).alias("i"), own(F.col("blocks")).alias("j"), F.lit(1).alias("side"), *kept[1:]
     )
-    # two rows outside the main component would meet twice
-    once = (F.col("root2") == F.col("main")) | (F.col("node") < F.col("node2"))
-    near = differing_bits(F.col("sketch"), F.col("sketch2")) <= SKETCH_LIMIT
-    met = rest.join(every, ["band", "i", "j"]).where((F.col("root") != F.col("root2")) & once & near)
-    return met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
+    return rest.union(every)
+
+
+def _with_sets(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Block rows with the full shingle set, the bands and the sketch of their node, computed once a node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            found = [shingle_set(t) for t in part.column("text").to_pylist()]
+            signed = [signature(m) for m in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("node"),
+                    pa.array([m.tobytes() for m in found], pa.binary()),
+                    pa.array([s.bands.tobytes() for s in signed], pa.binary()),
+                    pa.array([s.sketch.tobytes() for s in signed], pa.binary()),
+                ],
+                names=["node", "members", "bands", "sketch"],
+            )
+
+    wanted = texts.join(rows.select("node").distinct(), "node").select("node", "text")
+    sets = materialize(wanted.mapInArrow(run, "node long, members binary, bands binary, sketch binary"), "open-sets")
+    return rows.join(sets, "node")
+
+
+def link_block(rows: list[dict], band: int) -> list[tuple[int, int]]:
+    """Links of a block: for each row outside the main component, one link to each other component.
+
+    A pair belongs to the first band that both have in common, so that it is
+    compared once, however many buckets it shares.
+    """
+    left, right = ([r for r in rows if r["side"] == side] for side in (0, 1))
+    if not left or not right:
+        return []
+    table = lambda rs, c, kind: np.stack([np.frombuffer(r[c], kind) for r in rs])
+    bands, sketch = table(right, "bands", np.int64), table(right, "sketch", np.uint64)
+    node, root = (np.array([r[c] for r in right], np.int64) for c in ("node", "root"))
+    sets = [np.frombuffer(r["members"], np.uint64) for r in right]
+    sizes = np.array([len(m) for m in sets])
+    links = []
+    for x in left:
+        near = (root != x["root"]) & ((root == x["main"]) | (node > x["node"]))
+        at = np.flatnonzero(near)
+        bits = np.bitwise_count(sketch[at] ^ np.frombuffer(x["sketch"], np.uint64)).sum(axis=1)
+        at = at[bits <= SKETCH_LIMIT]
+        own = np.frombuffer(x["bands"], np.int64)
+        shared = bands[at] == own
+        at = at[own[shared.argmax(axis=1)] == band] if len(at) else at
+        if not len(at):
+            continue
+        mine = np.frombuffer(x["members"], np.uint64)
+        pool = np.concatenate([sets[k] for k in at])
+        hit = mine[np.minimum(np.searchsorted(mine, pool), len(mine) - 1)] == pool
+        both = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(sizes[at])[:-1]]))
+        good = at[100 * both >= PERCENT * (len(mine) + sizes[at] - both)]
+        _, one = np.unique(root[good], return_index=True)
+        links += [(min(x["node"], int(node[k])), max(x["node"], int(node[k]))) for k in good[one]]
+    return links
+
+
+def open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between different components that share a bucket, confirmed on the full sets."""
+    blocks = _with_sets(materialize(_blocks(members), "blocks"), texts)
+    keys = ["band", "i", "j"]
+    dealt = blocks.repartition(*keys).sortWithinPartitions(*keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key, links = [], None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (now := (row["band"], row["i"], row["j"])) != key:
+                    links += link_block(held, key[0]) if held else []
+                    held, key = [], now
+                held.append(row)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], names=["a", "b"])
+                links = []
+        links = link_block(held, key[0]) if held else []
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -233,11 +305,12 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gives an empty result; other columns are not read.
     """
     signed = materialize(signatures(docs, id_col, text_col), "signatures")
-    # equal sets: one node, named by any one of its rows
-    sets = materialize(
-        signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes"
-    )
-    firsts = signed.join(sets, ["node", "doc_id"]).dropDuplicates(["node"])
+    # equal sets: one node, represented by the row of least id (ids may be NULL or repeat with other texts)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    sets = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(row).alias("row"))
+    sets = materialize(sets.select("node", "row.doc_id", "row.text_hash"), "nodes")
+    same_row = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
+    firsts = signed.join(sets, (signed["node"] == sets["node"]) & same_row(signed, sets), "left_semi").dropDuplicates(["node"])
     spread = materialize(firsts.select("node", F.explode("bands").alias("band")), "bands")
     buckets = spread.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     held = materialize(spread.join(buckets, "band"), "buckets")
@@ -253,12 +326,12 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     # whole texts of the nodes that share a bucket, written once for both rounds
     wanted = members.select("node").distinct().join(sets, "node")
-    own = text_rows(docs, id_col, text_col).join(wanted, "doc_id")
-    texts = materialize(own.dropDuplicates(["node"]).select("node", "text"), "candidate-texts")
+    own = text_rows(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    placed = own.join(wanted, same_row(own, wanted)).select("node", "text")
+    texts = materialize(placed.dropDuplicates(["node"]), "candidate-texts")
 
     links = materialize(confirm(first_pairs, texts), "hub-links")
-    rest = materialize(_unlinked(_rooted(members, links)).join(first_pairs, ["a", "b"], "left_anti"), "other-pairs")
-    links = links.union(materialize(confirm(rest, texts), "other-links"))
+    links = links.union(materialize(open_links(_rooted(members, links), texts), "open-links"))
 
     roots = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     rooted = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
