@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import DataQualityError
-from tidemark.plans import feed
+from tidemark.plans import feed, jobs
 from tidemark.sources import feeds
 
 
@@ -98,3 +98,25 @@ def test_feed_build_job_writes_normalised_jsonl(spark, tmp_path):
     first_line = spark.read.text(out).first()[0]
     keys = list(json.loads(first_line))
     assert keys == sorted(keys)  # sorted keys, one object per line
+
+
+@pytest.mark.parametrize(
+    "symbol,payload",
+    [("A", _bars(404, [])), ("A", _bars(200, [])), ("A", _bars(200, [{"date": "13/40/2026", "close": "$1", "volume": "1"}]))],
+)
+def test_strict_build_stops_on_vendor_errors(spark, tmp_path, symbol, payload):
+    good = _bars(200, [{"date": "07/10/2026", "close": "$2.50", "volume": "10"}])
+    bars = spark.createDataFrame([("G", good), (symbol, payload)], "symbol string, payload string")
+    products = feeds.product_symbols(spark)
+    with pytest.raises(DataQualityError):
+        jobs.feed_build(bars, None, products, str(tmp_path / "out"))
+    jobs.feed_build(bars, None, products, str(tmp_path / "out"), strict=False, reject_dir=str(tmp_path / "rejects"))
+    assert [r["symbol"] for r in spark.read.json(str(tmp_path / "out")).collect()] == ["G"]
+    assert [r["symbol"] for r in spark.read.json(str(tmp_path / "rejects")).collect()] == ["A"]
+
+
+@pytest.mark.parametrize("product,payload", [("BTC-USD", '{"price": "1"}'), ("DOGE-USD", '{"price": "1", "volume": "2", "time": "t"}')])
+def test_strict_build_stops_on_ticker_errors(spark, tmp_path, product, payload):
+    tickers = spark.createDataFrame([(product, payload)], "product_id string, payload string")
+    with pytest.raises(DataQualityError):
+        jobs.feed_build(None, tickers, feeds.product_symbols(spark), str(tmp_path / "out"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal, InvalidOperation
+from hashlib import sha1
 
 import pytest
 from hypothesis import given, settings
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import functions as fn
-from tidemark.sinks.writers import principal_suffix
+from tidemark.sinks.writers import suffix_of
 
 
 def _one(spark, col, values, dtype="string"):
@@ -29,7 +30,8 @@ def _py_decimal_text(v):
 
 
 def test_decimal_text_plain_forms(spark):
-    vals = ["385.10", "34132320", " 2795.77064009 ", "+5.0", "0005.50", ".5", "5.", "0", "-1.5", "bad", "", None, "0.001"]
+    vals = ["385.10", "34132320", " 2795.77064009 ", "+5.0", "0005.50", ".5", "5.", "0", "-1.5", "bad", "", None, "0.001",
+            "100000000000000000000", "0.0000000000000000001", "1.50e3", "1.5e-3", "1E+2", "12.5e30", "0e5", "-1e3", "1e", "e5", ".", "5e-1"]
     got = _one(spark, fn.decimal_text, vals)
     assert got == [_py_decimal_text(v) if v is not None else None for v in vals]
 
@@ -53,7 +55,8 @@ def test_currency_and_compact(spark):
         "$1,235", "$999.99", "$12.30", "$0.00", "-$5.00", "$1,500,000", "$15,456"]
     assert _one(spark, fn.compact_number, [1234.0, 999.0, 999999.0, 1500000.0, 2.5e9, 0.126, 3.2e12], "double") == [
         "1.23K", "999", "1M", "1.5M", "2.5B", "0.13", "3.2T"]
-    assert _one(spark, fn.as_number, ["12", "x", None, "NaN", "Infinity"]) == [12.0, 0.0, 0.0, 0.0, 0.0]
+    assert _one(spark, fn.as_number, ["12", "x", None, "NaN", "Infinity", "1d", "2F", "-1.5e2", " 7. "]) == [
+        12.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, -150.0, 7.0]
 
 
 def test_display_date_and_type_label(spark):
@@ -69,7 +72,10 @@ def test_display_date_and_type_label(spark):
 def test_tenant_suffix_matches_rule(spark, target, principal):
     df = spark.createDataFrame([(target, principal)], "t string, p string")
     got = df.select(fn.tenant_suffix("t", "p")).first()[0]
-    assert got == principal_suffix(target, principal)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789_"
+    clean = lambda t: "".join(c if c in letters else "_" for c in t.lower())
+    assert got == "_".join([clean(target), clean(principal)[:32], sha1(principal.encode()).hexdigest()[:8]])
+    assert got == suffix_of(target, principal)
 
 
 def test_try_parsers(spark):
@@ -77,3 +83,8 @@ def test_try_parsers(spark):
     ts = _one(spark, lambda c: fn.try_timestamp(c).cast("timestamp_ntz").cast("string"),
               ["2026-07-12T15:58:21.998137659Z", "2026-07-10T00:00:00+00:00", "not a time"])
     assert ts == ["2026-07-12 15:58:21.998137", "2026-07-10 00:00:00", None]
+
+
+def test_currency_text_is_whole(spark):
+    text = _one(spark, fn.currency_text, [-1e60], "double")[0]
+    assert text.startswith("-$1,000,000") and text.endswith(".00") and len(text) > 80

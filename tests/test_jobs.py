@@ -19,23 +19,23 @@ def test_market_jobs_end_to_end(spark, tmp_path):
     res = jobs.market_validation(spark, "dev", principal="Tester@Example.com")
     assert res.where("NOT passed").count() == 0
     out = jobs.dashboard_export(spark, "dev", str(tmp_path / "dash"), principal="Tester@Example.com",
-                                generated_at="2026-07-12T16:02:56.298156+00:00")
+                                generated_at="2031-02-03T04:06:07.000008+00:00")
     doc = json.loads(spark.read.text(out).first()[0])
     assert list(doc) == sorted(doc)
-    assert [r["symbol"] for r in doc["gold"]["top_stock_transactions"]] == ["NVDA", "TSLA", "AAPL", "MSFT", "AMZN"]
+    assert [r["symbol"] for r in doc["gold"]["top_stock_transactions"]] == ["DELT", "CHAR", "ECHO", "BRVO", "ALFA"]
     assert doc["gold"]["top_stock_transactions"][0]["rank"] == "1"
-    assert doc["gold"]["latest_summary"][0]["last_updated"] == "2026-07-12T15:58:21.998Z"
+    assert doc["gold"]["latest_summary"][0]["last_updated"] == "2031-02-02T11:22:33.123Z"
     assert len(doc["bronze"]["latest_records"]) == 8
     # every value is text, rendered as the committed export renders it
     top = doc["gold"]["top_stock_transactions"][0]
-    assert (top["price"], top["volume"], top["transaction_value"]) == ("210.96", "1.48421E8", "3.131089416E10")
-    aapl = [r for r in doc["gold"]["latest_summary"] if r["symbol"] == "AAPL"][0]
-    assert (aapl["volume"], aapl["high"], aapl["last_updated"]) == ("3.413232E7", "315.32", "2026-07-10T00:00:00.000Z")
+    assert (top["price"], top["volume"], top["transaction_value"]) == ("7.35", "8.8E7", "6.468E8")
+    delt = [r for r in doc["gold"]["latest_summary"] if r["symbol"] == "DELT"][0]
+    assert (delt["volume"], delt["high"], delt["last_updated"]) == ("8.8E7", "7.35", "2031-02-01T00:00:00.000Z")
     assert [r["symbol"] for r in doc["gold"]["latest_summary"]][:3] == ["BTCUSD", "ETHUSD", "SOLUSD"]
-    assert doc["bronze"]["latest_records"][0]["event_time"] == "2026-07-12T15:58:21.998137659Z"
+    assert doc["bronze"]["latest_records"][0]["event_time"] == "2031-02-02T11:22:33.123456789Z"
     btc = doc["gold"]["top_crypto_transactions"][0]
-    assert btc == {"event_time": "2026-07-12T15:58:21.998Z", "price": "64122.77", "rank": "1", "symbol": "BTCUSD",
-                   "transaction_value": "1.7927255772724384E8", "volume": "2795.77064009"}
+    assert btc == {"event_time": "2031-02-02T11:22:33.123Z", "price": "50100.5", "rank": "1", "symbol": "BTCUSD",
+                   "transaction_value": "112726.125", "volume": "2.25"}
     assert sorted(doc["tables"]) == ["bronze", "summary", "top_crypto", "top_stocks"]
     dropped = jobs.cleanup(spark, "dev", principal="Tester@Example.com")
     assert len(dropped) == 7 and not spark.catalog.tableExists(names["silver"])

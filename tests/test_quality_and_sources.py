@@ -49,17 +49,17 @@ def test_quarantine_of_malformed_lines(spark, tmp_path):
     assert df.where(F.col("_corrupt").isNotNull()).count() == 1
 
 
-def test_choose_market_batch(spark, tmp_path):
-    root = tmp_path / "sample_data"
+def test_first_batch(spark, tmp_path):
+    root = tmp_path / "landing"
     root.mkdir()
-    write_jsonl(root / "sample_market_batch.jsonl", SAMPLE_BATCH)
-    assert files.choose_market_batch(spark, str(root)).endswith("sample_market_batch.jsonl")
-    write_jsonl(root / "latest_market_batch.jsonl", SAMPLE_BATCH)
-    assert files.choose_market_batch(spark, str(root)).endswith("latest_market_batch.jsonl")
+    write_jsonl(root / "old.jsonl", SAMPLE_BATCH)
+    assert files.first_batch(spark, str(root), ["new.jsonl", "old.jsonl"]).endswith("/old.jsonl")
+    write_jsonl(root / "new.jsonl", SAMPLE_BATCH)
+    assert files.first_batch(spark, str(root), ["new.jsonl", "old.jsonl"]).endswith("/new.jsonl")
     with pytest.raises(ValueError):
-        files.choose_market_batch(spark, str(root), "../x.jsonl")
+        files.first_batch(spark, str(root), ["../x.jsonl"])
     with pytest.raises(FileNotFoundError):
-        files.choose_market_batch(spark, str(root), "missing.jsonl")
+        files.first_batch(spark, str(root), ["missing.jsonl"])
 
 
 def test_tables_overwrite_split_and_drop(spark, tmp_path):

@@ -10,7 +10,6 @@ from __future__ import annotations
 # --- FIXED VALUES: market feed vocabulary --------------------------------------------
 ALLOWED_SOURCES = ("nasdaq", "coinbase")
 ALLOWED_ASSET_TYPES = ("stock", "crypto")
-STOCK_SYMBOLS = ("AAPL", "MSFT", "NVDA", "TSLA", "AMZN")
 CRYPTO_PRODUCTS = {"BTC-USD": "BTCUSD", "ETH-USD": "ETHUSD", "SOL-USD": "SOLUSD"}
 
 # --- FIXED VALUES: market gold layer -------------------------------------------------

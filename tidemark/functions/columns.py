@@ -88,30 +88,53 @@ def clean_number_text(col: ColumnOrName) -> Column:
     return strip_ws(F.translate(_c(col).cast("string"), "$,", ""))
 
 
+#: Longest exponent that is written out as plain digits.
+MAX_EXPONENT_DIGITS = 5
+
+
 def decimal_text(col: ColumnOrName) -> Column:
     """FN-12: a positive decimal as plain text, else NULL.
 
-    Plain literals (``[+]digits[.digits]``) keep their scale, like Python's
-    ``format(Decimal(x), "f")``: sign and redundant leading zeros go,
-    ``385.10`` stays ``385.10``.  Exponent forms go through DECIMAL(38,18) and
-    lose trailing zeros (a stated difference).
+    Decided on the text alone, so neither size nor scale is limited: the value
+    is positive if the digits hold one that is not 0 and there is no minus
+    sign.  Scale is kept as written (``385.10`` stays ``385.10``); an exponent
+    of up to five digits shifts the point (``1.50e3`` → ``1500``,
+    ``1.5e-3`` → ``0.0015``); sign and redundant leading zeros go.
     """
+    form = r"^\+?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,%d}))?$" % MAX_EXPONENT_DIGITS
+
+    def parts(text: Column) -> Column:
+        whole, fraction = F.regexp_extract(text, form, 1), F.regexp_extract(text, form, 2)
+        shift = F.coalesce(F.regexp_extract(text, form, 3).try_cast("int"), F.lit(0))
+        return F.struct(F.concat(whole, fraction).alias("digits"), (F.length(whole) + shift).alias("point"))
+
+    def shown(p: Column) -> Column:
+        digits, point = p["digits"], p["point"]
+        before = F.when(point <= 0, F.lit("")).otherwise(F.left(F.rpad(digits, F.greatest(point, F.length(digits)), F.lit("0")), point))
+        after = F.when(point <= 0, F.concat(F.repeat(F.lit("0"), -point), digits)).otherwise(F.substr(digits, point + 1))
+        number = F.regexp_replace(F.concat(F.lit("0"), before), r"^0+([0-9])", "$1")
+        return F.when(digits.rlike("[1-9]"), F.concat_ws(".", number, F.when(after != "", after)))
+
+    # each step is bound once; written out in place, its parts would be repeated many times over
     text = strip_ws(_c(col).cast("string"))
-    value = text.try_cast("decimal(38,18)")
-    plain = text.rlike(r"^\+?[0-9]*\.?[0-9]+$|^\+?[0-9]+\.$")
-    unsigned = F.regexp_replace(text, r"^\+", "")
-    no_lead = F.regexp_replace(unsigned, r"^0+([0-9])", "$1")
-    with_int = F.when(no_lead.startswith("."), F.concat(F.lit("0"), no_lead)).otherwise(no_lead)
-    plain_text = F.regexp_replace(with_int, r"\.$", "")
-    exp_text = F.regexp_replace(
-        F.regexp_replace(value.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", ""
-    )
-    return F.when(value.isNotNull() & (value > 0), F.when(plain, plain_text).otherwise(exp_text))
+    bound = F.transform(F.filter(F.array(text), lambda t: t.rlike(form)), lambda t: bound_once(parts(t), shown))
+    return F.get(bound, F.lit(0))
+
+
+def bound_once(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.transform(F.array(value), body)[0]
 
 
 def as_number(col: ColumnOrName) -> Column:
-    """FN-16: numeric coercion for display; unparsable or non-finite → 0."""
-    value = _c(col).cast("string").try_cast("double")
+    """FN-16: numeric coercion for display; unparsable or non-finite → 0.
+
+    The text must be a plain or exponent number: the cast alone would also
+    take type suffixes such as ``1d``.
+    """
+    text = _c(col).cast("string")
+    number = text.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    value = F.when(number, text.try_cast("double"))
     return F.when(is_finite(value), value).otherwise(F.lit(0.0))
 
 
@@ -125,7 +148,7 @@ def currency_text(col: ColumnOrName) -> Column:
     big = F.format_number(F.round(n, 0), 0)
     small = F.format_number(F.round(n, 2), 2)
     body = F.when(n >= 1000, big).otherwise(small)
-    return F.when(F.startswith(body, F.lit("-")), F.concat(F.lit("-$"), F.substring(body, 2, 64))).otherwise(
+    return F.when(F.startswith(body, F.lit("-")), F.concat(F.lit("-$"), F.substr(body, F.lit(2)))).otherwise(
         F.concat(F.lit("$"), body)
     )
 
@@ -175,11 +198,6 @@ def display_date(col: ColumnOrName) -> Column:
     )
 
 
-def iso_utc_text(col: ColumnOrName) -> Column:
-    """Timestamp → ``yyyy-MM-ddTHH:mm:ss.ffffff+00:00`` (Python ``isoformat`` in UTC)."""
-    return F.date_format(_c(col), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-
-
 # ---- naming -----------------------------------------------------------------------------
 
 

@@ -105,11 +105,12 @@ def top_movers(ticks: DataFrame, k: int = MOVERS_K) -> DataFrame:
     """WIN-5: per asset type, the k symbols with the largest |change %| on their latest tick.
 
     Latest tick = newest (event_time, event_id); symbols with one tick are
-    skipped; ties by symbol.
+    skipped; ties by symbol.  A symbol belongs to the type of its newest tick.
     """
     newest = Window.partitionBy("symbol").orderBy(F.col("event_time").desc(), F.col("event_id").desc())
     two = ticks.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= 2)
-    pair = two.groupBy("symbol", "asset_type").agg(
+    pair = two.groupBy("symbol").agg(
+        F.max(F.when(F.col("_rn") == 1, F.col("asset_type"))).alias("asset_type"),
         F.max(F.when(F.col("_rn") == 1, F.col("price"))).alias("latest_price"),
         F.max(F.when(F.col("_rn") == 2, F.col("price"))).alias("previous_price"),
         F.max(F.when(F.col("_rn") == 1, F.col("event_time"))).alias("event_time"),
@@ -122,6 +123,34 @@ def top_movers(ticks: DataFrame, k: int = MOVERS_K) -> DataFrame:
     return moved.withColumn("rank", F.row_number().over(rank_w)).where(F.col("rank") <= k)
 
 
+def summary_full(ticks: DataFrame) -> DataFrame:
+    """Gold summary with its change fields: newest and second newest tick, true high and low per symbol."""
+    newest = Window.partitionBy("symbol").orderBy(F.col("event_time").desc(), F.col("event_id").desc())
+    two = ticks.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= 2)
+    at = lambda rank, column: F.max(F.when(F.col("_rn") == rank, F.col(column)))
+    pair = two.groupBy("symbol").agg(
+        at(1, "asset_type").alias("asset_type"),
+        at(1, "price").alias("latest_price"),
+        at(2, "price").alias("previous_price"),
+        at(1, "volume").alias("volume"),
+        at(1, "event_time").alias("last_updated"),
+    )
+    span = ticks.groupBy("symbol").agg(F.max("price").alias("high"), F.min("price").alias("low"))
+    change = F.col("latest_price") - F.col("previous_price")
+    return pair.join(span, "symbol").select(
+        "symbol",
+        "asset_type",
+        "latest_price",
+        "previous_price",
+        F.round(change, 4).alias("price_change"),
+        F.round(F.try_divide(change, F.col("previous_price")) * 100, 4).alias("price_change_percent"),
+        "volume",
+        "high",
+        "low",
+        "last_updated",
+    )
+
+
 def volatility(ticks: DataFrame) -> DataFrame:
     """WIN-6: per symbol, count and sample stddev (4 places) of tick returns ``price/prev - 1``."""
     r = F.try_divide(F.col("price"), F.col("previous_price")) - 1

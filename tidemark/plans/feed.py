@@ -109,6 +109,15 @@ def normalize(
     return accepted, rejected
 
 
+def error_counts(*parsed: DataFrame) -> DataFrame:
+    """Payloads without a record, by feed and reason."""
+    failed = [p.where(F.col("error").isNotNull()).select("source", "error") for p in parsed]
+    whole = failed[0]
+    for more in failed[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("source", "error").agg(F.count(F.lit(1)).alias("payloads"))
+
+
 def union_feeds(stocks: DataFrame | None, crypto: DataFrame | None) -> DataFrame:
     """SET-1 / FLT-13: union-all of the enabled feed branches (decided when the plan is built)."""
     branches = [b.select(*FEED_FIELDS) for b in (stocks, crypto) if b is not None]

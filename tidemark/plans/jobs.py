@@ -27,6 +27,10 @@ from tidemark.sinks import writers
 from tidemark.sources import feeds, files
 
 
+#: Batch files tried in order where none is named.
+DEFAULT_BATCHES = ("latest_market_batch.jsonl", "sample_market_batch.jsonl")
+
+
 def _principal(spark: SparkSession, principal: str | None) -> str:
     return principal if principal is not None else writers.current_principal(spark)
 
@@ -41,7 +45,7 @@ def market_job(
     """PIP-2: run the market medallion for one batch file; returns the table names."""
     who = _principal(spark, principal)
     names = writers.market_table_names(bundle_target, who)
-    path = files.choose_market_batch(spark, sample_root, market_batch_file)
+    path = files.first_batch(spark, sample_root, [market_batch_file] if market_batch_file else DEFAULT_BATCHES)
     writers.overwrite_table(files.read_market_batch(spark, path), names["bronze"])
     writers.overwrite_table(market.silver(spark.table(names["bronze"])), names["silver"])
     silver = spark.table(names["silver"])
@@ -164,11 +168,26 @@ def feed_build(
     output_dir: str,
     batch_id: str | None = None,
     strict: bool = True,
+    reject_dir: str | None = None,
 ) -> str:
-    """PIP-3: vendor payload texts → normalised JSONL batch (strict: all-or-nothing)."""
-    stocks = feeds.parse_daily_bars(bars).where(F.col("error").isNull()) if bars is not None else None
-    crypto = None
-    if tickers is not None:
-        crypto = feeds.map_products(feeds.parse_tickers(tickers), products).where(F.col("error").isNull())
-    accepted, _ = feed.normalize(feed.union_feeds(stocks, crypto), batch_id=batch_id, strict=strict)
+    """PIP-3: vendor payload texts → normalised JSONL batch.
+
+    Strict: any payload without a record and any rejected record stops the
+    build.  Lenient: the accepted records are written, and with
+    ``reject_dir`` the others too, with their reason.
+    """
+    stocks = feeds.parse_daily_bars(bars) if bars is not None else None
+    crypto = feeds.map_products(feeds.parse_tickers(tickers), products) if tickers is not None else None
+    parsed = [p for p in (stocks, crypto) if p is not None]
+    if strict and parsed:
+        failed = feed.error_counts(*parsed).first()
+        if failed is not None:
+            raise qa.DataQualityError(f"{failed['payloads']} {failed['source']} payloads failed: {failed['error']}")
+    good = [p.where(F.col("error").isNull()) if p is not None else None for p in (stocks, crypto)]
+    accepted, rejected = feed.normalize(feed.union_feeds(*good), batch_id=batch_id, strict=strict)
+    if reject_dir:
+        for p in parsed:
+            lost = p.where(F.col("error").isNotNull()).select(*feed.FEED_FIELDS, F.col("error").alias("reject_reason"))
+            rejected = rejected.unionByName(lost)
+        writers.write_jsonl(rejected, reject_dir)
     return writers.write_jsonl(accepted, output_dir)

@@ -8,7 +8,7 @@ explicit schema and FAILFAST, so a bad int/float aborts the job exactly as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import COMPLETE_STATUS, HIGH_AMOUNT_THRESHOLD, HIGH_BUCKET, STANDARD_BUCKET
@@ -44,14 +44,9 @@ def silver(bronze_df: DataFrame) -> DataFrame:
     )
 
 
-def non_complete_in_silver(bronze_df: DataFrame, silver_df: DataFrame) -> DataFrame:
-    """JON-1: silver rows whose bronze status is not complete (inner join USING order_id).
-
-    Row-level form, for inspection.  order_id is the orders key, so the join
-    is 1:1; the validation uses :func:`non_complete_pairs` instead, which is
-    exact even if a key were duplicated.
-    """
-    return bronze_df.join(silver_df.select("order_id"), "order_id").where(F.expr("status != 'complete'"))
+def wrong_bucket() -> Column:
+    """QA-11: the stored bucket differs from the one that the amount gives."""
+    return F.col("amount_bucket") != amount_bucket()
 
 
 def non_complete_pairs(bronze_df: DataFrame, silver_df: DataFrame) -> DataFrame:
@@ -77,9 +72,7 @@ def validation(bronze_df: DataFrame, silver_df: DataFrame, expected_counts: tupl
     }
     s_rules = {
         "non_positive_amount": F.expr("amount <= 0"),
-        "bucket_rule": F.expr(
-            "(amount >= 50 AND amount_bucket != 'high') OR (amount < 50 AND amount_bucket != 'standard')"
-        ),
+        "bucket_rule": wrong_bucket(),
     }
     parts = [
         qa.rule_counts(bronze_df, b_rules, "bronze_orders"),

@@ -102,7 +102,7 @@ def agg_collect_rows(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-GENERATED_AT = "2026-07-12T16:02:56.298156+00:00"
+GENERATED_AT = "2031-02-03T04:06:07.000008+00:00"
 
 
 def dashboard_document(spark, sf_dir, bundle_target: str = "dev", principal: str = "analyst@example.com"):

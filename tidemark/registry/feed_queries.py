@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import feed
 from tidemark.registry import query
-from tidemark.registry.sql import RUN_TS, with_ctes
+from tidemark.registry.sql import RUN_TS, positive_decimal, with_ctes
 from tidemark.sources import bindings, feeds
 
 FEED_BATCH = "feed-batch-0001"
@@ -17,13 +17,12 @@ BARS = """bars AS (
          event_id % 7 = 0 AS blank_date, value,
          CAST(json_extract_string(props, '$.k') AS BIGINT) * 1000 AS vol
   FROM events WHERE event_type IN ('click','view','signup')),
-windowed AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY day DESC, ts DESC, event_id DESC) AS INTEGER) AS bar_rank
-  FROM bars WHERE day >= (SELECT max(day) FROM bars) - INTERVAL 45 DAY),
-lim AS (SELECT * FROM windowed WHERE bar_rank <= 5),
+packs AS (
+  SELECT *, event_id // 5 AS pack,
+         row_number() OVER (PARTITION BY symbol, event_id // 5 ORDER BY ts DESC, event_id DESC) AS rk FROM bars),
 firstok AS (
-  SELECT symbol, any_value(user_id) AS user_id, min(bar_rank) FILTER (WHERE NOT blank_date) AS rk
-  FROM lim GROUP BY symbol),
+  SELECT symbol, pack, any_value(user_id) AS user_id, min(rk) FILTER (WHERE NOT blank_date) AS rk
+  FROM packs GROUP BY symbol, pack),
 bar_records AS (
   SELECT 'nasdaq' AS source, 'stock' AS asset_type, f.symbol,
          CASE WHEN f.user_id % 37 <> 0 AND f.rk IS NOT NULL THEN printf('%.2f', l.value) END AS price,
@@ -31,7 +30,12 @@ bar_records AS (
          CASE WHEN f.user_id % 37 <> 0 AND f.rk IS NOT NULL
               THEN strftime(l.day, '%Y-%m-%d') || 'T00:00:00+00:00' END AS event_time,
          CASE WHEN f.user_id % 37 = 0 THEN 'vendor_status' WHEN f.rk IS NULL THEN 'no_rows' END AS error
-  FROM firstok f LEFT JOIN lim l ON l.symbol = f.symbol AND l.bar_rank = f.rk)"""
+  FROM firstok f LEFT JOIN packs l ON l.symbol = f.symbol AND l.pack = f.pack AND l.rk = f.rk)"""
+
+LOOKBACK = """windowed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY symbol ORDER BY day DESC, ts DESC, event_id DESC) AS INTEGER) AS bar_rank
+  FROM bars WHERE day >= (SELECT max(day) FROM bars) - INTERVAL 45 DAY),
+lim AS (SELECT * FROM windowed WHERE bar_rank <= 5)"""
 
 TICKERS = """tickers AS (
   SELECT event_id,
@@ -72,7 +76,7 @@ def src_nested_bars_first(spark, sf_dir):
 
 @query(
     "src_lookback_limit",
-    with_ctes(BARS, select="SELECT symbol, event_id, day, bar_rank FROM lim"),
+    with_ctes(BARS, LOOKBACK, select="SELECT symbol, event_id, day, bar_rank FROM lim"),
 )
 def src_lookback_limit(spark, sf_dir):
     """SRC-9 / FN-14: bars within 45 days of the newest day, at most 5 per symbol."""
@@ -105,6 +109,21 @@ def src_symbol_map(spark, sf_dir):
     return ticker_records(spark, sf_dir).select("event_id", "product_id", "symbol", "error")
 
 
+@query(
+    "feed_errors",
+    with_ctes(
+        BARS,
+        TICKERS,
+        select="SELECT source, error, CAST(count(*) AS BIGINT) AS payloads FROM ("
+        "SELECT source, error FROM bar_records UNION ALL SELECT source, error FROM ticker_records) "
+        "WHERE error IS NOT NULL GROUP BY source, error",
+    ),
+)
+def feed_errors(spark, sf_dir):
+    """PIP-3: payloads that give no record, counted by feed and reason."""
+    return feed.error_counts(bar_records(spark, sf_dir), ticker_records(spark, sf_dir))
+
+
 FEED_UNION = (
     "SELECT source, asset_type, symbol, price, volume, event_time FROM bar_records WHERE error IS NULL "
     "UNION ALL SELECT source, asset_type, symbol, price, volume, event_time FROM ticker_records WHERE error IS NULL"
@@ -122,7 +141,7 @@ def _normalised_sql(source_sql: str) -> str:
     return f"""SELECT source, asset_type, symbol, price, volume, event_time,
        '{RUN_TS}' AS ingestion_time, '{FEED_BATCH}' AS batch_id
 FROM ({source_sql})
-WHERE TRY_CAST(price AS DECIMAL(38,18)) > 0 AND TRY_CAST(volume AS DECIMAL(38,18)) > 0
+WHERE {positive_decimal("price")} AND {positive_decimal("volume")}
   AND symbol <> '' AND event_time <> ''"""
 
 

@@ -13,7 +13,7 @@ from tidemark.plans import feed, market, market_checks, orders
 from tidemark.registry import query
 from tidemark.registry.market_queries import bronze
 from tidemark.registry.orders_queries import ORDER_CTES, bronze_orders
-from tidemark.registry.sql import LATEST, MARKET_CHAIN, RAW_FEED, SUMMARY, TOPK, with_ctes
+from tidemark.registry.sql import LATEST, MARKET_CHAIN, RAW_FEED, SUMMARY, TOPK, positive_decimal, with_ctes
 from tidemark.sources import bindings
 from tidemark.schemas import (
     BRONZE_MARKET_COLUMNS,
@@ -313,8 +313,7 @@ BUCKET_SQL = with_ctes(
 def qa_bucket_rule(spark, sf_dir):
     """QA-11: the derived bucket agrees with its rule."""
     s = orders.silver(bronze_orders(spark, sf_dir))
-    rule = F.expr("(amount >= 50 AND amount_bucket != 'high') OR (amount < 50 AND amount_bucket != 'standard')")
-    return qa.rule_counts(s, {"bucket_rule": rule}, "proof_silver_orders")
+    return qa.rule_counts(s, {"bucket_rule": orders.wrong_bucket()}, "proof_silver_orders")
 
 
 KEYSET_SQL = with_ctes(
@@ -415,10 +414,12 @@ REJECT_SQL = with_ctes(
     WHEN lower(trim(coalesce(asset_type, ''), ' \t\n\r\x0b\x0c')) NOT IN ('stock','crypto') THEN 'unsupported_asset_type'
     WHEN trim(coalesce(symbol, ''), ' \t\n\r\x0b\x0c') = '' THEN 'missing_symbol'
     WHEN trim(coalesce(event_time, ''), ' \t\n\r\x0b\x0c') = '' THEN 'missing_event_time'
-    WHEN TRY_CAST(trim(price) AS DECIMAL(38,18)) IS NULL OR TRY_CAST(trim(price) AS DECIMAL(38,18)) <= 0 THEN 'invalid_price'
-    WHEN TRY_CAST(trim(volume) AS DECIMAL(38,18)) IS NULL OR TRY_CAST(trim(volume) AS DECIMAL(38,18)) <= 0 THEN 'invalid_volume'
+    WHEN NOT ({price_ok}) THEN 'invalid_price'
+    WHEN NOT ({volume_ok}) THEN 'invalid_volume'
     ELSE 'accepted' END AS reject_reason
-  FROM raw_feed) GROUP BY reject_reason""",
+  FROM raw_feed) GROUP BY reject_reason""".format(
+        price_ok=positive_decimal("trim(price)"), volume_ok=positive_decimal("trim(volume)")
+    ),
 )
 
 

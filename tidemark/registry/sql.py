@@ -8,7 +8,17 @@ from __future__ import annotations
 
 SOURCE_FILE = "market_batch.jsonl"
 ORDERS_FILE = "sample_orders.csv"
-RUN_TS = "2026-07-12T15:58:23.224109+00:00"
+RUN_TS = "2031-02-03T04:05:06.000007+00:00"
+
+
+
+def positive_decimal(text: str) -> str:
+    """Positive decimal text of any size, on the text alone."""
+    return (
+        f"coalesce(regexp_matches({text}, '^[+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{{1,5}})?$') "
+        f"AND regexp_matches(regexp_replace({text}, '[eE].*$', ''), '[1-9]'), false)"
+    )
+
 
 RAW_FEED = """raw_feed AS (
   SELECT
@@ -94,7 +104,7 @@ PREV = """prev AS (
   FROM ticks)"""
 
 ORDERS_IN = """orders_in AS (
-  SELECT CAST(o_orderkey AS INTEGER) AS order_id,
+  SELECT CAST(o_orderkey AS BIGINT) AS order_id,
          'Customer#' || CAST(o_custkey AS VARCHAR) AS customer,
          CASE o_orderstatus WHEN 'F' THEN 'complete' WHEN 'O' THEN 'pending'
               WHEN 'P' THEN 'cancelled' END AS status,

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     ArrayType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -33,7 +34,7 @@ MARKET_SCHEMA = StructType([StructField(name, StringType(), nullable=False) for
 
 ORDERS_SCHEMA = StructType(
     [
-        StructField("order_id", IntegerType(), nullable=False),
+        StructField("order_id", LongType(), nullable=False),
         StructField("customer", StringType(), nullable=False),
         StructField("status", StringType(), nullable=False),
         StructField("amount", DoubleType(), nullable=False),

@@ -80,6 +80,8 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Session settings every query relies on (safe to call repeatedly)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    store = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(store, DEFAULT_CONF[store])
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -7,20 +7,13 @@ reference's ``overwriteSchema`` writes do.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Sequence
-from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.constants import (
-    MARKET_TABLE_PREFIXES,
-    NAME_SANITISE_PATTERN,
-    ORDER_TABLE_PREFIXES,
-    PRINCIPAL_HASH_LEN,
-    PRINCIPAL_KEY_LEN,
-)
+from tidemark.constants import MARKET_TABLE_PREFIXES, ORDER_TABLE_PREFIXES
+from tidemark.functions import tenant_suffix
 
 
 def overwrite_table(
@@ -88,15 +81,13 @@ def drop_tables(spark: SparkSession, names: Iterable[str]) -> list[str]:
     return dropped
 
 
-# ---- naming (driver-side strings; the DataFrame form is functions.tenant_suffix) -----------
+# ---- naming ------------------------------------------------------------------------------
 
 
-def principal_suffix(bundle_target: str, principal: str) -> str:
-    """SNK-6 for one tenant: ``target_key _ principal_key[:32] _ sha1(principal)[:8]``."""
-    key = re.sub(NAME_SANITISE_PATTERN, "_", principal.lower())
-    digest = sha1(principal.encode("utf-8")).hexdigest()[:PRINCIPAL_HASH_LEN]
-    target = re.sub(NAME_SANITISE_PATTERN, "_", bundle_target.lower())
-    return f"{target}_{key[:PRINCIPAL_KEY_LEN]}_{digest}"
+def suffix_of(bundle_target: str, principal: str) -> str:
+    """SNK-6 for one tenant: :func:`tidemark.functions.tenant_suffix` over one row."""
+    one = SparkSession.active().range(1)
+    return one.select(tenant_suffix(F.lit(bundle_target), F.lit(principal))).first()[0]
 
 
 def current_principal(spark: SparkSession) -> str:
@@ -108,11 +99,11 @@ def current_principal(spark: SparkSession) -> str:
 
 
 def market_table_names(bundle_target: str, principal: str) -> dict[str, str]:
-    suffix = principal_suffix(bundle_target, principal)
+    suffix = suffix_of(bundle_target, principal)
     keys = ("bronze", "silver", "summary", "top_stocks", "top_crypto")
     return {k: f"{p}_{suffix}" for k, p in zip(keys, MARKET_TABLE_PREFIXES)}
 
 
 def order_table_names(bundle_target: str, principal: str) -> dict[str, str]:
-    suffix = principal_suffix(bundle_target, principal)
+    suffix = suffix_of(bundle_target, principal)
     return {k: f"{p}_{suffix}" for k, p in zip(("bronze", "silver"), ORDER_TABLE_PREFIXES)}

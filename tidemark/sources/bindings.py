@@ -63,7 +63,7 @@ def orders_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders")
     st = F.col("o_orderstatus")
     return o.select(
-        F.col("o_orderkey").cast("int").alias("order_id"),
+        F.col("o_orderkey").cast("long").alias("order_id"),
         F.concat(F.lit("Customer#"), F.col("o_custkey").cast("string")).alias("customer"),
         F.when(st == "F", "complete").when(st == "O", "pending").when(st == "P", "cancelled").alias("status"),
         (F.col("o_totalprice") / F.lit(5000.0)).alias("amount"),
@@ -101,19 +101,17 @@ def stock_bar_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bars_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One vendor payload per stock symbol: its newest bars inside the request window.
+    """Vendor payloads over all stock bars, at most 5 rows each, newest first.
 
-    The window (45 days back from the newest day, at most 5 bars) is the
-    vendor request's own parameters, so every payload holds at most 5 rows.
-    Symbols whose user id is a multiple of 37 answer with a non-200 status.
+    A payload holds a symbol's events whose ids share ``event_id div 5``, so
+    every bar reaches the parser and no group grows with the data.  Symbols
+    whose user id is a multiple of 37 answer with a non-200 status.
     """
-    from tidemark.sources.feeds import lookback_window
-
     rows = stock_bar_rows(spark, sf_dir)
-    asof = rows.select(F.max("day")).scalar()
-    window = lookback_window(rows, asof, order=(F.col("ts").desc(), F.col("event_id").desc()))
-    grouped = window.groupBy("symbol", "user_id").agg(
-        F.sort_array(F.collect_list(F.struct("bar_rank", F.struct("date", "close", "volume").alias("r")))).alias("bars")
+    grouped = rows.groupBy("symbol", "user_id", F.expr("event_id div 5").alias("pack")).agg(
+        F.sort_array(
+            F.collect_list(F.struct("ts", "event_id", F.struct("date", "close", "volume").alias("r"))), asc=False
+        ).alias("bars")
     )
     code = F.when(F.col("user_id") % 37 == 0, F.lit(404)).otherwise(F.lit(200))
     payload = F.to_json(

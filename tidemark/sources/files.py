@@ -6,6 +6,7 @@ Every read carries an explicit schema; nothing is inferred.
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,19 +69,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def choose_market_batch(spark: SparkSession, root: str, requested: str = "") -> str:
-    """SRC-6: a named file under ``root`` (no path separators), else latest, else sample.
+def first_batch(spark: SparkSession, root: str, names: Sequence[str]) -> str:
+    """SRC-6: the first of the named files that exists in the folder ``root``.
 
-    A named file that does not exist is an error, as in the reference job.
+    Names are plain file names; one that would lead out of the folder is an
+    error, and so is a list of which nothing exists.
     """
-    requested = (requested or "").strip()
-    if requested:
-        if "/" in requested or "\\" in requested:
-            raise ValueError("market_batch_file must be a filename under sample_data.")
-        path = f"{root.rstrip('/')}/{requested}"
-        if not path_exists(spark, path):
-            raise FileNotFoundError(f"Requested market batch file does not exist: {path}")
-        return path
-    latest = f"{root.rstrip('/')}/latest_market_batch.jsonl"
-    sample = f"{root.rstrip('/')}/sample_market_batch.jsonl"
-    return latest if path_exists(spark, latest) else sample
+    paths = [posixpath.join(root, name.strip()) for name in names]
+    outside = [p for p in paths if posixpath.dirname(p) != root.rstrip("/") or "\\" in p]
+    if outside:
+        raise ValueError(f"batch files are named without their folder: {outside}")
+    found = next((p for p in paths if path_exists(spark, p)), None)
+    if found is None:
+        raise FileNotFoundError(f"none of these batch files is there: {paths}")
+    return found
