@@ -33,53 +33,53 @@ def any_null(columns: Iterable[str]) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in columns])
 
 
-def rule_counts(df: DataFrame, rules: Mapping[str, Column], table: str) -> DataFrame:
+def rule_counts(
+    df: DataFrame, rules: Mapping[str, Column], table: str, sizes: Mapping[str, Column] | None = None
+) -> DataFrame:
     """Count the rows violating each rule, all rules in one pass.
 
     A rule is a predicate that is *true for a violating row*; NULL counts as
-    not violating, as a ``where(...).count()`` would.
+    not violating, as a ``where(...).count()`` would.  ``sizes`` are checks of
+    the table's row count (see :func:`at_least`), taken in the same pass.
     """
-    names = list(rules)
-    agg = df.agg(*[F.count_if(F.coalesce(rules[n], F.lit(False))).alias(f"_v{i}") for i, n in enumerate(names)])
+    counted = {n: F.count_if(F.coalesce(rule, F.lit(False))) for n, rule in rules.items()} | dict(sizes or {})
+    agg = df.agg(*[v.alias(f"_v{i}") for i, v in enumerate(counted.values())])
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("check"), F.col(f"_v{i}").cast("bigint").alias("violations")) for i, n in enumerate(names)]
+        *[F.struct(F.lit(n).alias("check"), F.col(f"_v{i}").cast("bigint").alias("violations")) for i, n in enumerate(counted)]
     )
     return agg.select(F.inline(pairs)).select(
         F.lit(table).alias("table"), "check", "violations", (F.col("violations") == 0).alias("passed")
     )
 
 
+def at_least(n: int) -> Column:
+    """QA-2: rows that are missing from a table of at least ``n``."""
+    return F.greatest(F.lit(n) - F.count(F.lit(1)), F.lit(0))
+
+
+def at_most(n: int) -> Column:
+    """QA-8: rows beyond ``n``."""
+    return F.greatest(F.count(F.lit(1)) - F.lit(n), F.lit(0))
+
+
+def exactly(n: int) -> Column:
+    """QA-9: difference from ``n`` rows."""
+    return F.abs(F.count(F.lit(1)) - F.lit(n))
+
+
 def min_rows(df: DataFrame, n: int, table: str, check: str = "non_empty") -> DataFrame:
     """QA-2/QA-9: the table holds at least ``n`` rows (violations = shortfall)."""
-    cnt = df.agg(F.count(F.lit(1)).alias("c"))
-    return cnt.select(
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
-        F.greatest(F.lit(n) - F.col("c"), F.lit(0)).cast("bigint").alias("violations"),
-        (F.col("c") >= n).alias("passed"),
-    )
+    return rule_counts(df, {}, table, {check: at_least(n)})
 
 
 def max_rows(df: DataFrame, n: int, table: str, check: str = "max_rows") -> DataFrame:
     """QA-8: at most ``n`` rows (violations = excess)."""
-    cnt = df.agg(F.count(F.lit(1)).alias("c"))
-    return cnt.select(
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
-        F.greatest(F.col("c") - F.lit(n), F.lit(0)).cast("bigint").alias("violations"),
-        (F.col("c") <= n).alias("passed"),
-    )
+    return rule_counts(df, {}, table, {check: at_most(n)})
 
 
 def exact_rows(df: DataFrame, n: int, table: str, check: str = "row_count") -> DataFrame:
     """QA-9: exactly ``n`` rows (violations = absolute difference)."""
-    cnt = df.agg(F.count(F.lit(1)).alias("c"))
-    return cnt.select(
-        F.lit(table).alias("table"),
-        F.lit(check).alias("check"),
-        F.abs(F.col("c") - F.lit(n)).cast("bigint").alias("violations"),
-        (F.col("c") == n).alias("passed"),
-    )
+    return rule_counts(df, {}, table, {check: exactly(n)})
 
 
 def duplicate_key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -99,20 +99,17 @@ def unique_key(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
 
 
 def key_set_diff(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """JON-2: keys present on one side only, both directions, as two ``left_anti`` joins.
+    """JON-2: keys present on one side only, both directions, in one grouping.
 
     Rows: ``(side, *keys)`` where side is ``missing`` (expected, not actual)
-    or ``unexpected`` (actual, not expected).  Each side is reduced to
-    distinct keys first (map-side partial aggregation) and null keys compare
-    equal, like Python set membership.
+    or ``unexpected`` (actual, not expected).  Both sides are flagged and
+    grouped together, so a key is shuffled once per task and side at most;
+    null keys are equal, as grouping has it.
     """
-    e = expected.select(*keys).distinct()
-    a = actual.select(*keys).distinct()
-    cond_ea = [e[k].eqNullSafe(a[k]) for k in keys]
-    missing = e.join(a, cond_ea, "left_anti").select(F.lit("missing").alias("side"), *[e[k] for k in keys])
-    cond_ae = [a[k].eqNullSafe(e[k]) for k in keys]
-    unexpected = a.join(e, cond_ae, "left_anti").select(F.lit("unexpected").alias("side"), *[a[k] for k in keys])
-    return missing.unionByName(unexpected)
+    flagged = expected.select(*keys, F.lit(True).alias("_e")).unionByName(actual.select(*keys, F.lit(False).alias("_e")))
+    sides = flagged.groupBy(*keys).agg(F.bool_or("_e").alias("_in_e"), F.bool_and("_e").alias("_only_e"))
+    side = F.when(F.col("_only_e"), "missing").when(~F.col("_in_e"), "unexpected")
+    return sides.select(side.alias("side"), *keys).where(F.col("side").isNotNull())
 
 
 def key_set_equal(expected: DataFrame, actual: DataFrame, keys: Sequence[str], table: str) -> DataFrame:

@@ -47,7 +47,7 @@ def topk_rules(expected_asset_type: str) -> dict:
 
 def topk_checks(top: DataFrame, asset_type: str, table: str) -> DataFrame:
     """QA-8: at most k rows, right type, rank in 1..k, value = price × volume (within 1e-4)."""
-    return qa.max_rows(top, TOP_K, table).unionByName(qa.rule_counts(top, topk_rules(asset_type), table))
+    return qa.rule_counts(top, topk_rules(asset_type), table, {"max_rows": qa.at_most(TOP_K)})
 
 
 def validation(
@@ -59,11 +59,9 @@ def validation(
 ) -> DataFrame:
     parts = [
         qa.min_rows(bronze, 1, "bronze_market_events"),
-        qa.min_rows(silver, 1, "silver_market_ticks"),
-        qa.min_rows(gold, 1, "gold_market_summary"),
-        qa.rule_counts(silver, silver_rules(), "silver_market_ticks"),
+        qa.rule_counts(silver, silver_rules(), "silver_market_ticks", {"non_empty": qa.at_least(1)}),
         qa.unique_key(silver, list(DEDUP_KEYS), "silver_market_ticks"),
-        qa.rule_counts(gold, gold_rules(), "gold_market_summary"),
+        qa.rule_counts(gold, gold_rules(), "gold_market_summary", {"non_empty": qa.at_least(1)}),
         topk_checks(top_stock, "stock", "gold_top_stock_transactions"),
         topk_checks(top_crypto, "crypto", "gold_top_crypto_transactions"),
     ]

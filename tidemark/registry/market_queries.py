@@ -97,16 +97,8 @@ def win_latest_per_symbol(spark, sf_dir):
     ),
 )
 def agg_dedup_keys(spark, sf_dir):
-    """AGG-6 on unfiltered standardised rows: one survivor per key (NULL keys group together).
-
-    The copy count is a plain grouped count joined back on the null-safe key,
-    so both sides aggregate map-side before their shuffle.
-    """
+    """AGG-6 on unfiltered standardised rows: one survivor per key (NULL keys group together)."""
     std = market.standardize(bronze(spark, sf_dir))
-    keys = ["batch_id", "symbol", "event_time"]
-    survivors = market.dedup_keys(std.select(*keys, "event_id")).withColumnRenamed("event_id", "survivor_id")
-    copies = std.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    cond = [survivors[k].eqNullSafe(copies[k]) for k in keys]
-    return survivors.join(copies, cond, "inner").select(
-        *[survivors[k] for k in keys], "survivor_id", "copies"
+    return std.groupBy("batch_id", "symbol", "event_time").agg(
+        F.min("event_id").alias("survivor_id"), F.count(F.lit(1)).alias("copies")
     )

@@ -215,7 +215,7 @@ def agg_scalar(spark, sf_dir):
     The subquery is a single value computed by its own small job and
     broadcast into the filter, so nothing but one scalar crosses the driver.
     """
-    s = silver(spark, sf_dir)
+    s = materialize(silver(spark, sf_dir).select("symbol", "asset_type", "price", "event_time"), "agg-scalar")
     latest = s.select(F.max("event_time")).scalar()
     return s.where(F.col("event_time") == latest).select("symbol", "asset_type", "price", "event_time")
 
@@ -240,7 +240,7 @@ def set_key_except(spark, sf_dir):
     silver holds but the standardised bronze does not.
     """
     b = std(spark, sf_dir).where(F.col("symbol").isNotNull() & (F.col("symbol") != "")).select("symbol")
-    s = market.silver(bronze(spark, sf_dir)).select("symbol")
+    s = std(spark, sf_dir).where(market.silver_predicate()).select("symbol")  # dedup cannot change the set
     dropped = b.subtract(s).select(F.lit("dropped").alias("side"), "symbol")
     invented = s.subtract(std(spark, sf_dir).select("symbol")).select(F.lit("invented").alias("side"), "symbol")
     return dropped.unionByName(invented)
@@ -265,9 +265,10 @@ SELECT 'unexpected' AS side, batch_id, symbol FROM (
     ),
 )
 def join_key_set_diff(spark, sf_dir):
-    """JON-2: (batch_id, symbol) keys of allowed-vocabulary bronze vs silver, both ways, via ``left_anti``."""
+    """JON-2: (batch_id, symbol) keys of allowed-vocabulary bronze vs silver, both ways, in one grouping."""
     e = std(spark, sf_dir).where(
         F.col("source").isin(*ALLOWED_SOURCES) & F.col("asset_type").isin(*ALLOWED_ASSET_TYPES)
     )
-    a = silver(spark, sf_dir)
+    # the dedup of silver cannot change a set of keys
+    a = std(spark, sf_dir).where(market.silver_predicate())
     return qa.key_set_diff(e, a, ["batch_id", "symbol"])

@@ -25,11 +25,11 @@ from tidemark.schemas import (
 )
 
 
-def _layers(spark, sf_dir):
-    """Bronze (lazy) and silver computed once (its dedup shuffle feeds several checks)."""
+def _layers(spark, sf_dir, branches: int = 2):
+    """Bronze (lazy) and silver, which is written once if two or more branches read it."""
     b = bronze(spark, sf_dir)
-    s = materialize(market.silver(b))
-    return b, s
+    s = market.silver(b)
+    return b, materialize(s) if branches > 1 else s
 
 
 def _check_sql(table: str, check: str, violations_sql: str) -> str:
@@ -124,7 +124,7 @@ NULL_SQL = with_ctes(
 @query("qa_null_required", NULL_SQL)
 def qa_null_required(spark, sf_dir):
     """QA-3 / FLT-8: OR-ed NULL tests on the required fields (silver, and before cleaning)."""
-    b, s = _layers(spark, sf_dir)
+    b, s = _layers(spark, sf_dir, branches=1)
     req = market_checks.SILVER_REQUIRED
     return qa.rule_counts(s, {"null_required": qa.any_null(req)}, "silver_market_ticks").unionByName(
         qa.rule_counts(market.standardize(b), {"null_required": qa.any_null(req)}, "standardised_bronze")
@@ -145,7 +145,7 @@ ALLOWED_SQL = with_ctes(
 @query("qa_allowed_values", ALLOWED_SQL)
 def qa_allowed_values(spark, sf_dir):
     """QA-4: values outside the allowed vocabularies (NULL not counted)."""
-    b, s = _layers(spark, sf_dir)
+    b, s = _layers(spark, sf_dir, branches=1)
     rules = {k: v for k, v in market_checks.silver_rules().items() if k in ("invalid_source", "invalid_asset_type")}
     return qa.rule_counts(s, rules, "silver_market_ticks").unionByName(
         qa.rule_counts(market.standardize(b), rules, "standardised_bronze")
@@ -167,7 +167,7 @@ POSITIVE_SQL = with_ctes(
 @query("qa_positive", POSITIVE_SQL)
 def qa_positive(spark, sf_dir):
     """QA-5: price/volume positive (market), amount positive (orders, both layers)."""
-    b, s = _layers(spark, sf_dir)
+    b, s = _layers(spark, sf_dir, branches=1)
     num = {"invalid_numeric": market_checks.silver_rules()["invalid_numeric"]}
     amt = {"non_positive_amount": F.expr("amount <= 0")}
     bo = bronze_orders(spark, sf_dir)
@@ -208,7 +208,7 @@ UNIQUE_SQL = with_ctes(
 @query("qa_unique_key", UNIQUE_SQL)
 def qa_unique_key(spark, sf_dir):
     """QA-6: duplicated key tuples (market dedup keys; order_id)."""
-    b, s = _layers(spark, sf_dir)
+    b, s = _layers(spark, sf_dir, branches=1)
     keys = ["batch_id", "symbol", "event_time"]
     return reduce(
         DataFrame.unionByName,
@@ -236,7 +236,7 @@ GOLD_SQL = with_ctes(
 @query("qa_gold_summary", GOLD_SQL)
 def qa_gold_summary(spark, sf_dir):
     """QA-7: gold summary rows with a NULL required field or a non-positive price/volume."""
-    _, s = _layers(spark, sf_dir)
+    _, s = _layers(spark, sf_dir, branches=1)
     return qa.rule_counts(market.gold_summary(s), market_checks.gold_rules(), "gold_market_summary")
 
 
@@ -427,3 +427,18 @@ REJECT_SQL = with_ctes(
 def qa_reject_reasons(spark, sf_dir):
     """QA-14: strict normalisation of the raw feed; first failing rule wins, counted per reason."""
     return feed.with_reject_reason(bindings.raw_feed(spark, sf_dir)).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "qa_exact_rows",
+    _union(
+        _check_sql("region", "row_count", "SELECT abs(count(*) - 5) FROM region"),
+        _check_sql("nation", "row_count", "SELECT abs(count(*) - 25) FROM nation"),
+    ),
+)
+def qa_exact_rows(spark, sf_dir):
+    """QA-9: tables of a known size hold exactly that many rows."""
+    known = {"region": 5, "nation": 25}
+    return reduce(
+        DataFrame.unionByName, [qa.exact_rows(bindings.load(spark, sf_dir, t), n, t) for t, n in known.items()]
+    )

@@ -89,3 +89,23 @@ def prj_source_file(spark, sf_dir):
     back = files.read_jsonl(spark, path).select("batch_id", F.col("_metadata.file_path").alias("file_path"))
     folder = F.element_at(F.split("file_path", "/"), -2)
     return back.groupBy(folder.alias("source_dir")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "src_quarantined_lines",
+    with_ctes(
+        RAW_FEED,
+        select="SELECT batch_id, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE quarantined) AS BIGINT) "
+        "AS quarantined FROM (SELECT CASE WHEN event_id % 50 <> 0 THEN batch_id END AS batch_id, "
+        "event_id % 50 = 0 AS quarantined FROM raw_feed) GROUP BY batch_id",
+    ),
+)
+def src_quarantined_lines(spark, sf_dir):
+    """SRC-1: JSON lines of which some are cut short; those lines are set aside whole, the others parsed."""
+    path = staging_path(spark, "cut_lines")
+    raw = bindings.raw_feed(spark, sf_dir)
+    line = F.to_json(F.struct(*MARKET_FIELDS))
+    cut = F.when(F.col("event_id") % 50 == 0, F.left(line, F.lit(20))).otherwise(line)
+    raw.select(cut.alias("value")).write.text(path)
+    read = files.read_jsonl(spark, path, quarantine_column="_line")
+    return read.groupBy("batch_id").agg(F.count("*").alias("rows"), F.count("_line").alias("quarantined"))
