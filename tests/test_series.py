@@ -95,3 +95,30 @@ def test_burst_inside_a_hot_day_is_sliced_again(spark):
     spec = Window.partitionBy("symbol").orderBy("event_time", "event_id")
     want = df.withColumn("p", F.lag("price", 3).over(spec))
     assert {r["event_id"]: r["p"] for r in got.collect()} == {r["event_id"]: r["p"] for r in want.collect()}
+
+
+def test_one_instant_is_spread(spark):
+    from tidemark.operators.series import BUCKET, refine_buckets, time_buckets
+
+    at = dt.datetime(2026, 7, 1, 12)
+    data = [("HOT", at, i) for i in range(600)] + [("HOT", at + dt.timedelta(hours=k), 1000 + k) for k in range(5)]
+    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long")
+    b = time_buckets(df, "symbol", "event_time", 100, "event_id")
+    for _ in range(2):
+        b = refine_buckets(b, "symbol", "event_time", 100, "event_id")
+    assert b.groupBy("symbol", BUCKET).count().agg(F.max("count")).first()[0] <= 150
+    spec = Window.partitionBy("symbol").orderBy("event_time", "event_id")
+    cols = {"prev": lambda spec: F.lag("event_id", 1).over(spec)}
+    got = rows_window(df, "symbol", ("event_time", "event_id"), 1, cols, target_rows=100)
+    want = df.withColumn("prev", F.lag("event_id", 1).over(spec))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_missing_keys_and_times_are_as_in_a_plain_window(spark):
+    at = dt.datetime(2026, 7, 1)
+    data = [(None, at, 1), (None, at + dt.timedelta(days=2), 2), ("A", None, 3), ("A", at, 4), ("A", None, 5)]
+    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long")
+    cols = {"prev": lambda spec: F.lag("event_id", 1).over(spec)}
+    got = rows_window(df, "symbol", ("event_time", "event_id"), 2, cols, target_rows=1)
+    want = df.withColumn("prev", F.lag("event_id", 1).over(Window.partitionBy("symbol").orderBy("event_time", "event_id")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

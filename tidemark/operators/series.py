@@ -38,36 +38,64 @@ from tidemark.operators.lineage import materialize
 HALO = "_halo"
 BUCKET = "_bucket"
 DAY_US = 86_400_000_000
-MAX_SLICES = 100_000  # slices per key-day at most
+MAX_SLICES = 10_000  # slices of a bucket in one pass; bucket ids of three passes fit a long
+PASSES = 3
+NO_TIME = -1_000_000  # bucket of rows without a time, which a window orders first
 DEFAULT_TARGET_ROWS = 2_000_000
 
 
 def _slice_hot(rows: DataFrame, key: str, target_rows: int) -> DataFrame:
-    """Cut every (key, ``_bucket``) holding more than ``target_rows`` rows into equal time slices
-    of its own first-to-last range; ``_bucket`` becomes ``_bucket * MAX_SLICES + slice``.
+    """Cut every (key, ``_bucket``) holding more than ``target_rows`` rows into equal slices of its
+    own range; ``_bucket`` becomes ``_bucket * MAX_SLICES + slice``.
 
-    Needs ``_us`` (the row's time in microseconds).  The hot table lists hot
-    buckets only (at most ``total_rows / target_rows``) and is joined back;
+    The range is that of ``_us`` (the row's time in microseconds), or that of
+    ``_tie`` (its place among equal times) where all rows have one time, so
+    that any number of rows at one instant is spread too.  The hot table lists
+    hot buckets only (at most ``total_rows / target_rows``) and is joined back;
     AQE broadcasts it when it is small.
     """
+    ends = [f(c).alias(f"_{n}_{c}") for c in ("_us", "_tie") for n, f in (("lo", F.min), ("hi", F.max))]
+    one_time = F.col("_lo__us").eqNullSafe(F.col("_hi__us"))
     hot = (
         rows.groupBy(key, BUCKET)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+        .agg(F.count(F.lit(1)).alias("_n"), *ends)
         .where(F.col("_n") > target_rows)
         .select(
-            key,
-            BUCKET,
-            "_lo",
-            (F.col("_hi") - F.col("_lo") + 1).alias("_span"),
+            F.col(key).alias("_hot_key"),
+            F.col(BUCKET).alias("_hot_bucket"),
+            one_time.alias("_one_time"),
+            F.when(one_time, F.col("_lo__tie")).otherwise(F.col("_lo__us")).alias("_lo"),
+            F.when(one_time, F.col("_hi__tie") - F.col("_lo__tie"))
+            .otherwise(F.col("_hi__us") - F.col("_lo__us"))
+            .alias("_width"),
             F.least(F.ceil(F.col("_n") / target_rows), F.lit(MAX_SLICES)).alias("_k"),
         )
     )
-    slice_ = F.coalesce(F.floor((F.col("_us") - F.col("_lo")) * F.col("_k") / F.col("_span")), F.lit(0))
-    joined = rows.join(hot, [key, BUCKET], "left")
-    return joined.withColumn(BUCKET, F.col(BUCKET) * MAX_SLICES + slice_).drop("_lo", "_span", "_k")
+    place = F.when(F.col("_one_time"), F.col("_tie")).otherwise(F.col("_us")) - F.col("_lo")
+    slice_ = F.coalesce(F.floor(place * F.col("_k") / (F.col("_width") + 1)), F.lit(0))
+    same = rows[key].eqNullSafe(hot["_hot_key"]) & (rows[BUCKET] == hot["_hot_bucket"])
+    joined = rows.join(hot, same, "left")
+    return joined.withColumn(BUCKET, F.col(BUCKET) * MAX_SLICES + slice_).drop(
+        "_hot_key", "_hot_bucket", "_one_time", "_lo", "_width", "_k"
+    )
+
+
+def _measured(df: DataFrame, time_col: str, tie: str | None) -> DataFrame:
+    """``df`` with ``_us`` and ``_tie``, what buckets are cut by."""
+    us = F.unix_micros(F.col(time_col).cast("timestamp"))
+    place = F.col(tie).cast("double") if tie else F.lit(0.0)
+    return df.withColumn("_us", us).withColumn("_tie", F.coalesce(place, F.lit(0.0)))
 
 
-def time_buckets(df: DataFrame, key: str, time_col: str, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+def _tie_column(df: DataFrame, order: Sequence[str]) -> str | None:
+    """The second order column where it is a number."""
+    kinds = dict(df.dtypes)
+    return order[1] if len(order) > 1 and kinds[order[1]] in ("int", "bigint", "double") else None
+
+
+def time_buckets(
+    df: DataFrame, key: str, time_col: str, target_rows: int = DEFAULT_TARGET_ROWS, tie: str | None = None
+) -> DataFrame:
     """``df`` with ``_bucket``: the UTC day of ``time_col``, sliced where a key's day is hot.
 
     A (key, day) with more than ``target_rows`` rows has its own time range
@@ -75,17 +103,16 @@ def time_buckets(df: DataFrame, key: str, time_col: str, target_rows: int = DEFA
     slices, so a symbol-day holding a third of the data is spread over ``k``
     tasks.  Bucket ids increase with time within a key, which is all
     :func:`with_halo` needs; :func:`refine_buckets` slices again where ticks
-    were bunched inside one slice.
+    were bunched inside one slice.  Rows without a time share a first bucket.
     """
-    us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    rows = df.withColumn("_us", us).withColumn(BUCKET, F.floor(F.col("_us") / DAY_US))
-    return _slice_hot(rows, key, target_rows).drop("_us")
+    rows = _measured(df, time_col, tie)
+    rows = rows.withColumn(BUCKET, F.coalesce(F.floor(F.col("_us") / DAY_US), F.lit(NO_TIME)))
+    return _slice_hot(rows, key, target_rows).drop("_us", "_tie")
 
 
-def refine_buckets(df: DataFrame, key: str, time_col: str, target_rows: int) -> DataFrame:
+def refine_buckets(df: DataFrame, key: str, time_col: str, target_rows: int, tie: str | None = None) -> DataFrame:
     """One more slicing pass over buckets that are still hot (bursts inside one slice)."""
-    rows = df.withColumn("_us", F.unix_micros(F.col(time_col).cast("timestamp")))
-    return _slice_hot(rows, key, target_rows).drop("_us")
+    return _slice_hot(_measured(df, time_col, tie), key, target_rows).drop("_us", "_tie")
 
 
 def still_hot(bucketed: DataFrame, key: str, target_rows: int) -> bool:
@@ -124,7 +151,7 @@ def with_halo(rows_in: DataFrame, key: str, order: Sequence[str], n: int) -> Dat
     cand = rows.withColumn("_r", F.row_number().over(last_first)).where(F.col("_r") <= n)
     # (3) a candidate reaches a target bucket when fewer than n rows separate them
     halo = (
-        cand.join(targets, (cand[key] == targets[key]) & (cand[BUCKET] == targets["_src"]))
+        cand.join(targets, cand[key].eqNullSafe(targets[key]) & (cand[BUCKET] == targets["_src"]))
         .where(F.col("_r") + F.col("_gap") <= n)
         .select(*[cand[c] for c in rows.columns if c not in (BUCKET, HALO)], F.col("_dst").alias(BUCKET), F.lit(True).alias(HALO))
         .select(*rows.columns)
@@ -154,11 +181,12 @@ def rows_window(
     # The bucketed rows feed three branches (bucket counts, halo candidates, the
     # window itself); Spark would recompute the source and the hot-day join for
     # each, so they are written once to the shared folder and read back.
-    bucketed = materialize(time_buckets(df, key, order[0], target_rows), "series_buckets")
-    if still_hot(bucketed, key, target_rows):
-        # ticks bunched inside one slice: slice those buckets once more (ids stay
-        # monotone in time: bucket * MAX_SLICES + sub-slice; day * 1e10 + … fits a long)
-        bucketed = materialize(refine_buckets(bucketed, key, order[0], target_rows), "series_buckets")
+    tie = _tie_column(df, order)
+    bucketed = materialize(time_buckets(df, key, order[0], target_rows, tie), "series_buckets")
+    for _ in range(PASSES - 1):  # ticks bunched inside one slice or at one instant: cut those buckets again
+        if not still_hot(bucketed, key, target_rows):
+            break
+        bucketed = materialize(refine_buckets(bucketed, key, order[0], target_rows, tie), "series_buckets")
     wide = with_halo(bucketed, key, order, n)
     spec = Window.partitionBy(key, BUCKET).orderBy(*order)
     for stage in stages:
