@@ -61,3 +61,25 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM d WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 75 * (p.n + q.n - k)),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM d
+  UNION SELECT reached.doc_id, links.y FROM reached JOIN links ON links.x = reached.other)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""

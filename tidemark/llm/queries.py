@@ -82,4 +82,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_quality_rules": oracles.QUALITY_RULES,
     "op8_decontamination": oracles.DECONTAMINATION,
+    "op10_near_duplicates": oracles.NEAR_DUPLICATES,
 }
