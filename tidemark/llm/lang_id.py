@@ -23,6 +23,7 @@ from tidemark.llm.arrow import text_slices
 WINDOW = 64
 HIDDEN = 8
 UNKNOWN = "und"
+MAX_LANGUAGES = 4096
 _LETTER = re.compile(r"[^\W\d_]")
 _LETTER_BYTE = np.array([0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 
@@ -266,10 +267,15 @@ def train_language_model(
     known = docs.select(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(F.col(id_col)).alias("held_out")
     ).where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n"))
-    share = F.col("_share") * docs_per_language / F.col("n")
+    # one output unit per language, so their number is bounded by the model itself
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not sizes:
+        return None
+    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], docs_per_language / r["n"])])
     draw = F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    chosen = known.withColumn("_share", F.lit(1.0)).join(sizes, "lang").where(draw < share).select("lang", "text")
+    chosen = known.where(draw < F.element_at(shares, F.col("lang"))).select("lang", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
