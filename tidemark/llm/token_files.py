@@ -35,15 +35,37 @@ from tidemark.session import staging_path
 NULL_ID = -(2**63)
 #: Characters that Python counts as blank and the tokenizers' patterns do not.
 ODD_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f")
-MAX_CACHED, MAX_UNIT = 200_000, 64
+MAX_CACHED, MAX_UNIT = 400_000, 64
+
+
+class Memo:
+    """A bounded memo: when it is full, what was not used since the last time goes."""
+
+    def __init__(self) -> None:
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that are not known; those of the old generation become new again."""
+        if len(self.new) > MAX_CACHED:
+            self.old, self.new = self.new, {}
+        out = []
+        for key in keys.difference(self.new):
+            if (value := self.old.get(key)) is None:
+                out.append(key)
+            else:
+                self.new[key] = value
+        return out
 
 
 class UnitEncoder:
     """Encodes texts with the tokenizers library, each distinct blank-separated unit once.
 
-    Exact for vocabularies whose patterns drop blanks and never span them:
-    the ids of a text are then those of its units in order.  The memo of
-    encoded units is emptied when it is full.
+    Exact for vocabularies whose patterns fold case, drop blanks and span
+    neither blanks nor the border between a letter and a full stop or comma:
+    the ids of a text are then those of its units in order, and the ids of a
+    unit those of its folded word and of its last mark.  Folding is left to
+    the library beyond Latin-1 and wherever a special string might stand.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -54,27 +76,67 @@ class UnitEncoder:
         top = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id)
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
+        self.units, self.words = Memo(), Memo()
+        self.marks = {mark: self._alone(mark) for mark in ".,"}
+
+    def _alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of Latin-1 words without blanks: one call for many, cut apart by the tokens' offsets."""
+        out = []
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            found = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
+            raw = np.array(found.ids, self.dtype).tobytes()
+            begins = np.array([b for b, _ in found.offsets], np.int64)
+            borders = np.cumsum([0, *(len(w) + 1 for w in part)])
+            cuts = (np.searchsorted(begins, borders) * self.dtype.itemsize).tolist()
+            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return out
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+    def _learn(self, units: set[str]) -> list[str]:
+        """Make all ``units`` known; returns the long ones, which are not to be kept."""
+        new = self.units.missing(units)
+        plain = [u for u in new if (u.isascii() or _latin(u)) and "<|" not in u and len(u) <= MAX_UNIT]
+        ids = self.units.new
+        other = set(new).difference(plain) if len(plain) < len(new) else set()
+        for unit in other:
+            ids[unit] = self._alone(unit)
+        if not plain:
+            return [u for u in other if len(u) > MAX_UNIT]
+        folded = "\n".join(plain).lower().split("\n")
+        words = [w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in folded]
+        missing = self.words.missing(set(words))
+        known, marks = self.words.new, self.marks
+        known.update(zip(missing, self._joined(missing), strict=True))
+        for unit, whole, word in zip(plain, folded, words, strict=True):
+            ids[unit] = known[word] if len(whole) == len(word) else known[word] + marks[whole[-1]]
+        return [u for u in other if len(u) > MAX_UNIT]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, with the end id, as bytes."""
-        if len(self.known) > MAX_CACHED:
-            self.known.clear()
-        units = [[t] if any(c in t for c in ODD_BLANKS) else t.split() for t in texts]
-        new = list({u for row in units for u in row}.difference(self.known))
-        ids = self.known
-        ids.update(zip(new, self._raw(new), strict=True))
-        out = [b"".join(map(ids.__getitem__, row)) + self.end for row in units]
-        for unit in new:
-            if len(unit) > MAX_UNIT:
-                del ids[unit]
+        odd = [any(c in t for c in ODD_BLANKS) for t in texts]
+        rows = [[] if o else t.split() for o, t in zip(odd, texts, strict=True)]
+        long = self._learn(set().union(*rows))
+        get = self.units.new.__getitem__
+        out = [b"".join(map(get, row)) + self.end for row in rows]
+        for unit in long:
+            del self.units.new[unit]
+        for k, o in enumerate(odd):
+            if o:
+                out[k] = self._alone(texts[k]) + self.end
         return out
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, end_id: int) -> UnitEncoder:
     return UnitEncoder(path, end_id)
