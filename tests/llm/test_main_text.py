@@ -36,3 +36,32 @@ def test_awkward_pages(spark):
     assert [t[:2] for t in texts[:5]] == [(0, "only this"), (1, ""), (2, ""), (4, "real"), (5, "raw end")]
     assert all(len(t) == n for _, t, n in texts) and max(n for _, _, n in texts) == 399_999
     assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_short_blocks_do_not_split_an_article():
+    long = BODY * 3
+    blocks = lambda *texts: "".join(f"<p>{t}</p>" for t in texts)
+    items = ["one", "two", "three"]
+    page = f"<p>{BODY * 2}</p><ul>{''.join(f'<li>{i}</li>' for i in items)}</ul><p>{long}</p>"
+    assert main_text(page) == " ".join([BODY * 2, *items, long])
+    talk = ["Yes.", "No?", "Yes!", "Oh.", "Well.", "So.", "Hm."]
+    assert main_text(blocks(BODY, *talk, long)) == " ".join([BODY, *talk, long])
+    cells = "".join(f"<tr><td>{k}</td><td>v{k}</td></tr>" for k in range(9))
+    got = main_text(f"<p>{long}</p><div><table><tbody>{cells}</tbody></table></div><p>{BODY}</p>")
+    assert got == " ".join([long, *(f"{k} v{k}" for k in range(9)), BODY])
+    code = "".join(f"<div><div><div>x = {k}</div></div></div>" for k in range(5))
+    assert main_text(f"<p>{BODY}</p>{code}<p>{long}</p>") == " ".join([BODY, *(f"x = {k}" for k in range(5)), long])
+
+
+def test_title_byline_and_short_closing_blocks_stay():
+    html = f"<div><h1>The title</h1></div><div><p>By Ann</p></div><div><div><p>{BODY}</p><p>{BODY}</p></div><p>Short.</p><p>End.</p></div>"
+    assert main_text(html) == f"The title By Ann {BODY} {BODY} Short. End."
+
+
+def test_link_and_side_text_part_blocks():
+    links = "".join(f"<li><a href=x>another page {k}</a></li>" for k in range(30))
+    side = f"<div class=sidebar>{BODY * 4}</div>"
+    for beside in (f"<ul>{links}</ul>", side):
+        assert main_text(f"<p>Site</p>{beside}<p>{BODY * 3}</p>{beside}<p>{BODY}</p>") == BODY * 3
+    advert = f"<div class=ad>{BODY}</div>"
+    assert main_text(f"<p>{BODY * 2}</p>{advert}<p>{BODY * 3}</p>") == f"{BODY * 2} {BODY * 3}"

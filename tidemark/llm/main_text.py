@@ -1,9 +1,11 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped into lines, one per block of the page; the text lengths of
-a sliding window of lines are summed up.  Where the sum surges the article
-begins, where it dives the article ends, and all text between is kept.  Link
-text counts nothing, and elements that name themselves menus, headers,
+a sliding window of lines with text are summed up.  Where the sum surges the
+article begins, where it dives the article ends, and all text between is kept.
+Short blocks next to a surge belong to it, and surges are joined unless more
+link or side text lies between them than the smaller one holds.  Link text
+counts nothing, and elements that name themselves menus, headers,
 footers, sidebars, notices, adverts, forms or reader comments are taken out
 with the scripts and styles before the lines are measured.  An ``article`` or
 ``main`` element sets the surge and the dive at its own borders.
@@ -21,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
-#: Text that a window of lines must hold to be part of a surge.
+#: Text that a window of lines must hold to be part of a surge; as much link or side text parts blocks.
 SURGE = 80
+#: Borders without text that two blocks may have between them whatever their length.
+NEAR = 2 * WINDOW
 
 MARKUP = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)"
@@ -56,6 +60,8 @@ class Line:
     text: str
     own: int
     inside: bool
+    #: Visible text taken out right before the line.
+    side: int = 0
 
 
 def _beside(tag: str, attributes: str, inside: bool) -> bool:
@@ -76,21 +82,23 @@ def page_lines(html: str) -> list[Line]:
     """The page's blocks as lines, without what stands beside the article; empty lines are kept."""
     lines: list[Line] = []
     pieces: list[str] = []
-    linked = 0
+    linked = side = 0
     inside: list[str] = []
     anchor = 0
-    skip, depth = "", 0
+    skip, depth, seen = "", 0, False
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, side
         text = " ".join("".join(pieces).split())
-        lines.append(Line(text, max(0, len(text) - linked), bool(inside)))
+        lines.append(Line(text, max(0, len(text) - linked), bool(inside), side))
         pieces.clear()
-        linked = 0
+        linked = side = 0
 
     def add(raw: str) -> None:
-        nonlocal linked
-        if raw and not skip:
+        nonlocal linked, side
+        if skip:
+            side += len(raw.strip()) if seen else 0
+        elif raw:
             text = unescape(raw)
             pieces.append(text)
             if anchor:
@@ -133,7 +141,7 @@ def page_lines(html: str) -> list[Line]:
             if _beside(tag, m[4], bool(inside)):
                 if tag in INLINE:
                     close()
-                skip, depth = tag, 1
+                skip, depth, seen = tag, 1, not HIDDEN.search(m[4])
             elif tag in ("article", "main"):
                 inside.append(tag)
     add(html[at:])
@@ -143,26 +151,41 @@ def page_lines(html: str) -> list[Line]:
 
 def surge_and_dive(lines: list[Line]) -> tuple[int, int]:
     """First and one past the last line of the article; ``(0, 0)`` if there is none."""
-    if any(line.inside and line.text for line in lines):  # the element's borders are the surge and the dive
-        lengths = [max(line.own, SURGE) if line.inside else 0 for line in lines]
-    else:
-        lengths = [line.own if 2 * line.own >= len(line.text) else 0 for line in lines]
-    sums = [sum(lengths[k : k + WINDOW]) for k in range(len(lengths))]
-    most = max(sums, default=0)
-    if not most:
-        return 0, 0
-    bar = min(SURGE, most)
-    runs: list[list[int]] = []
-    for k, total in enumerate(sums):
-        if total < bar:
+    held = [k for k, line in enumerate(lines) if line.inside and line.text]
+    if held:  # the element's borders are the surge and the dive
+        return held[0], held[-1] + 1
+    lengths = [line.own if 2 * line.own >= len(line.text) else 0 for line in lines]
+    # text that parts blocks, up to and including what was taken out before each line
+    parted, total = [], 0
+    for line, n in zip(lines, lengths, strict=True):
+        parted.append(total + line.side)
+        total += line.side + (0 if n else len(line.text))
+    stretches: list[list[int]] = []
+    for k, n in enumerate(lengths):
+        if not n:
             continue
-        if runs and k <= runs[-1][1] + 2 * WINDOW:  # a short dip does not end the article
-            runs[-1][1] = k
-        else:
-            runs.append([k, k])
-    first, last = max(runs, key=lambda r: sum(lengths[r[0] : r[1] + WINDOW]))
-    held = [k for k in range(first, min(last + WINDOW, len(lines))) if lengths[k]]
-    return held[0], held[-1] + 1
+        if stretches:
+            before = stretches[-1][-1]
+            apart = parted[k] - parted[before] >= SURGE or k - before - 1 > max(NEAR, min(n, lengths[before]))
+        if not stretches or apart:
+            stretches.append([])
+        stretches[-1].append(k)
+    sums = [max(sum(lengths[k] for k in s[at : at + WINDOW]) for at in range(len(s))) for s in stretches]
+    bar = min(SURGE, max(sums, default=0))
+    runs: list[tuple[int, int, int]] = []
+    for stretch, most in zip(stretches, sums, strict=True):
+        if most < bar:
+            continue
+        runs.append((stretch[0], stretch[-1], sum(lengths[k] for k in stretch)))
+        while len(runs) > 1:
+            (first, end, held), (begin, last, more) = runs[-2:]
+            if parted[begin] - parted[end] >= max(SURGE, min(held, more)):
+                break
+            runs[-2:] = [(first, last, held + more)]
+    if not runs:
+        return 0, 0
+    first, last, _ = max(runs, key=lambda r: r[2])
+    return first, last + 1
 
 
 def main_text(html: str | None) -> str:
