@@ -65,3 +65,20 @@ def test_link_and_side_text_part_blocks():
         assert main_text(f"<p>Site</p>{beside}<p>{BODY * 3}</p>{beside}<p>{BODY}</p>") == BODY * 3
     advert = f"<div class=ad>{BODY}</div>"
     assert main_text(f"<p>{BODY * 2}</p>{advert}<p>{BODY * 3}</p>") == f"{BODY * 2} {BODY * 3}"
+
+
+def test_names_with_modifiers_do_not_drop_the_article():
+    for attributes in ("class='post comments-open'", "class='hentry has-comments'", "class=with-sidebar", "class='notice'"):
+        for tag in ("article", "main"):
+            assert main_text(f"<nav>menu</nav><{tag} {attributes}><h1>T</h1><p>{BODY}</p></{tag}>") == f"T {BODY}"
+    for name in ("content with-sidebar", "main-menu-open", "page no-sidebar", "hasSidebar", "content-sidebar-wrap"):
+        assert main_text(f"<div class='{name}'><h1>T</h1><p>{BODY}</p></div><p>End.</p>") == f"T {BODY} End."
+    assert main_text(f"<div class='widget'><article class='post form'><p>{BODY}</p></article></div>") == BODY
+
+
+def test_names_of_side_elements_still_count():
+    for name in ("sidebar", "left-sidebar", "sidebar-left", "adBox", "ad-container-2", "cookie_notice", "comments-area", "site-header"):
+        assert main_text(f"<div class='{name}'>{BODY}</div><p>{BODY} End.</p>") == f"{BODY} End.", name
+    comment = f"<ol class=comment-list><li class=comment><article class=comment-body><p>{BODY * 2}</p></article></li></ol>"
+    assert main_text(f"<article><p>{BODY}</p></article><div id=comments>{comment}</div>") == BODY
+    assert main_text(f"<article class=comment><p>{BODY}</p></article>") == BODY

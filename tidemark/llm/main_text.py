@@ -38,6 +38,7 @@ MARKUP = re.compile(
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+TOKEN = re.compile(r"\S+")
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub "
@@ -53,6 +54,14 @@ BESIDE_NAMES = frozenset(
     "share sharing social related recommended pagination pager widget".split()
 )
 TOP_NAMES = frozenset("header masthead topbar".split())
+COMMENT_NAMES = frozenset("comment comments disqus respond replies reactions".split())
+#: Parts of a name that say what an element has or lacks, not what it is.
+MODIFIERS = frozenset("with without has have no not hide show content layout".split())
+#: Parts after which the one before says what an element is.
+FORMS = frozenset(
+    "area section list container wrapper wrap box block slot unit inner outer panel bar row col column group item items "
+    "link links button buttons icons posts left right top bottom primary secondary main body text".split()
+)
 
 
 @dataclass
@@ -64,32 +73,55 @@ class Line:
     side: int = 0
 
 
-def _beside(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element stands beside the article."""
+def _beside(tag: str, attributes: str, inside: bool, told: int = 0) -> bool:
+    """Whether an element stands beside the article; ``told`` is the length of the ``article``/``main`` text so far.
+
+    The name of an ``article`` or ``main`` does not count, except that of a reader comment below an article's text.
+    """
     if tag in BESIDE or (tag == "header" and not inside):
         return True
     if "=" not in attributes and "hidden" not in attributes:
         return False
     if HIDDEN.search(attributes):
         return True
-    if tag in ("html", "body"):
+    if tag in ("html", "body", "main"):
         return False
-    names = {p.lower() for m in NAMED.finditer(attributes) for p in PART.findall("".join(g or "" for g in m.groups()))}
+    names = _names(attributes)
+    if tag == "article":
+        return told >= SURGE and bool(names & COMMENT_NAMES)
     return bool(names & BESIDE_NAMES) or (not inside and bool(names & TOP_NAMES))
 
 
+def _names(attributes: str) -> set[str]:
+    """What an element calls itself: whole class, id and role names, and the last part of each that says what it is.
+
+    Names with a modifier (``with-sidebar``, ``has-comments``, ``menu-open``) describe something else.
+    """
+    names = set()
+    for m in NAMED.finditer(attributes):
+        for token in TOKEN.findall("".join(g or "" for g in m.groups())):
+            names.add(token.lower())
+            parts = [p.lower() for p in PART.findall(token)]
+            if MODIFIERS.isdisjoint(parts):
+                while len(parts) > 1 and (parts[-1] in FORMS or parts[-1].isdigit()):
+                    parts.pop()
+                names.update(parts[-1:])
+    return names
+
+
 def page_lines(html: str) -> list[Line]:
     """The page's blocks as lines, without what stands beside the article; empty lines are kept."""
     lines: list[Line] = []
     pieces: list[str] = []
-    linked = side = 0
+    linked = side = told = 0
     inside: list[str] = []
     anchor = 0
     skip, depth, seen = "", 0, False
 
     def close() -> None:
-        nonlocal linked, side
+        nonlocal linked, side, told
         text = " ".join("".join(pieces).split())
+        told += len(text) if inside else 0
         lines.append(Line(text, max(0, len(text) - linked), bool(inside), side))
         pieces.clear()
         linked = side = 0
@@ -123,8 +155,8 @@ def page_lines(html: str) -> list[Line]:
                 skip, depth = "", 0
             elif again and not m[4].endswith("/"):
                 depth += 1
-            elif not ends and tag in ("article", "main") and not _beside(tag, m[4], True):
-                skip, depth = "", 0  # what was skipped had never been closed
+            elif not ends and tag in ("article", "main") and not _beside(tag, m[4], True, told):
+                skip, depth = "", 0  # what was skipped holds the article, or had never been closed
             elif ends and tag in ("body", "html"):
                 skip, depth = "", 0
             if skip or (ends and again):
@@ -138,7 +170,7 @@ def page_lines(html: str) -> list[Line]:
             if tag in ("article", "main") and tag in inside:
                 inside.remove(tag)
         elif tag not in VOID and not m[4].endswith("/"):
-            if _beside(tag, m[4], bool(inside)):
+            if _beside(tag, m[4], bool(inside), told):
                 if tag in INLINE:
                     close()
                 skip, depth, seen = tag, 1, not HIDDEN.search(m[4])
