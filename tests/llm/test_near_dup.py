@@ -91,3 +91,25 @@ def test_components(spark):
         root[max(x, y)] = min(x, y)
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges_, "u long, v long")).collect()}
     assert got == {n: find(n) for e in edges_ if e[0] != e[1] for n in e}
+
+
+def test_one_row_of_every_group_stays(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcdef"]
+    near = lambda t: t.replace("59", "x")
+    rows = [
+        (None, texts[0]), (None, texts[0]), (None, near(texts[0])),  # a group without ids
+        (None, texts[1]), (3, near(texts[1])),  # a group of which one has an id
+        (None, texts[2]),  # alone, without id
+        (4, texts[3]), (4, texts[3]), (4, near(texts[3])),  # one id, one group
+        (4, texts[4]),  # the id again with another group's text
+        (2, near(texts[4])), (6, texts[5]), (None, ""), (None, None), (7, " "), (7, " "),
+    ]
+    docs = spark.createDataFrame([(*r, "clash", n) for n, r in enumerate(rows)], "doc_id long, text string, tie string, n long").repartition(3)
+    got = near_duplicate_groups(docs).collect()
+    assert len(got) == len(rows) and sum(r["kept"] for r in got) == 6 + 4
+    kept = drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    left = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    worded = sorted(((i or 0), t[0]) for i, t in left if t and t.strip())
+    assert worded == [(0, "a"), (0, "c"), (2, "e"), (3, "b"), (4, "d"), (6, "f")]
+    assert sorted((i or 0) for i, t in left if not (t and t.strip())) == [0, 0, 7, 7]

@@ -297,18 +297,25 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``(doc_id, n_shingles, component_id, kept)`` per document row.
 
     Documents are linked when their shingle sets have a Jaccard similarity
-    of 0.75 or more; the component is named by its least ``doc_id``, which
-    is ``kept``.  NULL, empty and blank texts have an empty set, stand alone
-    and are kept.  Rows that repeat a ``doc_id`` share the text's component
-    and each get a row; a row without id joins its text's component, which is
-    named by the ids it has (NULL, and not kept, if none).  An empty table
-    gives an empty result; other columns are not read.
+    of 0.75 or more; the component is named by its least ``doc_id``, of which
+    one row is ``kept``.  NULL, empty and blank texts have an empty set, stand
+    alone and are kept.  Rows that repeat a ``doc_id`` share the text's
+    component and each get a row; a row without id joins its text's component,
+    which is named by the ids it has (NULL if none).  Exactly one row of every
+    component is kept, with or without an id.  An empty table gives an empty
+    result; other columns are not read.
     """
-    signed = materialize(signatures(docs, id_col, text_col), "signatures")
+    return _grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of :func:`near_duplicate_groups` with their ``text_hash``."""
+    # the tie number is written with the row, so that it tells rows of one id and text apart
+    signed = materialize(signatures(docs, id_col, text_col).withColumn("tie", F.monotonically_increasing_id()), "signatures")
     # equal sets: one node, represented by the row of least id (ids may be NULL or repeat with other texts)
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "tie")
     sets = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(row).alias("row"))
-    sets = materialize(sets.select("node", "row.doc_id", "row.text_hash"), "nodes")
+    sets = materialize(sets.select("node", "row.doc_id", "row.text_hash", "row"), "nodes")
     same_row = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
     firsts = signed.join(sets, (signed["node"] == sets["node"]) & same_row(signed, sets), "left_semi").dropDuplicates(["node"])
     spread = materialize(firsts.select("node", F.explode("bands").alias("band")), "bands")
@@ -335,22 +342,35 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     roots = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     rooted = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    names = materialize(rooted.join(named, "root").select("node", "component_id"), "names")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    # the surviving row of a component, by (doc_id with NULL last, text hash, tie number)
+    named = rooted.groupBy("root").agg(F.min("row").alias("first"))
+    names = rooted.join(named, "root").select("node", F.col("first.doc_id").alias("component_id"), F.col("first.tie").alias("kept_tie"))
+    names = materialize(names, "names")
+    alone = F.col("node").isNull()
     return (
-        signed.select("doc_id", "n_shingles", "node")
+        signed.select("doc_id", "text_hash", "n_shingles", "node", "tie")
         .join(names, "node", "left")
         .select(
             "doc_id",
+            "text_hash",
             "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, F.col("node").isNull()).alias("kept"),
+            F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            (alone | (F.col("tie") == F.col("kept_tie"))).alias("kept"),
         )
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate group."""
-    kept = near_duplicate_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi")
+    """``docs`` with one row of each near-duplicate group (and every row whose text has no words)."""
+    keys = [F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")]
+    repeats = (F.count("*") > 1) & (F.max("n_shingles") > 0)
+    rows = _grouped(docs, id_col, text_col).groupBy(*keys).agg(F.max("kept").alias("_kept"), repeats.alias("_repeats"))
+    kept = materialize(rows.where("_kept").select("_kept_id", "_kept_hash", "_repeats"), "kept-rows")
+    same_row = docs[id_col].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(docs[text_col]) == kept["_kept_hash"])
+    found = docs.join(kept, same_row)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    once = found.where("NOT _repeats").select(*columns)
+    if kept.where("_repeats").isEmpty():
+        return once
+    # rows of one id and one text: any of them
+    return once.union(found.where("_repeats").dropDuplicates(["_kept_id", "_kept_hash"]).select(*columns))
