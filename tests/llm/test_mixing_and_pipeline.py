@@ -48,6 +48,18 @@ def test_awkward_rows(spark):
     assert mixed_rows(edges.empty(spark)).count() == 0 and mix_documents(edges.empty(spark)).count() == 0
 
 
+def test_documents_without_words_are_all_used(spark):
+    rows = [(k, "hot", ("", None, " \n")[k % 3]) for k in range(60)] + [(60, "hot", "all the words " * 20), (61, "cold", "few words")]
+    docs = spark.createDataFrame([*rows, (None, "hot", "")], "doc_id long, source string, text string")
+    whole = max(r["tokens"] / r["weight"] for r in source_weights(docs, MixTarget()).collect())
+    for target in (MixTarget(), MixTarget(entropy=0.0), MixTarget(budget=int(whole) + 1, entropy=0.0)):
+        used = Counter(r["doc_id"] for r in mixed_rows(docs, target).where("epoch = 0").collect())
+        assert used == Counter([*range(62), None])
+    one = docs.where("source = 'hot'")
+    assert mixed_rows(one).count() == 62
+    assert mix_documents(one).count() == 62
+
+
 def test_pipeline_stages_against_the_operators(spark):
     import corpus_pipeline as pipeline
     from tests.llm.test_decontam import brute as hits

@@ -139,9 +139,10 @@ def mixed_rows(
 
     ``at`` is the copy's token position in its source's stream and ``block``
     the block that it falls in; a copy is used if it begins before the
-    source's budget.  NULL sources form one source.  Texts without words
-    have no tokens and go with the place they hash to; a source without any
-    tokens is passed through once, in block 0.  Repeated rows are separate
+    source's budget, and all of epoch 0 is where the budget covers the source
+    (always, if none is given).  NULL sources form one source.  Texts without
+    words have no tokens and go with the place they hash to; a source without
+    any tokens is passed through once, in block 0.  Repeated rows are separate
     documents.  An empty table gives an empty result; other columns are not read.
     """
     weights = source_weights(docs, target, source_col, text_col)
@@ -168,7 +169,9 @@ def mixed_rows(
     within = W.partitionBy(*keys).orderBy("_order", "doc_id", "n_tokens").rowsBetween(W.unboundedPreceding, -1)
     placed = copies.withColumn("_own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(bases, keys)
     at = F.col("_base") + F.col("_own")
-    used = placed.where(F.col("_budget").isNull() | (at < F.col("_budget")))
+    # documents without words that hash behind the source's last word begin at its budget
+    covered = F.lit(target.budget is None) | (F.col("_budget") >= F.col("_tokens"))
+    used = placed.where(F.col("_budget").isNull() | (at < F.col("_budget")) | ((F.col("epoch") == 0) & covered))
     quota = F.greatest(F.col("_weight") * F.lit(float(target.block_tokens)), F.lit(1.0))
     return used.select(
         "doc_id", "source", F.col("epoch").cast("int").alias("epoch"), "n_tokens",
