@@ -82,3 +82,9 @@ def test_names_of_side_elements_still_count():
     comment = f"<ol class=comment-list><li class=comment><article class=comment-body><p>{BODY * 2}</p></article></li></ol>"
     assert main_text(f"<article><p>{BODY}</p></article><div id=comments>{comment}</div>") == BODY
     assert main_text(f"<article class=comment><p>{BODY}</p></article>") == BODY
+
+
+def test_all_article_elements_stay():
+    between = "".join(f"<div><p>beside {k}</p></div>" for k in range(9))
+    html = f"<article><h1>One</h1><p>{BODY}</p></article>{between}<article><h2>Two</h2><p>Short.</p></article>"
+    assert main_text(html) == f"One {BODY} Two Short."
