@@ -49,6 +49,14 @@ def test_language_accuracy_and_awkward_rows(spark):
     assert {r["lang_pred"] for r in identify_languages(edges.docs(spark), None).collect()} == {"und"}
 
 
+def test_a_language_of_few_texts_with_many_copies_is_learned(spark):
+    rows = [(c * 1_000 + k, f"{'wort' * (c + 1)} und noch {c}", "de") for c in range(3) for k in range(1_000)]
+    rows += [(10_000 + k, f"some words and number {k}", "en") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train_language_model(docs, docs_per_language=4, steps=1)
+    assert model.languages == ["de", "en"]
+
+
 def test_expectation_maximisation_finds_the_labellers():
     rng = np.random.default_rng(3)
     m = len(LABELLERS)

@@ -257,7 +257,7 @@ def train_language_model(
     steps: int = 300,
     seed: int = 11,
 ) -> ByteTagger | None:
-    """Train on about ``docs_per_language`` documents of each language, ``windows_per_doc`` windows of each.
+    """Train on about ``docs_per_language`` distinct texts of each language, ``windows_per_doc`` windows of each.
 
     Only documents outside the held-out fold, with text and language, take
     part.  The sample is drawn by a hash of the text, the windows of a
@@ -268,7 +268,8 @@ def train_language_model(
         F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(F.col(id_col)).alias("held_out")
     ).where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL AND text <> ''")
     # one output unit per language, so their number is bounded by the model itself
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    # copies of a text come or stay out together, so shares go by distinct texts
+    sizes = known.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
