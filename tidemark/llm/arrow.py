@@ -3,20 +3,40 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
+#: Bounds of one Arrow batch between the JVM and a Python worker; a longer row is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
-def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow`` with small batches, so that what a worker and the JVM hold of one does not grow with the rows."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
+def text_column(batch: pa.RecordBatch, *names: str) -> pa.Array:
+    """A column, or a field of nested ones: ``text_column(batch, "row", "text")``."""
+    found = batch.column(names[0])
+    for name in names[1:]:
+        found = pc.struct_field(found, name)
+    return found
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], *names: str, max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of about ``max_bytes`` of text; a longer text is alone in its slice.
 
-    The batches hold whole texts in the column ``text``; texts are never cut.
+    The batches hold whole texts in the column ``text``, or where ``names`` lead; texts are never cut.
     """
     for batch in batches:
         start = held = 0
-        sizes = pc.binary_length(batch.column("text")).fill_null(0).to_pylist()
+        sizes = pc.binary_length(text_column(batch, *(names or ("text",)))).fill_null(0).to_pylist()
         for row, size in enumerate(sizes):
             if held and held + size > max_bytes:
                 yield batch.slice(start, row - start)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import text_slices
+from tidemark.llm.arrow import map_batches, text_slices
 from tidemark.llm.columns import text_rows
 from tidemark.llm.components import connected_components
 from tidemark.operators.lineage import materialize
@@ -45,6 +45,10 @@ SKETCH_BITS = 512
 #: Bits in which the sketches of a pair at the threshold may differ: 57 expected, 5.4 deviations more.
 SKETCH_LIMIT = 112
 BLOCK = 512
+#: Members that are sent with one copy of their hub's text.
+HUB_CHUNK = 1024
+#: Parts in which the nodes of one component are named.
+SALT = 16
 
 _RNG = np.random.default_rng(20_240_611)
 _PLACE = _RNG.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -141,8 +145,8 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 names=["doc_id", "text_hash", "n_shingles", "node", "bands", "sketch"],
             )
 
-    return rows.mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n_shingles long, node long, bands array<long>, sketch array<long>"
+    return map_batches(
+        rows, run, f"doc_id {kind}, text_hash long, n_shingles long, node long, bands array<long>, sketch array<long>"
     )
 
 
@@ -155,27 +159,38 @@ def differing_bits(a: Column, b: Column) -> Column:
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes whose full shingle sets reach the threshold.
+    """The pairs ``(a, b)`` of nodes whose full shingle sets reach the threshold; ``a`` is the hub of ``b``.
 
-    ``texts`` holds the whole text of one document of each candidate node.
+    ``texts`` holds the whole text of one document of each candidate node.  A
+    hub's text is sent once for each ``HUB_CHUNK`` of its members and stands
+    before them, so neither a pair nor a task carries more than its own texts.
     """
+    chunks = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_CHUNK).cast("int").alias("chunks"))
+    hub = texts.select(F.col("node").alias("a"), "text").join(chunks, "a")
+    hub = hub.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(None).cast("long").alias("b"), "text")
+    chunk = F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk")
+    dealt = pairs.join(chunks, "a").select("a", chunk, "b")
+    rows = dealt.join(texts.select(F.col("node").alias("b"), "text"), "b").select("a", "chunk", "b", "text")
+    together = hub.unionByName(rows).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, last = np.zeros(0, np.uint64), None
+        left = np.zeros(0, np.uint64)
+        for part in text_slices(batches):
+            a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
             good = []
-            for a, b in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True):
-                if a != last:  # rows of one hub mostly follow each other
-                    left, last = shingle_set(a), a
-                right = shingle_set(b)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                good.append(100 * both >= PERCENT * (len(left) + len(right) - both))
-            mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(mask)
+            for k, text in enumerate(part.column("text").to_pylist()):
+                members = shingle_set(text)
+                if b[k] is None:
+                    left = members
+                    continue
+                both = len(np.intersect1d(left, members, assume_unique=True))
+                if 100 * both >= PERCENT * (len(left) + len(members) - both):
+                    good.append(k)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c[k] for k in good], pa.int64()) for c in (a, b)], names=["a", "b"]
+            )
 
-    placed = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    placed = placed.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return placed.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return map_batches(together, run, "a long, b long")
 
 
 def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -230,7 +245,7 @@ def _with_sets(rows: DataFrame, texts: DataFrame) -> DataFrame:
             )
 
     wanted = texts.join(rows.select("node").distinct(), "node").select("node", "text")
-    sets = materialize(wanted.mapInArrow(run, "node long, members binary, bands binary, sketch binary"), "open-sets")
+    sets = materialize(map_batches(wanted, run, "node long, members binary, bands binary, sketch binary"), "open-sets")
     return rows.join(sets, "node")
 
 
@@ -290,26 +305,27 @@ def open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
         if links:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return map_batches(dealt, run, "a long, b long").distinct()
 
 
 def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)`` per document row.
 
     Documents are linked when their shingle sets have a Jaccard similarity
-    of 0.75 or more; the component is named by its least ``doc_id``, of which
-    one row is ``kept``.  NULL, empty and blank texts have an empty set, stand
-    alone and are kept.  Rows that repeat a ``doc_id`` share the text's
-    component and each get a row; a row without id joins its text's component,
-    which is named by the ids it has (NULL if none).  Exactly one row of every
-    component is kept, with or without an id.  An empty table gives an empty
-    result; other columns are not read.
+    of 0.75 or more; the component is named by its least ``doc_id``, and a row
+    is ``kept`` if that is its own id.  NULL, empty and blank texts have an
+    empty set, stand alone and are kept.  Rows that repeat a ``doc_id`` share
+    the text's component and each get a row; a row without id joins its text's
+    component, which is named by the ids it has (NULL if none, and then all its
+    rows are kept).  :func:`drop_near_duplicates` lets exactly one row of every
+    component survive.  An empty table gives an empty result; other columns are
+    not read.
     """
     return _grouped(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of :func:`near_duplicate_groups` with their ``text_hash``."""
+    """The rows of :func:`near_duplicate_groups` with their ``text_hash`` and whether the row ``survives`` for its component."""
     # the tie number is written with the row, so that it tells rows of one id and text apart
     signed = materialize(signatures(docs, id_col, text_col).withColumn("tie", F.monotonically_increasing_id()), "signatures")
     # equal sets: one node, represented by the row of least id (ids may be NULL or repeat with other texts)
@@ -340,11 +356,15 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     links = materialize(confirm(first_pairs, texts), "hub-links")
     links = links.union(materialize(open_links(_rooted(members, links), texts), "open-links"))
 
-    roots = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    rooted = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # the surviving row of a component, by (doc_id with NULL last, text hash, tie number)
-    named = rooted.groupBy("root").agg(F.min("row").alias("first"))
-    names = rooted.join(named, "root").select("node", F.col("first.doc_id").alias("component_id"), F.col("first.tie").alias("kept_tie"))
+    roots = materialize(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "roots")
+    # the surviving row of a component, by (doc_id with NULL last, text hash, tie number); a component may hold a
+    # third of all nodes, so its name goes back to them in SALT parts, and nodes without links need no name
+    linked = sets.join(roots, "node").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALT)))
+    named = linked.groupBy("root").agg(F.min("row").alias("first"))
+    named = named.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
+    names = linked.join(named, ["root", "salt"]).select("node", "first")
+    names = names.union(sets.join(roots, "node", "left_anti").select("node", F.col("row").alias("first")))
+    names = names.select("node", F.col("first.doc_id").alias("component_id"), F.col("first.tie").alias("kept_tie"))
     names = materialize(names, "names")
     alone = F.col("node").isNull()
     return (
@@ -355,8 +375,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             "text_hash",
             "n_shingles",
             F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-            (alone | (F.col("tie") == F.col("kept_tie"))).alias("kept"),
+            (alone | (F.col("tie") == F.col("kept_tie"))).alias("survives"),
         )
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
 
@@ -364,7 +385,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one row of each near-duplicate group (and every row whose text has no words)."""
     keys = [F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")]
     repeats = (F.count("*") > 1) & (F.max("n_shingles") > 0)
-    rows = _grouped(docs, id_col, text_col).groupBy(*keys).agg(F.max("kept").alias("_kept"), repeats.alias("_repeats"))
+    rows = _grouped(docs, id_col, text_col).groupBy(*keys).agg(F.max("survives").alias("_kept"), repeats.alias("_repeats"))
     kept = materialize(rows.where("_kept").select("_kept_id", "_kept_hash", "_repeats"), "kept-rows")
     same_row = docs[id_col].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(docs[text_col]) == kept["_kept_hash"])
     found = docs.join(kept, same_row)

@@ -19,11 +19,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import text_slices
+from tidemark.llm.arrow import map_batches, text_column, text_slices
 from tidemark.llm.quality_rules import STOP_WORDS
 
 SYMBOLS = b"#*$%&|<>{}[]~^=@\\"
@@ -167,7 +166,7 @@ def fit_quality(docs: DataFrame, text_col: str = "text", max_rows: int = 3000, d
                 [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["pattern", "n"]
             )
 
-    counted = texts.mapInArrow(vote, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    counted = map_batches(texts, vote, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     counts = {r["pattern"]: r["n"] for r in counted.collect()}
     labels = fit_labellers(dict(sorted(counts.items())))
     total = sum(counts.values())
@@ -189,7 +188,7 @@ def fit_quality(docs: DataFrame, text_col: str = "text", max_rows: int = 3000, d
     chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
     # equal texts share a hash: keep one row of each, or copies could swamp the sample
     rows = (
-        chosen.mapInArrow(sample, "pattern string, slots array<long>, shares array<float>")
+        map_batches(chosen, sample, "pattern string, slots array<long>, shares array<float>")
         .dropDuplicates(["slots", "shares"])
         .collect()
     )
@@ -214,8 +213,8 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = shared.value
-        for batch in batches:
-            parts = [_parts(t) for t in pc.struct_field(batch.column("row"), text_col).to_pylist()]
+        for batch in text_slices(batches, "row", text_col):
+            parts = [_parts(t) for t in text_column(batch, "row", text_col).to_pylist()]
             cast = [votes(*p) if p[1] else None for p in parts]
             known = {p: float(g) for p in {c for c in cast if c} for g in judge.labels.posterior([p])}
             scores = [judge.score(*features(*p, dims)) if p[1] else 0.0 for p in parts]
@@ -230,7 +229,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
             )
 
     kind = nested.schema["row"].dataType.simpleString()
-    return nested.mapInArrow(run, f"row {kind}, votes string, p_good double, score double")
+    return map_batches(nested, run, f"row {kind}, votes string, p_good double, score double")
 
 
 def quality_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
