@@ -83,3 +83,76 @@ reached AS (
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
 """
+
+_CRC_TABLE = """
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY i) AS crc
+  FROM (SELECT unnest(range(256)) AS i)"""
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(length(hex(w)) // 2), lambda j: ('0x' || substr(hex(w), 2 * j + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])))"""
+_FLOOR_MEAN = "CAST(({s} - (({s} % {n} + {n}) % {n})) // {n} AS BIGINT)"
+
+RESAMPLING = rf"""
+WITH crc_table AS MATERIALIZED ({_CRC_TABLE}),
+d AS (SELECT doc_id, {_BENCH_WORDS} AS words FROM documents),
+dw AS (SELECT doc_id, unnest(words) AS w FROM d),
+bw AS (SELECT unnest({_BENCH_WORDS}) AS w FROM benchmark),
+hashed AS MATERIALIZED (
+  SELECT w, {_CRC} % 10000 AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw), crc_table),
+corpus AS (SELECT bucket, count(*) AS s FROM dw JOIN hashed USING (w) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM bw JOIN hashed USING (w) GROUP BY bucket),
+whole AS (SELECT (SELECT count(*) FROM dw) AS s_all, (SELECT count(*) FROM bw) AS t_all),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000)::DOUBLE)
+      / ((coalesce(s, 0) + 1)::DOUBLE * (t_all + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM corpus FULL JOIN target USING (bucket), whole),
+sums AS (
+  SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(gain) AS BIGINT) AS total
+  FROM dw JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(words) AS n_words, CAST(len(words) AS BIGINT) AS n_features,
+    coalesce({_FLOOR_MEAN.format(s="total", n="n")}, 0) AS weight,
+    ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN sums USING (doc_id)),
+final AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM scored),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM final WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM final LEFT JOIN ranked USING (doc_id)
+"""
+
+
+def _clustering(k: int = 8, dims: int = 64, rounds: int = 10) -> str:
+    """The rounds written out one after the other."""
+    far = f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (p[i] - c[i]) * (p[i] - c[i])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+  SELECT v.rid, v.vec_id, v.p, arg_min(number, (far, number)) AS cluster, min(far) AS distance
+  FROM (SELECT v.*, c.number, {far} AS far FROM v, c{r} c) v GROUP BY v.rid, v.vec_id, v.p)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT number, coalesce(moved, c) AS c FROM c{r} LEFT JOIN (
+    SELECT cluster AS number, list(m ORDER BY i) AS moved FROM (
+      SELECT cluster, i, {_FLOOR_MEAN.format(s="sum(p[i])", n="count(*)")} AS m
+      FROM near{r}, range(1, {dims + 1}) AS dim(i) GROUP BY cluster, i) GROUP BY cluster) USING (number))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS p
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, p) - 1 AS number, p AS c
+  FROM (SELECT p, sha256('3:' || vec_id) AS h FROM v ORDER BY h, p LIMIT {k})),
+{", ".join(steps)}
+SELECT vec_id, CAST(cluster AS INT) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM near{rounds} JOIN c{rounds} ON cluster = number
+"""
+
+
+CLUSTERING = _clustering()

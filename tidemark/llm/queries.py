@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import oracles
+from tidemark.llm.clustering import cluster_vectors
 from tidemark.llm.decontam import contamination_report
+from tidemark.llm.importance import resample
 from tidemark.llm.lang_id import language_report
 from tidemark.llm.main_text import extract_main_text
 from tidemark.llm.mixing import mixed_rows
@@ -63,6 +65,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_counts,
         op10_near_duplicates,
+        op12_clustering,
+        op13_resampling,
     )
 }
 
@@ -83,4 +95,6 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": oracles.QUALITY_RULES,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op10_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op12_clustering": oracles.CLUSTERING,
+    "op13_resampling": oracles.RESAMPLING,
 }
