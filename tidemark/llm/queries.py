@@ -14,6 +14,7 @@ from tidemark.llm.lang_id import language_report
 from tidemark.llm.main_text import extract_main_text
 from tidemark.llm.mixing import mixed_rows
 from tidemark.llm.near_dup import near_duplicate_groups
+from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.secrets import secret_report
 from tidemark.llm.token_counts import token_counts
@@ -65,6 +66,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -86,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_counts,
         op10_near_duplicates,
+        op11_packing,
         op12_clustering,
         op13_resampling,
     )
