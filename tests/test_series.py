@@ -46,17 +46,62 @@ def test_rows_window_matches_plain_window(spark, rows, n, target):
         assert (a["roll_sum"] is None and b["roll_sum"] is None) or abs(a["roll_sum"] - b["roll_sum"]) < 1e-9
 
 
-def test_hot_key_day_is_sliced(spark):
-    from tidemark.operators.series import BUCKET, time_buckets
+def buckets(df, target, order=("event_time", "event_id")):
+    from tidemark.operators.series import bucket_sizes, day_buckets, quantile_buckets
 
+    days = day_buckets(df, "event_time")
+    return quantile_buckets(days, bucket_sizes(days, "symbol"), "symbol", order, target)
+
+
+def check_buckets(df, target):
+    """Counted sizes are the stated ones, none above the target, and buckets follow the window's order."""
+    from tidemark.operators.series import BUCKET
+
+    rows, sizes = buckets(df, target)
+    held = {(r[0], r[1]): r[2] for r in rows.groupBy("symbol", BUCKET).count().collect()}
+    assert held == {(r["symbol"], r[BUCKET]): r["_c"] for r in sizes.collect()}
+    assert max(held.values()) <= target
+    places = sorted((str(r["symbol"]), r["event_time"], r["event_id"], r[BUCKET]) for r in rows.collect())
+    for a, b in zip(places, places[1:], strict=False):
+        assert a[0] != b[0] or a[3] <= b[3]
+    return held
+
+
+def test_hot_key_day_is_cut_at_quantiles(spark):
     base = dt.datetime(2026, 7, 1)
     data = [("HOT", base + dt.timedelta(seconds=i), i) for i in range(1000)] + [("A", base, 5000)]
+    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long").repartition(3)
+    held = check_buckets(df, 100)
+    assert sorted(n for (s, _), n in held.items() if s == "HOT") == [100] * 10
+
+
+def test_most_ticks_at_one_instant(spark):
+    """9,000 of 10,000 ticks at noon, the others spread over the day."""
+    base, noon = dt.datetime(2026, 7, 1), dt.datetime(2026, 7, 1, 12)
+    data = [("HOT", noon if i % 10 else base + dt.timedelta(seconds=8 * i), i) for i in range(10_000)]
+    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long").repartition(5)
+    assert sorted(check_buckets(df, 2000).values()) == [2000] * 5
+    cols = {"prev": lambda spec: F.lag("event_id", 2).over(spec)}
+    got = rows_window(df, "symbol", ("event_time", "event_id"), 2, cols, target_rows=2000)
+    want = df.withColumn("prev", F.lag("event_id", 2).over(Window.partitionBy("symbol").orderBy("event_time", "event_id")))
+    assert {r["event_id"]: r["prev"] for r in got.collect()} == {r["event_id"]: r["prev"] for r in want.collect()}
+
+
+def test_rows_of_cold_days_are_not_written(spark, monkeypatch):
+    from tidemark.operators import ranking, series
+
+    written = []
+    for module in (ranking, series):
+        monkeypatch.setattr(module, "materialize", lambda df, name: written.append((name, df.count())) or df.cache())
+    base = dt.datetime(2026, 7, 1)
+    data = [("HOT", base + dt.timedelta(seconds=i), i) for i in range(300)] + [("A", base + dt.timedelta(days=i), 1000 + i) for i in range(500)]
     df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long")
-    b = time_buckets(df, "symbol", "event_time", target_rows=100)
-    per = {r[0]: r[1] for r in b.groupBy("symbol").agg(F.countDistinct(BUCKET)).collect()}
-    assert per["HOT"] >= 5 and per["A"] == 1
-    biggest = b.groupBy("symbol", BUCKET).count().agg(F.max("count")).first()[0]
-    assert biggest <= 200
+    cols = {"prev": lambda spec: F.lag("event_id", 1).over(spec)}
+    rows_window(df, "symbol", ("event_time", "event_id"), 1, cols, target_rows=100).count()
+    assert dict(written) == {"series-sizes": 501, "ranked": 300}
+    written.clear()
+    rows_window(df, "symbol", ("event_time", "event_id"), 1, cols).count()
+    assert dict(written) == {"series-sizes": 501}
 
 
 def test_staged_windows_match_plain(spark):
@@ -78,42 +123,6 @@ def test_staged_windows_match_plain(spark):
     assert g == w
 
 
-def test_burst_inside_a_hot_day_is_sliced_again(spark):
-    from tidemark.operators.series import BUCKET, refine_buckets, still_hot, time_buckets
-
-    base = dt.datetime(2026, 7, 1)
-    data = [("HOT", base + dt.timedelta(seconds=i), i, 1.0 + i % 7) for i in range(1000)]
-    data.append(("HOT", base + dt.timedelta(hours=20), 5000, 3.0))  # stretches the day's range
-    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long, price double")
-    first = time_buckets(df, "symbol", "event_time", target_rows=100).cache()
-    assert still_hot(first, "symbol", 100)  # the burst sits in one equal-time slice of the day
-    second = refine_buckets(first, "symbol", "event_time", 100)
-    assert second.groupBy("symbol", BUCKET).count().agg(F.max("count")).first()[0] <= 200
-    # and the staged/series result is still exact with the refinement in play
-    got = rows_window(df, "symbol", ("event_time", "event_id"), 3,
-                      {"p": lambda spec: F.lag("price", 3).over(spec)}, target_rows=100)
-    spec = Window.partitionBy("symbol").orderBy("event_time", "event_id")
-    want = df.withColumn("p", F.lag("price", 3).over(spec))
-    assert {r["event_id"]: r["p"] for r in got.collect()} == {r["event_id"]: r["p"] for r in want.collect()}
-
-
-def test_one_instant_is_spread(spark):
-    from tidemark.operators.series import BUCKET, refine_buckets, time_buckets
-
-    at = dt.datetime(2026, 7, 1, 12)
-    data = [("HOT", at, i) for i in range(600)] + [("HOT", at + dt.timedelta(hours=k), 1000 + k) for k in range(5)]
-    df = spark.createDataFrame(data, "symbol string, event_time timestamp, event_id long")
-    b = time_buckets(df, "symbol", "event_time", 100, "event_id")
-    for _ in range(2):
-        b = refine_buckets(b, "symbol", "event_time", 100, "event_id")
-    assert b.groupBy("symbol", BUCKET).count().agg(F.max("count")).first()[0] <= 150
-    spec = Window.partitionBy("symbol").orderBy("event_time", "event_id")
-    cols = {"prev": lambda spec: F.lag("event_id", 1).over(spec)}
-    got = rows_window(df, "symbol", ("event_time", "event_id"), 1, cols, target_rows=100)
-    want = df.withColumn("prev", F.lag("event_id", 1).over(spec))
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-
-
 def test_missing_keys_and_times_are_as_in_a_plain_window(spark):
     at = dt.datetime(2026, 7, 1)
     data = [(None, at, 1), (None, at + dt.timedelta(days=2), 2), ("A", None, 3), ("A", at, 4), ("A", None, 5)]

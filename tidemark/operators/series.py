@@ -6,24 +6,26 @@ symbol holding a third of all ticks becomes one third of the job in a single
 task.  :func:`rows_window` computes the *same* frames over finer partitions
 ``(key, bucket)`` and restores exactness at bucket boundaries with a small
 **halo**: the ``n`` rows that precede each bucket in key order, copied from
-earlier buckets and dropped after the window.  Buckets are days, cut into
-equal time slices of their own range where a key's day is hot
-(:func:`time_buckets`), so even a single symbol-day holding a third of the
-data is spread over many tasks (as long as its ticks are spread in time).
+earlier buckets and dropped after the window.
+
+A bucket is a UTC day of a key.  Where a key's day is hot, its rows are cut at
+exact quantiles of the window's own order (:func:`quantile_buckets`): they are
+range-partitioned on it and numbered, and every ``target_rows`` of them are a
+bucket.  Rows of one instant are therefore cut by the columns that break its
+tie, however many share it, and no bucket of a hot day is larger than
+``target_rows``.  Only hot rows are sorted and written; the rows of all other
+days keep the day they have and are not touched before the window.
 
 How the halo is found (all distributed, all bounded by n per bucket):
 
-1. per ``(key, bucket)`` row counts, accumulated per key — one row per
-   key-bucket, so this table is small — and, for each bucket, its next ``n``
-   buckets (a bounded ``collect_list`` frame) with the number of rows lying
-   between them;
+1. per ``(key, bucket)`` row counts, accumulated per key: one row per
+   key-bucket, so this table is small.  It is counted once, and a hot day's
+   part follows from its size.  Each bucket lists its next ``n`` buckets (a
+   bounded ``collect_list`` frame) with the number of rows lying between them;
 2. halo candidates: the last ``n`` rows of every bucket (a ``row_number``
    filter, limited per map task before the shuffle);
 3. one join of candidates to their target buckets, keeping a candidate where
    fewer than ``n`` rows lie between it and the target's start.
-
-The bucket must be non-decreasing in the window's order (day of the first
-order column does this).
 """
 
 from __future__ import annotations
@@ -34,95 +36,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.lineage import materialize
+from tidemark.operators.ranking import with_rank
 
 HALO = "_halo"
 BUCKET = "_bucket"
 DAY_US = 86_400_000_000
-MAX_SLICES = 10_000  # slices of a bucket in one pass; bucket ids of three passes fit a long
-PASSES = 3
-NO_TIME = -1_000_000  # bucket of rows without a time, which a window orders first
+NO_TIME = -1_000_000  # day of rows without a time, which a window orders first
+PARTS = 1 << 40  # a bucket's number is its day times PARTS plus its part of the day
 DEFAULT_TARGET_ROWS = 2_000_000
 
 
-def _slice_hot(rows: DataFrame, key: str, target_rows: int) -> DataFrame:
-    """Cut every (key, ``_bucket``) holding more than ``target_rows`` rows into equal slices of its
-    own range; ``_bucket`` becomes ``_bucket * MAX_SLICES + slice``.
-
-    The range is that of ``_us`` (the row's time in microseconds), or that of
-    ``_tie`` (its place among equal times) where all rows have one time, so
-    that any number of rows at one instant is spread too.  The hot table lists
-    hot buckets only (at most ``total_rows / target_rows``) and is joined back;
-    AQE broadcasts it when it is small.
-    """
-    ends = [f(c).alias(f"_{n}_{c}") for c in ("_us", "_tie") for n, f in (("lo", F.min), ("hi", F.max))]
-    one_time = F.col("_lo__us").eqNullSafe(F.col("_hi__us"))
-    hot = (
-        rows.groupBy(key, BUCKET)
-        .agg(F.count(F.lit(1)).alias("_n"), *ends)
-        .where(F.col("_n") > target_rows)
-        .select(
-            F.col(key).alias("_hot_key"),
-            F.col(BUCKET).alias("_hot_bucket"),
-            one_time.alias("_one_time"),
-            F.when(one_time, F.col("_lo__tie")).otherwise(F.col("_lo__us")).alias("_lo"),
-            F.when(one_time, F.col("_hi__tie") - F.col("_lo__tie"))
-            .otherwise(F.col("_hi__us") - F.col("_lo__us"))
-            .alias("_width"),
-            F.least(F.ceil(F.col("_n") / target_rows), F.lit(MAX_SLICES)).alias("_k"),
-        )
-    )
-    place = F.when(F.col("_one_time"), F.col("_tie")).otherwise(F.col("_us")) - F.col("_lo")
-    slice_ = F.coalesce(F.floor(place * F.col("_k") / (F.col("_width") + 1)), F.lit(0))
-    same = rows[key].eqNullSafe(hot["_hot_key"]) & (rows[BUCKET] == hot["_hot_bucket"])
-    joined = rows.join(hot, same, "left")
-    return joined.withColumn(BUCKET, F.col(BUCKET) * MAX_SLICES + slice_).drop(
-        "_hot_key", "_hot_bucket", "_one_time", "_lo", "_width", "_k"
-    )
-
-
-def _measured(df: DataFrame, time_col: str, tie: str | None) -> DataFrame:
-    """``df`` with ``_us`` and ``_tie``, what buckets are cut by."""
+def day_buckets(df: DataFrame, time_col: str) -> DataFrame:
+    """``df`` with ``_bucket``, part 0 of the UTC day of ``time_col``."""
     us = F.unix_micros(F.col(time_col).cast("timestamp"))
-    place = F.col(tie).cast("double") if tie else F.lit(0.0)
-    return df.withColumn("_us", us).withColumn("_tie", F.coalesce(place, F.lit(0.0)))
+    day = F.coalesce(F.floor(us / DAY_US), F.lit(NO_TIME))
+    return df.withColumn(BUCKET, (day * F.lit(PARTS)).cast("long"))
 
 
-def _tie_column(df: DataFrame, order: Sequence[str]) -> str | None:
-    """The second order column where it is a number."""
-    kinds = dict(df.dtypes)
-    return order[1] if len(order) > 1 and kinds[order[1]] in ("int", "bigint", "double") else None
+def bucket_sizes(days: DataFrame, key: str) -> DataFrame:
+    """Rows of every (key, day), written once: a row per key and day, whatever the days hold."""
+    return materialize(days.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_c")), "series-sizes")
 
 
-def time_buckets(
-    df: DataFrame, key: str, time_col: str, target_rows: int = DEFAULT_TARGET_ROWS, tie: str | None = None
-) -> DataFrame:
-    """``df`` with ``_bucket``: the UTC day of ``time_col``, sliced where a key's day is hot.
-
-    A (key, day) with more than ``target_rows`` rows has its own time range
-    (first to last tick) cut into ``k = ceil(rows / target_rows)`` equal
-    slices, so a symbol-day holding a third of the data is spread over ``k``
-    tasks.  Bucket ids increase with time within a key, which is all
-    :func:`with_halo` needs; :func:`refine_buckets` slices again where ticks
-    were bunched inside one slice.  Rows without a time share a first bucket.
-    """
-    rows = _measured(df, time_col, tie)
-    rows = rows.withColumn(BUCKET, F.coalesce(F.floor(F.col("_us") / DAY_US), F.lit(NO_TIME)))
-    return _slice_hot(rows, key, target_rows).drop("_us", "_tie")
-
-
-def refine_buckets(df: DataFrame, key: str, time_col: str, target_rows: int, tie: str | None = None) -> DataFrame:
-    """One more slicing pass over buckets that are still hot (bursts inside one slice)."""
-    return _slice_hot(_measured(df, time_col, tie), key, target_rows).drop("_us", "_tie")
-
+def quantile_buckets(days: DataFrame, sizes: DataFrame, key: str, order: Sequence[str], target_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows and sizes with every hot (key, day) cut at exact quantiles of ``order``.
 
-def still_hot(bucketed: DataFrame, key: str, target_rows: int) -> bool:
-    """Whether any (key, bucket) exceeds ``target_rows`` (one aggregate; one number reaches the driver)."""
-    biggest = bucketed.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return biggest is not None and biggest > target_rows
-
-
-def with_halo(rows_in: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
-    """``rows_in`` (with ``_bucket``) plus, for every (key, bucket), copies of the ``n`` rows preceding it.
+    ``sizes`` lists the hot days (at most ``total / target_rows`` of them);
+    only their rows are range-partitioned, numbered and written.
+    """
+    hot = sizes.where(F.col("_c") > target_rows).select(F.col(key).alias("_hot_key"), F.col(BUCKET).alias("_hot_day"), "_c")
+    if hot.isEmpty():
+        return days, sizes
+    is_hot = days[key].eqNullSafe(hot["_hot_key"]) & (days[BUCKET] == hot["_hot_day"])
+    cold = days.join(hot, is_hot, "left_anti")
+    ranked = with_rank(days.join(hot, is_hot, "left_semi"), F.col(key), F.col(BUCKET), *order, name="_seat")
+    first = ranked.groupBy(key, BUCKET).agg(F.min("_seat").alias("_first"))
+    first = first.select(F.col(key).alias("_hot_key"), F.col(BUCKET).alias("_hot_day"), "_first")
+    placed = ranked.join(first, ranked[key].eqNullSafe(first["_hot_key"]) & (ranked[BUCKET] == first["_hot_day"]))
+    part = F.floor((F.col("_seat") - F.col("_first")) / target_rows)
+    cut = placed.withColumn(BUCKET, (F.col(BUCKET) + part).cast("long")).select(*days.columns)
+    # a hot day's parts hold target_rows each, the last one what is left
+    n_parts = F.ceil(F.col("_c") / target_rows)
+    parts = hot.select("_hot_key", "_hot_day", "_c", F.explode(F.sequence(F.lit(0).cast("long"), n_parts - 1)).alias("_p"))
+    size = F.least(F.lit(target_rows).cast("long"), F.col("_c") - F.col("_p") * target_rows)
+    parts = parts.select(F.col("_hot_key").alias(key), (F.col("_hot_day") + F.col("_p")).alias(BUCKET), size.alias("_c"))
+    return cold.unionByName(cut), sizes.where(F.col("_c") <= target_rows).unionByName(parts)
+
+
+def with_halo(rows_in: DataFrame, sizes: DataFrame, key: str, order: Sequence[str], n: int) -> DataFrame:
+    """``rows_in`` (with ``_bucket`` and its ``sizes``) plus, for every (key, bucket), copies of the ``n`` rows before it.
 
     Real rows carry ``_halo = false``; copies carry ``_halo = true`` and the
     bucket they were copied *into*.
@@ -130,11 +92,8 @@ def with_halo(rows_in: DataFrame, key: str, order: Sequence[str], n: int) -> Dat
     rows = rows_in.withColumn(HALO, F.lit(False))
     # (1) one row per key-bucket: its row count and the running count through it
     by_key = Window.partitionBy(key).orderBy(BUCKET)
-    buckets = (
-        rows.groupBy(key, BUCKET)
-        .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_cum", F.sum("_c").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
+    running = F.sum("_c").over(by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    buckets = sizes.withColumn("_cum", running)
     # each bucket lists its next n buckets with the rows lying before their start;
     # `gap` = rows strictly between this bucket's end and the target's start
     following = F.collect_list(F.struct(F.col(BUCKET).alias("b"), (F.col("_cum") - F.col("_c")).alias("before"))).over(
@@ -174,20 +133,13 @@ def rows_window(
     of such maps is applied in stages over the same partitioning (no extra
     shuffle), each stage seeing the previous stages' columns; ``n`` must then
     cover the *total* look-back of the stages (e.g. a lag of 1 feeding a
-    10-row frame needs ``n = 10``).  ``order[0]`` must be the time column the
-    buckets are cut on (:func:`time_buckets`).
+    10-row frame needs ``n = 10``).  ``order[0]`` must be the time column whose
+    days the buckets are.
     """
     stages = [columns] if isinstance(columns, dict) else list(columns)
-    # The bucketed rows feed three branches (bucket counts, halo candidates, the
-    # window itself); Spark would recompute the source and the hot-day join for
-    # each, so they are written once to the shared folder and read back.
-    tie = _tie_column(df, order)
-    bucketed = materialize(time_buckets(df, key, order[0], target_rows, tie), "series_buckets")
-    for _ in range(PASSES - 1):  # ticks bunched inside one slice or at one instant: cut those buckets again
-        if not still_hot(bucketed, key, target_rows):
-            break
-        bucketed = materialize(refine_buckets(bucketed, key, order[0], target_rows, tie), "series_buckets")
-    wide = with_halo(bucketed, key, order, n)
+    days = day_buckets(df, order[0])
+    bucketed, sizes = quantile_buckets(days, bucket_sizes(days, key), key, order, target_rows)
+    wide = with_halo(bucketed, sizes, key, order, n)
     spec = Window.partitionBy(key, BUCKET).orderBy(*order)
     for stage in stages:
         wide = wide.select("*", *[f(spec).alias(name) for name, f in stage.items()])
