@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from tidemark.operators.lineage import materialize
 from tidemark.plans import market
 from tidemark.registry import query
 from tidemark.registry.feed_queries import FEED_BUILD_SQL, build_feed
@@ -17,18 +16,17 @@ from tidemark.sinks import writers
 from tidemark.sources import files
 
 
-def _name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+def _tables(spark, *prefixes: str) -> list[str]:
+    return [writers.staging_table(spark, p) for p in prefixes]
 
 
 @query("snk_overwrite_roundtrip", with_ctes(*MARKET_CHAIN, LATEST, SUMMARY, select="SELECT * FROM summary"))
 def snk_overwrite_roundtrip(spark, sf_dir):
-    """SNK-1: a table overwritten with a different schema (silver → gold summary), then read."""
-    s = silver(spark, sf_dir)
-    name = _name("gold_market_summary")
-    path = staging_path(spark, name)
-    writers.overwrite_table(s.select(*MARKET_FIELDS), name, path)
-    writers.overwrite_table(market.gold_summary(s), name, path)
+    """SNK-1: a managed table overwritten with a different schema (silver → gold summary), then read."""
+    ticks, name = _tables(spark, "silver_market_ticks", "gold_market_summary")
+    writers.overwrite_table(silver(spark, sf_dir), ticks)
+    writers.overwrite_table(spark.table(ticks).select(*MARKET_FIELDS), name)
+    writers.overwrite_table(market.gold_summary(spark.table(ticks)), name)
     return spark.table(name)
 
 
@@ -42,13 +40,11 @@ def snk_overwrite_roundtrip(spark, sf_dir):
     ),
 )
 def snk_split_by_type(spark, sf_dir):
-    """SNK-2: one top-k result split into a stock table and a crypto table."""
-    top = market.top_transactions(silver(spark, sf_dir))
-    names = {"stock": _name("gold_top_stock_transactions"), "crypto": _name("gold_top_crypto_transactions")}
-    paths = {k: staging_path(spark, v) for k, v in names.items()}
-    writers.split_by_value(top, "asset_type", names, paths)
-    stock = spark.table(names["stock"]).select(F.lit("gold_top_stock_transactions").alias("target"), "*")
-    crypto = spark.table(names["crypto"]).select(F.lit("gold_top_crypto_transactions").alias("target"), "*")
+    """SNK-2: one top-k result, computed once, split into a stock table and a crypto table."""
+    targets = ("gold_top_stock_transactions", "gold_top_crypto_transactions")
+    names = dict(zip(("stock", "crypto"), _tables(spark, *targets), strict=True))
+    writers.split_by_value(market.top_transactions(silver(spark, sf_dir)), "asset_type", names)
+    stock, crypto = (spark.table(n).select(F.lit(t).alias("target"), "*") for n, t in zip(names.values(), targets, strict=True))
     return stock.unionByName(crypto)
 
 
@@ -64,19 +60,21 @@ def snk_jsonl_roundtrip(spark, sf_dir):
     "snk_drop_tables",
     with_ctes(
         *MARKET_CHAIN,
-        select="SELECT 'dropped' AS state, CAST(count(*) AS BIGINT) AS silver_rows FROM silver",
+        LATEST,
+        select="SELECT 'silver_market_ticks' AS layer, 'dropped' AS state, CAST(count(*) AS BIGINT) AS rows_before FROM silver "
+        "UNION ALL SELECT 'gold_market_summary', 'dropped', CAST(count(*) AS BIGINT) FROM latest",
     ),
 )
 def snk_drop_tables(spark, sf_dir):
-    """SNK-5: tables are created, dropped if present (twice: idempotent), and gone afterwards."""
-    s = silver(spark, sf_dir)
-    names = [_name(p) for p in ("silver_market_ticks", "gold_market_summary")]
-    writers.overwrite_table(s.select(*MARKET_FIELDS), names[0], staging_path(spark, names[0]))
-    writers.overwrite_table(market.gold_summary(s), names[1], staging_path(spark, names[1]))
-    rows = spark.table(names[0]).agg(F.count(F.lit(1)).alias("silver_rows"))
-    counted = rows.collect()[0]["silver_rows"]
+    """SNK-5: managed tables are made and counted, dropped (twice: idempotent), and the catalog's listing afterwards."""
+    layers = ("silver_market_ticks", "gold_market_summary")
+    names = _tables(spark, *layers)
+    writers.overwrite_table(silver(spark, sf_dir), names[0])
+    writers.overwrite_table(market.gold_summary(spark.table(names[0])), names[1])
+    counts = [spark.table(n).agg(F.count(F.lit(1)).alias("rows_before")).withColumn("name", F.lit(n)) for n in names]
+    before = materialize(counts[0].unionByName(counts[1]), "row-counts")
     writers.drop_tables(spark, names)
     writers.drop_tables(spark, names)
-    left = [n for n in names if spark.catalog.tableExists(n)]
-    state = "dropped" if not left else "left:" + ",".join(left)
-    return spark.range(1).select(F.lit(state).alias("state"), F.lit(counted).cast("bigint").alias("silver_rows"))
+    states = writers.table_states(spark, names).join(before, "name")
+    layer = F.regexp_extract("name", r"([a-z_]+)_[0-9a-f]{12}$", 1).alias("layer")
+    return states.select(layer, "state", "rows_before")

@@ -48,9 +48,9 @@ def src_csv_orders(spark, sf_dir):
 
 @query("src_managed_table", with_ctes(*MARKET_CHAIN, select=f"SELECT {SILVER_COLS} FROM silver"))
 def src_managed_table(spark, sf_dir):
-    """SRC-4 / SNK-1: silver saved as a catalog table, then read with ``spark.table``."""
-    name = _table_name("silver_market_ticks")
-    writers.overwrite_table(silver(spark, sf_dir).select(*MARKET_FIELDS, "source_file"), name, staging_path(spark, name))
+    """SRC-4 / SNK-1: silver saved as a managed table, then read with ``spark.table``."""
+    name = writers.staging_table(spark, "silver_market_ticks")
+    writers.overwrite_table(silver(spark, sf_dir).select(*MARKET_FIELDS, "source_file"), name)
     return files.read_table(spark, name)
 
 

@@ -26,6 +26,7 @@ from tidemark.registry.sql import (
     with_ctes,
 )
 from tidemark.session import staging_path
+from tidemark.sinks import writers
 from tidemark.sources import bindings
 from tidemark.streaming import market_stream as ms
 
@@ -47,6 +48,18 @@ def _land(df: DataFrame, day: "F.Column", landing: str, run, kind: str = "json")
         run()
 
 
+def _land_slices(df: DataFrame, day: "F.Column", landing: str, slices: int, run) -> None:
+    """Land ``df`` in equal slices of its own day range, the rows of a slice as one batch, and run after each."""
+    lo, hi = df.agg(F.min(day), F.max(day)).first()
+    if lo is None:
+        return
+    span = (hi - lo).days + 1
+    which = F.floor(F.datediff(day, F.lit(lo)) * slices / span)
+    for k in range(slices):
+        df.where(which == k).write.mode("overwrite").parquet(f"{landing}/batch-{k + 1}")
+        run()
+
+
 def _drain(stream: DataFrame, write, checkpoint: str):
     return lambda: ms.run_available(
         lambda: stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -100,12 +113,13 @@ LANDED = f"""bronze AS (
 
 @query("stream_silver_dedup", with_ctes(RAW_FEED, LANDED, STD, VALID, SILVER, select="SELECT * FROM silver"))
 def stream_silver_dedup(spark, sf_dir):
-    """ST-2: streaming silver, whole rows; one row per key with the batch layer's survivor."""
+    """ST-2: streaming silver kept up in buckets of the key; a trigger rewrites the buckets it touches only."""
     root = staging_path(spark, "stream_silver")
     rows = ms.silver_stream(ms.bronze_stream(ms.read_feed_stream(spark, f"{root}/landing/*")))
-    run = _drain(rows, ms.append_epochs(f"{root}/silver"), f"{root}/_checkpoint")
+    table = ms.silver_table(f"{root}/silver")
+    run = _drain(rows, table.upsert, f"{root}/_checkpoint")
     _land(bindings.raw_feed(spark, sf_dir), _feed_day(), f"{root}/landing", run)
-    return ms.silver_table(spark, f"{root}/silver")
+    return table.read(spark)
 
 
 @query(
@@ -131,15 +145,81 @@ def stream_candles(spark, sf_dir):
     return ms.merged_candles(ms.read_epochs(spark, f"{root}/partials"))
 
 
+#: Landing batches, and how far behind the greatest event time a window stays open.
+LANDINGS, LATE_AFTER = 3, "3 days"
+_LANDED = f"""landed AS (
+  SELECT *, event_time + CASE WHEN event_id % 13 = 0 THEN INTERVAL 12 DAY WHEN event_id % 7 = 0 THEN INTERVAL 1 HOUR
+    ELSE INTERVAL 0 HOUR END AS landing_time, date_trunc('hour', event_time) AS w FROM ticks),
+span AS (SELECT min(CAST(landing_time AS DATE)) AS d0, max(CAST(landing_time AS DATE)) AS d1 FROM landed),
+dealt AS (
+  SELECT landed.*, (datediff('day', d0, CAST(landing_time AS DATE)) * {LANDINGS}) // (datediff('day', d0, d1) + 1) AS batch
+  FROM landed, span),
+marks AS (
+  SELECT b.batch, date_trunc('millisecond', max(e.event_time)) - INTERVAL {LATE_AFTER} AS mark
+  FROM (SELECT DISTINCT batch FROM dealt) b JOIN dealt e ON e.batch < b.batch GROUP BY b.batch),
+judged AS (
+  SELECT dealt.*, mark IS NOT NULL AND w + INTERVAL 1 hour <= mark AS late FROM dealt LEFT JOIN marks USING (batch))"""
+
+
+@query(
+    "stream_candles_watermark",
+    with_ctes(
+        TICKS,
+        _LANDED,
+        select="""SELECT symbol, asset_type, w AS window_start,
+         arg_min(price, (event_time, event_id)) FILTER (NOT late) AS open, max(price) FILTER (NOT late) AS high,
+         min(price) FILTER (NOT late) AS low, arg_max(price, (event_time, event_id)) FILTER (NOT late) AS close,
+         round(sum(volume) FILTER (NOT late), 4) AS volume, CAST(count(*) FILTER (NOT late) AS BIGINT) AS trades,
+         CAST(count(*) FILTER (late) AS BIGINT) AS late_rows
+  FROM judged GROUP BY symbol, asset_type, w""",
+    ),
+)
+def stream_candles_watermark(spark, sf_dir):
+    """ST-3: hourly candles as event-time state in update mode, under a watermark; rows beyond it are put aside.
+
+    Ticks land in three batches by landing time.  One stream keeps the open
+    windows as state and upserts the changed candles; the other writes the
+    rows whose window the watermark had passed.  A window has its candle
+    (NULL if all its rows were late) and the number of its late rows.
+    """
+    root = staging_path(spark, "stream_watermark")
+    rows = bindings.landed_ticks(spark, sf_dir)
+    stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landing/*")
+    candles = ms.candle_table(f"{root}/candles")
+    updates = ms.candle_updates(stream, "1 hour", LATE_AFTER)
+
+    def keep_up() -> None:
+        ms.run_available(
+            lambda: updates.writeStream.outputMode("update")
+            .foreachBatch(lambda df, epoch: candles.upsert(df.withColumn("epoch", F.lit(epoch)), epoch))
+            .option("checkpointLocation", f"{root}/_candles")
+        )
+        _drain(stream, ms.keep_late(f"{root}/aside", "1 hour", LATE_AFTER), f"{root}/_aside")()
+
+    _land_slices(rows, F.to_date("landing_time"), f"{root}/landing", LANDINGS, keep_up)
+    late = spark.read.parquet(f"{root}/aside/late")
+    late = late.groupBy("symbol", "asset_type", F.window("event_time", "1 hour")["start"].alias("window_start"))
+    late = late.agg(F.count("*").alias("late_rows"))
+    made = ms.merged_candles(candles.read(spark)).drop("window_end")
+    both = made.join(late, ["symbol", "asset_type", "window_start"], "full")
+    none = F.lit(0).cast("long")
+    return both.withColumns({"late_rows": F.coalesce("late_rows", none), "trades": F.coalesce("trades", none)})
+
+
 @query("stream_latest_summary", with_ctes(RAW_FEED, BRONZE, STD, VALID, SILVER, LATEST, SUMMARY, select="SELECT * FROM summary"))
 def stream_latest_summary(spark, sf_dir):
-    """ST-4: newest row per symbol of each trigger, and the summary of the newest of all."""
+    """ST-4: newest row per symbol kept up in buckets; each run publishes the summary as a new version of its table."""
     root = staging_path(spark, "stream_latest")
     rows = ms.silver_stream(ms.bronze_stream(ms.read_feed_stream(spark, f"{root}/landing/*")))
-    write = ms.append_epochs(f"{root}/latest")
-    run = _drain(rows, lambda df, epoch: write(ms.latest_state(df), epoch), f"{root}/_checkpoint")
+    latest, name = ms.latest_table(f"{root}/latest"), writers.staging_table(spark, "gold_market_summary")
+    drain = _drain(rows, latest.upsert, f"{root}/_checkpoint")
+
+    def run() -> None:
+        drain()
+        writers.publish_version(ms.summary_from_latest(latest.read(spark)), name, f"{root}/summary")
+
     _land(bindings.raw_feed(spark, sf_dir), _feed_day(), f"{root}/landing", run)
-    return ms.summary_from_latest(ms.latest_state(ms.read_epochs(spark, f"{root}/latest")))
+    return spark.table(name)
 
 
 SECOND_HALF_FEED = RAW_FEED.replace("raw_feed AS (", "raw_feed_all AS (", 1) + (
@@ -155,12 +235,13 @@ def stream_two_batch_replay(spark, sf_dir):
     """ST-5: the batch job run once per landed batch, each into a version of its own.
 
     As in the reference, a run replaces the gold table: after two batches the
-    newest version reflects the second batch only.  The job reads a landed
-    batch by its folder, however many triggers brought its files.
+    newest version reflects the second batch only.  Bronze is partitioned by
+    the landed folder, so the job reads its own batch alone, however many
+    triggers brought its files.
     """
     root = staging_path(spark, "stream_replay")
     bronze = ms.bronze_stream(ms.read_feed_stream(spark, f"{root}/landing/*"))
-    drain = _drain(bronze, ms.append_epochs(f"{root}/bronze"), f"{root}/_checkpoint")
+    drain = _drain(bronze, ms.append_epochs(f"{root}/bronze", "source_file"), f"{root}/_checkpoint")
     versions: list[str] = []
 
     def run() -> None:

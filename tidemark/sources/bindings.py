@@ -58,6 +58,12 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("volume > 0")
 
 
+def landed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks with the time at which they land: most at once, some an hour later, every 13th event twelve days later."""
+    later = "CASE WHEN event_id % 13 = 0 THEN INTERVAL 12 DAYS WHEN event_id % 7 = 0 THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOURS END"
+    return ticks(spark, sf_dir).withColumn("landing_time", F.expr(f"event_time + {later}"))
+
+
 def orders_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders → the orders extract (order_id, customer, status, amount)."""
     o = load(spark, sf_dir, "orders")

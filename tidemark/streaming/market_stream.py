@@ -8,20 +8,22 @@ or a restarted driver resumes from the last committed batch.
 
 * ST-1 bronze: JSONL → bronze with per-file lineage, append to a file sink
   (exactly-once through the sink's metadata log).
-* ST-2 silver: each trigger appends its standardised, valid rows; the table's
-  reader keeps one row per key with the batch layer's survivor.
+* ST-2 silver: a :class:`tidemark.sinks.buckets.BucketTable` of whole rows, one
+  per key.  A trigger merges its rows with the stored rows of the buckets they
+  fall in and gives only those buckets a new version; readers need no dedup.
 * ST-3 candles: each trigger appends partial candles of its rows, the reader
-  merges them, so every window is there whatever files a trigger got.  A
-  watermarked append form (:func:`candle_stream`) is there for live feeds
-  whose files come in time order.
-* ST-4 latest summary: each trigger appends the newest row per symbol of its
-  rows; the reader takes the newest of those.
+  merges them, so every window is there whatever files a trigger got.  The
+  watermarked form (:func:`candle_updates`) keeps open windows as state, emits
+  the changed ones in update mode and gives a window up once the watermark has
+  passed it; :func:`keep_late` puts the rows that come after that aside.
+* ST-4 latest summary: a bucket table of the newest row per symbol; the gold
+  summary is published as a new version of a catalog table.
 * ST-5 replay: the batch job run per landed folder, each into a version of
-  its own, so the newest version reflects the last landed batch only.
+  its own, so the newest version reflects the last landed batch only.  Bronze
+  is partitioned by that folder, so a replay reads it alone.
 
-ST-2 to ST-4 write one folder per trigger (``epoch=N``), replaced as a whole if
-the trigger is run again and never otherwise.  Their reductions do not depend
-on how files were split among triggers.
+Every table is written at a place of its own for each trigger, replaced as a
+whole if the trigger is run again, and becomes readable with one last commit.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.plans import analytics, market
 from tidemark.schemas import MARKET_SCHEMA
+from tidemark.sinks.buckets import BucketTable
 
 FEED_SCHEMA = StructType(MARKET_SCHEMA.fields + [StructField("event_id", LongType())])
 
@@ -62,11 +65,11 @@ def read_feed_stream(
     return reader.json(landing)
 
 
-def append_epochs(table: str) -> Callable[[DataFrame, int], None]:
+def append_epochs(table: str, *partition_by: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer: one folder per trigger, replaced whole if the trigger is retried."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+        batch.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{table}/epoch={epoch}")
 
     return write
 
@@ -86,9 +89,14 @@ def silver_stream(bronze: DataFrame) -> DataFrame:
     return market.standardize(bronze).where(market.silver_predicate())
 
 
-def silver_table(spark: SparkSession, table: str) -> DataFrame:
-    """ST-2: whole silver rows, one per key; the same survivor as the batch layer."""
-    return market.dedup_keys(read_epochs(spark, table))
+def silver_table(path: str, buckets: int = 32) -> BucketTable:
+    """ST-2: whole silver rows, one per key, with the batch layer's survivor."""
+    return BucketTable(path, market.DEDUP_KEYS, market.dedup_keys, buckets)
+
+
+def latest_table(path: str, buckets: int = 32) -> BucketTable:
+    """ST-4: the newest silver row of every symbol."""
+    return BucketTable(path, ("symbol",), latest_state, buckets)
 
 
 def partial_candles(ticks: DataFrame, width: str) -> DataFrame:
@@ -128,6 +136,54 @@ def merged_candles(partials: DataFrame) -> DataFrame:
     )
 
 
+def candle_updates(ticks: DataFrame, width: str, delay: str) -> DataFrame:
+    """ST-3: partial candles of the windows that the watermark has not passed, for update mode.
+
+    State holds the open windows only.  A tick whose window ended before the
+    watermark (the greatest event time of earlier triggers less ``delay``)
+    changes nothing any more.
+    """
+    return partial_candles(ticks.withWatermark("event_time", delay), width)
+
+
+def newest_update(rows: DataFrame) -> DataFrame:
+    """Of several updates of one window, the one of the last trigger."""
+    kept = [c for c in rows.columns if c != "epoch"]
+    newest = rows.groupBy("symbol", "asset_type", "w").agg(F.max_by(F.struct(*rows.columns), "epoch").alias("r"))
+    return newest.select(*[F.col(f"r.{c}").alias(c) for c in kept], F.col("r.epoch").alias("epoch"))
+
+
+def candle_table(path: str, buckets: int = 32) -> BucketTable:
+    """ST-3: the last update of every window."""
+    return BucketTable(path, ("symbol", "asset_type", "w"), newest_update, buckets)
+
+
+def keep_late(table: str, width: str, delay: str) -> Callable[[DataFrame, int], None]:
+    """ST-3: a ``foreachBatch`` writer that appends the rows beyond the watermark to ``table/late``.
+
+    Each trigger notes its greatest event time; the watermark of a trigger
+    comes from the notes of the triggers before it, as the engine's does, so
+    both agree where both streams take the same files in a trigger.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        note = batch.agg(F.max("event_time").alias("reached"))
+        if epoch:
+            before = spark.read.parquet(f"{table}/reached").where(F.col("epoch") < epoch)
+            mark = F.date_trunc("millisecond", F.max("reached")) - F.expr(f"INTERVAL {delay}")
+            reached = before.agg(mark.alias("mark")).first()["mark"]
+        else:
+            reached = None
+            spark.createDataFrame([], batch.schema).write.mode("overwrite").parquet(f"{table}/late/epoch=-1")
+        if reached is not None:
+            late = batch.where(F.window("event_time", width)["end"] <= F.lit(reached))
+            late.write.mode("overwrite").parquet(f"{table}/late/epoch={epoch}")
+        note.coalesce(1).write.mode("overwrite").parquet(f"{table}/reached/epoch={epoch}")
+
+    return write
+
+
 def candle_stream(ticks: DataFrame, width: str, watermark: str) -> DataFrame:
     """ST-3: tumbling OHLCV candles closed by the watermark."""
     return analytics.candles(ticks.withWatermark("event_time", watermark), width)
