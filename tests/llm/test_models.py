@@ -1,11 +1,18 @@
 from __future__ import annotations
 
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 
 from tests.conftest import SF_SMALL
 from tests.llm import edges
 from tidemark.llm.lang_id import ByteTagger, Direction, LetterPool, _LETTER_BYTE, identify_languages, train_language_model, windows_of
-from tidemark.llm.weak_quality import LABELLERS, drop_low_quality, fit_labellers, quality_scores
+from tidemark.llm import weak_quality
+from tidemark.llm.weak_quality import LABELLERS, QualityModel, WeakLabels, drop_low_quality, features, fit_labellers, quality_scores
 
 
 def test_backpropagation_through_time_matches_finite_differences():
@@ -72,6 +79,41 @@ def test_expectation_maximisation_finds_the_labellers():
     assert abs(model.good - good.mean()) < 0.02 and np.abs(model.says_bad - says_bad).max() < 0.04
 
 
+def test_posterior_and_score_match_plain_sums():
+    rng = np.random.default_rng(5)
+    m = len(LABELLERS)
+    labels = WeakLabels(0.7, rng.uniform(0.05, 0.9, (2, m)))
+    patterns = ["".join(rng.choice(list("bg-"), m)) for _ in range(40)]
+    for pattern, got in zip(patterns, labels.posterior(patterns), strict=True):
+        chance = [1 - labels.good, labels.good]
+        for c in (0, 1):
+            for vote, says in zip(pattern, labels.says_bad[c], strict=True):
+                chance[c] *= {"b": says, "g": 1 - says, "-": 1.0}[vote]
+        assert abs(got - chance[1] / sum(chance)) < 1e-9
+    weights = rng.normal(size=512).astype(np.float32)
+    model = QualityModel(labels, weights, 0.3)
+    text = b"Some words, some MORE words!! and and 12 odd_things"
+    words = text.split()
+    shape = lambda w: re.sub(r"(.)\1+", r"\1", "".join("a" if c.islower() else "A" if c.isupper() else "9" if c.isdigit() else c for c in w))
+    counts = Counter(shape(w.decode()).encode() for w in words) + Counter({b"\x00again": 16})
+    total = 0.3 + sum(float(weights[zlib.crc32(s) % 512]) * math.sqrt(n / len(words)) for s, n in counts.items())
+    assert abs(model.score(*features(text, words, 512)) - 1 / (1 + math.exp(-total))) < 1e-5
+
+
+def test_copies_do_not_empty_the_scorers_sample(spark, monkeypatch):
+    rows = [(k, "one text that was copied very often") for k in range(20_000)]
+    rng = random.Random(1)
+    shapes = ["xx", "XX", "Xx", "9x", "x9", "99", "X9", "x.", "X,", "x-x", "#", "x!"]
+    rows += [(100_000 + k, " ".join(rng.choices(shapes, k=30))) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sizes = []
+    fit = weak_quality._fit_scorer
+    monkeypatch.setattr(weak_quality, "_fit_scorer", lambda x, y, **o: sizes.append(len(y)) or fit(x, y, **o))
+    weak_quality.fit_quality(docs, max_rows=3000)
+    weak_quality.fit_quality(docs, max_rows=100)
+    assert sizes[0] >= 500 and 60 <= sizes[1] <= 150
+
+
 def test_quality_scores(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

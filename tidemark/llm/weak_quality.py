@@ -152,9 +152,10 @@ def _parts(text: str | None) -> tuple[bytes, list[bytes]]:
 def fit_quality(docs: DataFrame, text_col: str = "text", max_rows: int = 3000, dims: int = 2048) -> QualityModel:
     """Estimate the labellers on all documents and train the scorer on about ``max_rows`` of them.
 
-    ``max_rows`` bounds the scorer's training sample (rows whose text hash
-    falls below ``max_rows / count``); labeller statistics use every
-    document.  Documents without words take no part.  With no documents,
+    ``max_rows`` bounds the scorer's training sample: texts whose hash falls
+    below ``max_rows`` over the number of distinct texts (an estimate within
+    a few per cent), each once, so copies neither crowd nor empty it.
+    Labeller statistics use every document.  Documents without words take no part.  With no documents,
     the labellers stay at their prior and the scorer is constant.
     """
     texts = docs.select(F.col(text_col).alias("text"))
@@ -169,7 +170,8 @@ def fit_quality(docs: DataFrame, text_col: str = "text", max_rows: int = 3000, d
     counted = map_batches(texts, vote, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     counts = {r["pattern"]: r["n"] for r in counted.collect()}
     labels = fit_labellers(dict(sorted(counts.items())))
-    total = sum(counts.values())
+    worded = texts.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    total = worded.agg(F.approx_count_distinct(F.xxhash64("text"), 0.02)).first()[0]
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -185,7 +187,7 @@ def fit_quality(docs: DataFrame, text_col: str = "text", max_rows: int = 3000, d
             )
 
     share = 1 << 30 if total <= max_rows else (max_rows << 30) // total
-    chosen = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
+    chosen = worded.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share)
     # equal texts share a hash: keep one row of each, or copies could swamp the sample
     rows = (
         map_batches(chosen, sample, "pattern string, slots array<long>, shares array<float>")
