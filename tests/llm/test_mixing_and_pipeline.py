@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -16,7 +17,7 @@ def n_words(text):
 
 @pytest.mark.parametrize(
     "target",
-    [MixTarget(entropy=0.9995, max_epochs=2.5, bucket_rows=3), MixTarget(budget=9_000, max_epochs=1.2), MixTarget(entropy=0.0)],
+    [MixTarget(entropy=0.9995, max_epochs=2.5), MixTarget(budget=9_000, max_epochs=1.2), MixTarget(entropy=0.0)],
 )
 def test_streams_hold_the_budget(spark, target):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("source < 'src15' OR doc_id % 2 = 0")
@@ -41,6 +42,70 @@ def test_streams_hold_the_budget(spark, target):
     assert Counter(r["doc_id"] for r in mix_documents(docs, target).select("doc_id").collect()) == used
 
 
+def plain_weights(tokens, target):
+    """Exponent and weights worked out with plain bisection over the sources' token counts."""
+    total = sum(tokens.values())
+    share = {s: n / total for s, n in tokens.items()}
+
+    def weights(a):
+        z = sum(p**a for p in share.values())
+        return {s: p**a / z for s, p in share.items()}
+
+    entropy = lambda a: -sum(w * math.log(w) for w in weights(a).values())
+
+    def largest(ok):
+        if ok(1.0):
+            return 1.0
+        low, high = 0.0, 1.0
+        for _ in range(60):
+            low, high = ((low + high) / 2, high) if ok((low + high) / 2) else (low, (low + high) / 2)
+        return low
+
+    exponent = largest(lambda a: entropy(a) >= target.entropy * math.log(len(tokens)))
+    most = max(tokens, key=tokens.get)
+    budget = lambda a: target.budget or tokens[most] / weights(a)[most]
+    epochs = lambda a: max(budget(a) * weights(a)[s] / n for s, n in tokens.items())
+    if epochs(exponent) > target.max_epochs:
+        low, high = exponent, 1.0
+        for _ in range(60):
+            low, high = ((low + high) / 2, high) if epochs((low + high) / 2) > target.max_epochs else (low, (low + high) / 2)
+        exponent = high
+    return weights(exponent), budget(exponent)
+
+
+@pytest.mark.parametrize(
+    "target",
+    [MixTarget(), MixTarget(entropy=0.9, max_epochs=50), MixTarget(entropy=0.99, max_epochs=3), MixTarget(entropy=0.8, max_epochs=1.3, budget=900)],
+)
+def test_exponent_and_weights_match_plain_bisection(spark, target):
+    tokens = {"a": 700, "b": 90, "c": 31, None: 150, "d": 4}
+    rows = [(k, s, "w " * (n // 2 + part)) for k, (s, n) in enumerate(tokens.items()) for part in (0, n % 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    weights, budget = plain_weights(tokens, target)
+    got = {r["source"]: r for r in source_weights(docs, target).collect()}
+    assert {s: r["tokens"] for s, r in got.items()} == tokens
+    for source, r in got.items():
+        assert abs(r["weight"] - weights[source]) < 1e-5
+        assert abs(r["budget"] - budget * weights[source]) <= 1.51 + 1e-4 * budget
+
+
+def test_many_rows_without_id_or_of_one_id_are_spread(spark, monkeypatch):
+    from tidemark.llm import mixing
+
+    written = {}
+    real = mixing.materialize
+    monkeypatch.setattr(mixing, "materialize", lambda df, name: written.setdefault(name, real(df, name)))
+    rows = [(None if k % 2 else 7, "hot", "the same text") for k in range(18_000)] + [(k, "hot", f"text {k}") for k in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    mixed = mixed_rows(docs)
+    at = sorted((r["at"], r["n_tokens"]) for r in mixed.collect())
+    assert len(at) == 20_000 and at[0][0] == 0
+    assert all(a + n == b for (a, n), (b, _) in zip(at, at[1:], strict=False))
+    place = written["mix-permuted"].selectExpr("shiftright(_place, 33) AS part").groupBy("part").count()
+    sizes = [r["count"] for r in place.collect()]
+    assert len(sizes) > 1 and max(sizes) < 2 * 20_000 / len(sizes)
+
+
 def test_awkward_rows(spark):
     docs = edges.docs(spark)
     mixed = mix_documents(docs)

@@ -8,9 +8,10 @@ Weights are realised as whole and partial epochs of each source: every epoch
 is a pseudo-random permutation of the source, and the stream of a source is
 cut into blocks that each hold its weight's part of a fixed token budget.
 
-A source's running token sum is a two-level prefix sum: epochs are cut into
-hash buckets, bucket totals are summed up in a small table, and rows only
-within their bucket, so a source with a third of all rows is spread out.
+A source's running token sum is a two-level prefix sum: the permuted copies
+are range-partitioned, the totals of a source's parts are summed up in a small
+table, and rows only within their part.  A source, an id or a text that holds
+a third of all rows is spread over as many parts as any other rows.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.columns import words_of
 from tidemark.operators.lineage import materialize
+from tidemark.operators.ranking import PLACE_BITS
 
 #: Rows with NULL source are a source of their own.
 SOURCE_KEY = "_mix_source"
-BITS = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -42,7 +43,6 @@ class MixTarget:
     max_epochs: float = 1.5
     budget: int | None = None
     block_tokens: int = 1 << 20
-    bucket_rows: int = 4096
     seed: int = 7
 
 
@@ -151,23 +151,24 @@ def mixed_rows(
         F.col(source_col).alias("source"),
         F.coalesce(F.xxhash64(F.col(source_col)), F.lit(0)).alias(SOURCE_KEY),
         token_count(F.col(text_col)).alias("n_tokens"),
+        F.xxhash64(F.col(text_col)).alias("_text"),
+        F.monotonically_increasing_id().alias("_tie"),
     )
     copies = _epoch_rows(rows, weights)
-    order = F.pmod(F.xxhash64("doc_id", "_epoch", F.lit(target.seed)), F.lit(BITS))
-    buckets = F.greatest(F.ceil(F.col("_docs") / target.bucket_rows), F.lit(1))
-    copies = copies.select(
-        "doc_id", "source", SOURCE_KEY, "n_tokens", "_budget", "_weight", "_tokens",
-        F.col("_epoch").alias("epoch"),
-        order.alias("_order"),
-        F.coalesce(F.floor(order * buckets / F.lit(BITS)).cast("int"), F.lit(0)).alias("_bucket"),
-    )
+    # a tie number tells copies of one id and text apart, which are alike in all that the result shows
+    order = F.xxhash64("doc_id", "epoch", F.lit(target.seed))
+    copies = copies.withColumnRenamed("_epoch", "epoch").withColumn("_order", order).drop("_docs")
+    keys = [SOURCE_KEY, "epoch", "_order", "doc_id", "n_tokens", "_text", "_tie"]
     copies = materialize(copies, "mix-copies")
-    keys = [SOURCE_KEY, "epoch", "_bucket"]
-    totals = copies.groupBy(*keys).agg(F.sum("n_tokens").alias("_n"))
-    running = W.partitionBy(SOURCE_KEY).orderBy("epoch", "_bucket").rowsBetween(W.unboundedPreceding, -1)
-    bases = totals.select(*keys, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_base"))
-    within = W.partitionBy(*keys).orderBy("_order", "doc_id", "n_tokens").rowsBetween(W.unboundedPreceding, -1)
-    placed = copies.withColumn("_own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(bases, keys)
+    permuted = copies.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_text", "_tie", "_order")
+    permuted = materialize(permuted.withColumn("_place", F.monotonically_increasing_id()), "mix-permuted")
+    part = [SOURCE_KEY, "_part"]
+    permuted = permuted.withColumn("_part", F.shiftright("_place", PLACE_BITS))
+    totals = permuted.groupBy(*part).agg(F.sum("n_tokens").alias("_n"))
+    running = W.partitionBy(SOURCE_KEY).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    bases = totals.select(*part, F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_base"))
+    within = W.partitionBy(*part).orderBy("_place").rowsBetween(W.unboundedPreceding, -1)
+    placed = permuted.withColumn("_own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(bases, part)
     at = F.col("_base") + F.col("_own")
     # documents without words that hash behind the source's last word begin at its budget
     covered = F.lit(target.budget is None) | (F.col("_budget") >= F.col("_tokens"))
