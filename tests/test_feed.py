@@ -60,12 +60,14 @@ def test_reject_reason_order_and_strict_mode(spark):
         ("nasdaq", "stock", "aapl", "bad", "bad", " "),
         ("nasdaq", "stock", "aapl", "-1", "bad", "t"),
         ("nasdaq", "stock", "aapl", "385.10", "0", "t"),
+        ("nasdaq", "stock", "aapl", "1e1000001", "1", "t"),
+        ("nasdaq", "stock", "aapl", "1", " 2.5E-99999999999 ", "t"),
         ("nasdaq", "stock", " aapl\t", "385.10", "34132320", "t"),
     ]
     tagged = feed.with_reject_reason(_records(spark, rows)).collect()
     assert [r["reject_reason"] for r in tagged] == list(feed.REASONS) + ["accepted"]
     accepted, rejected = feed.normalize(_records(spark, rows), batch_id="b", ingestion_time="now", strict=False)
-    assert accepted.count() + rejected.count() == len(rows)
+    assert accepted.count() + rejected.count() == len(rows) == 9
     a = accepted.first()
     assert (a["symbol"], a["price"], a["volume"], a["batch_id"]) == ("AAPL", "385.10", "34132320", "b")
     with pytest.raises(DataQualityError):
@@ -120,3 +122,27 @@ def test_strict_build_stops_on_ticker_errors(spark, tmp_path, product, payload):
     tickers = spark.createDataFrame([(product, payload)], "product_id string, payload string")
     with pytest.raises(DataQualityError):
         jobs.feed_build(None, tickers, feeds.product_symbols(spark), str(tmp_path / "out"))
+
+
+def test_products_of_the_caller_are_joined_without_a_forced_broadcast(spark):
+    tickers = feeds.parse_tickers(spark.createDataFrame([("P1", '{"price":"1","volume":"2","time":"t"}')], "product_id string, payload string"))
+    own = spark.createDataFrame([("P1", "S1")], "product_id string, symbol string")
+    hinted = lambda df: "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+    assert not hinted(feeds.map_products(tickers, own)) and hinted(feeds.map_products(tickers, feeds.product_symbols(spark)))
+    assert feeds.map_products(tickers, own).first()["symbol"] == "S1"
+
+
+def test_a_build_parses_every_payload_once(spark, tmp_path, monkeypatch):
+    from tidemark.plans import jobs
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        calls.add(1)
+        return text
+
+    payload = '{"price":"10.5","volume":"2","time":"2031-01-01T00:00:00Z"}'
+    texts = spark.createDataFrame([("BTC-USD", payload)] * 20, "product_id string, payload string")
+    texts = texts.withColumn("payload", F.udf(seen)("payload"))
+    jobs.feed_build(None, texts, feeds.product_symbols(spark), str(tmp_path / "out"), strict=True)
+    assert calls.value == 20 and spark.read.json(str(tmp_path / "out")).count() == 20

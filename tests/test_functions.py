@@ -88,3 +88,13 @@ def test_try_parsers(spark):
 def test_currency_text_is_whole(spark):
     text = _one(spark, fn.currency_text, [-1e60], "double")[0]
     assert text.startswith("-$1,000,000") and text.endswith(".00") and len(text) > 80
+
+
+def test_long_exponents(spark):
+    vals = ["1e99999", "1e100000", "7.50E+100000", "2e-0100000", "1e1000000", "1e1000001", "1e-1000001", "0e9999999", "1e99999999999999999999"]
+    got = _one(spark, fn.decimal_text, vals)
+    assert got[:2] == ["1" + "0" * 99_999, "1" + "0" * 100_000]
+    assert got[2] == "75" + "0" * 99_999 and got[3] == "0." + "0" * 99_999 + "2" and len(got[4]) == 1_000_001
+    assert got[5:] == [None] * 4
+    far = _one(spark, fn.decimal_too_far, [*vals, "1e5", "bad", None, "-1e9999999", "12"])
+    assert far == [False] * 5 + [True, True, False, True] + [False] * 5

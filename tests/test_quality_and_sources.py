@@ -87,3 +87,35 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 * 1024**4, cores=8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(1024, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_equal_key_sets_exchange_no_keys(spark):
+    from tidemark.operators.quality import differing_buckets, key_set_diff
+
+    a = spark.range(5000).selectExpr("id AS k", "CAST(id % 7 AS STRING) AS s")
+    same = a.orderBy(F.xxhash64("k")).repartition(3)
+    assert differing_buckets(a, same, ["k", "s"]).isEmpty()
+    diff = key_set_diff(a, same, ["k", "s"])
+    assert diff.count() == 0
+    # other keys, a key twice, a null key
+    other = a.where("k <> 17").unionByName(spark.createDataFrame([(9000, "x"), (3, "3"), (None, "n")], "k long, s string"))
+    assert 1 <= differing_buckets(a, other, ["k", "s"]).count() <= 4
+    got = {(r["side"], r["k"], r["s"]) for r in key_set_diff(a, other, ["k", "s"]).collect()}
+    assert got == {("missing", 17, "3"), ("unexpected", 9000, "x"), ("unexpected", None, "n")}
+    twice = a.unionByName(a.where("k < 3"))
+    assert key_set_diff(a, twice, ["k", "s"]).count() == 0  # sets, however often a key is there
+
+
+def test_first_and_last_need_no_sort_aggregate(spark):
+    import datetime as dt
+
+    from tidemark.plans import analytics
+
+    at = dt.datetime(2026, 7, 1)
+    rows = [("A", "stock", 1.0, 1.0, at, 2**63 - 1), ("A", "stock", 2.0, 1.0, at, -(2**63)), ("A", "stock", 3.0, 1.0, at, 5),
+            ("B", "stock", 4.0, 1.0, dt.datetime(1900, 1, 1), 1), ("B", "stock", 5.0, 1.0, at, 0), ("B", "stock", 6.0, 1.0, at, 0)]
+    ticks = spark.createDataFrame(rows, "symbol string, asset_type string, price double, volume double, event_time timestamp, event_id long")
+    for plan in (analytics.candles(ticks), analytics.symbol_performance(ticks), analytics.trend_ma(ticks)):
+        assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+    ends = {r["symbol"]: (r["first_price"], r["last_price"]) for r in analytics.symbol_performance(ticks).collect()}
+    assert ends["A"] == (2.0, 1.0) and ends["B"][0] == 4.0 and ends["B"][1] in (5.0, 6.0)

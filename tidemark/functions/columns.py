@@ -88,8 +88,18 @@ def clean_number_text(col: ColumnOrName) -> Column:
     return strip_ws(F.translate(_c(col).cast("string"), "$,", ""))
 
 
-#: Longest exponent that is written out as plain digits.
-MAX_EXPONENT_DIGITS = 5
+#: Largest exponent whose digits are written out; a number beyond it has no plain text that a row could hold.
+MAX_EXPONENT = 1_000_000
+DECIMAL_FORM = r"^\+?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?$"
+
+
+def decimal_too_far(col: ColumnOrName) -> Column:
+    """Whether the text is a positive decimal whose exponent is beyond ``MAX_EXPONENT`` (FN-12 gives NULL for it)."""
+    text = strip_ws(_c(col).cast("string"))
+    exponent = F.regexp_extract(text, DECIMAL_FORM, 3)
+    digits = F.concat(F.regexp_extract(text, DECIMAL_FORM, 1), F.regexp_extract(text, DECIMAL_FORM, 2))
+    beyond = F.coalesce(F.abs(exponent.try_cast("bigint")) > MAX_EXPONENT, F.lit(True))
+    return F.coalesce((exponent != "") & digits.rlike("[1-9]") & beyond, F.lit(False))
 
 
 def decimal_text(col: ColumnOrName) -> Column:
@@ -98,14 +108,18 @@ def decimal_text(col: ColumnOrName) -> Column:
     Decided on the text alone, so neither size nor scale is limited: the value
     is positive if the digits hold one that is not 0 and there is no minus
     sign.  Scale is kept as written (``385.10`` stays ``385.10``); an exponent
-    of up to five digits shifts the point (``1.50e3`` → ``1500``,
-    ``1.5e-3`` → ``0.0015``); sign and redundant leading zeros go.
+    shifts the point (``1.50e3`` → ``1500``, ``1.5e-3`` → ``0.0015``); sign and
+    redundant leading zeros go.  Beyond an exponent of ``MAX_EXPONENT`` either
+    way the plain text would be larger than a field can be; such a number is
+    NULL here and is told apart by :func:`decimal_too_far`.
     """
-    form = r"^\+?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,%d}))?$" % MAX_EXPONENT_DIGITS
+    form = DECIMAL_FORM
 
     def parts(text: Column) -> Column:
         whole, fraction = F.regexp_extract(text, form, 1), F.regexp_extract(text, form, 2)
-        shift = F.coalesce(F.regexp_extract(text, form, 3).try_cast("int"), F.lit(0))
+        exponent = F.regexp_extract(text, form, 3)
+        shift = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("bigint"))
+        shift = F.when(F.abs(shift) <= MAX_EXPONENT, shift.cast("int"))
         return F.struct(F.concat(whole, fraction).alias("digits"), (F.length(whole) + shift).alias("point"))
 
     def shown(p: Column) -> Column:
@@ -113,7 +127,7 @@ def decimal_text(col: ColumnOrName) -> Column:
         before = F.when(point <= 0, F.lit("")).otherwise(F.left(F.rpad(digits, F.greatest(point, F.length(digits)), F.lit("0")), point))
         after = F.when(point <= 0, F.concat(F.repeat(F.lit("0"), -point), digits)).otherwise(F.substr(digits, point + 1))
         number = F.regexp_replace(F.concat(F.lit("0"), before), r"^0+([0-9])", "$1")
-        return F.when(digits.rlike("[1-9]"), F.concat_ws(".", number, F.when(after != "", after)))
+        return F.when(point.isNotNull() & digits.rlike("[1-9]"), F.concat_ws(".", number, F.when(after != "", after)))
 
     # each step is bound once; written out in place, its parts would be repeated many times over
     text = strip_ws(_c(col).cast("string"))

@@ -98,14 +98,41 @@ def unique_key(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
     )
 
 
+#: Buckets of the key fingerprints; the table of those that differ has at most as many rows.
+FINGERPRINT_BUCKETS = 1024
+_SECOND = 0x5EED  # seed of the second hash
+
+
+def _fingerprints(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    """Per key bucket: the number of keys and two sums of independent hashes, whatever the rows' order."""
+    wide = lambda h: F.sum(h.cast("decimal(20,0)"))
+    columns = [F.col(k) for k in keys]
+    hashed = df.select(F.xxhash64(*columns).alias("h"), F.xxhash64(F.lit(_SECOND), *columns).alias("g"))
+    buckets = hashed.groupBy(F.pmod("h", F.lit(FINGERPRINT_BUCKETS)).alias("bucket"))
+    return buckets.agg(F.struct(F.count(F.lit(1)).alias("n"), wide(F.col("h")).alias("h"), wide(F.col("g")).alias("g")).alias(side))
+
+
+def differing_buckets(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Buckets whose keys are not the same on both sides, or not as often there."""
+    both = _fingerprints(expected, keys, "e").join(_fingerprints(actual, keys, "a"), "bucket", "full")
+    return both.where(~F.col("e").eqNullSafe(F.col("a"))).select("bucket")
+
+
 def key_set_diff(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """JON-2: keys present on one side only, both directions, in one grouping.
+    """JON-2: keys present on one side only, both directions.
 
     Rows: ``(side, *keys)`` where side is ``missing`` (expected, not actual)
-    or ``unexpected`` (actual, not expected).  Both sides are flagged and
-    grouped together, so a key is shuffled once per task and side at most;
-    null keys are equal, as grouping has it.
+    or ``unexpected`` (actual, not expected); null keys are equal.
+
+    Order-free fingerprints of key buckets are compared first, so equal sides
+    exchange a row per bucket and task and no keys.  Only the keys of buckets
+    that differ are then flagged and grouped together, exactly.  Two sides
+    are taken as equal without a look at their keys where the count and both
+    64-bit sums of every bucket agree.
     """
+    differ = F.broadcast(differing_buckets(expected, actual, keys))
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(FINGERPRINT_BUCKETS)).alias("bucket")
+    expected, actual = (df.select(*keys, bucket).join(differ, "bucket", "left_semi") for df in (expected, actual))
     flagged = expected.select(*keys, F.lit(True).alias("_e")).unionByName(actual.select(*keys, F.lit(False).alias("_e")))
     sides = flagged.groupBy(*keys).agg(F.bool_or("_e").alias("_in_e"), F.bool_and("_e").alias("_only_e"))
     side = F.when(F.col("_only_e"), "missing").when(~F.col("_in_e"), "unexpected")

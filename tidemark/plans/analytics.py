@@ -35,7 +35,16 @@ TREND_DAYS = 7
 
 
 def _by_time() -> "F.Column":
-    return F.struct("event_time", "event_id")
+    """The order (event_time, event_id), NULLs first, as one number of fixed width.
+
+    A struct is no fixed-width aggregation buffer, so ``min_by`` over one plans
+    as a sort aggregate; over a decimal it stays a hash aggregate.  38 digits
+    hold the microseconds of any timestamp above the 20 digits of an id.
+    """
+    number = lambda n: F.lit(str(n)).cast("decimal(21,0)")
+    micros = F.coalesce(F.unix_micros("event_time"), F.lit(-(10**17) * 9)).cast("decimal(18,0)")
+    place = F.coalesce(F.col("event_id").cast("decimal(20,0)") + number(2**63 + 1), number(0))
+    return micros * number(10**20) + place
 
 
 def candles(ticks: DataFrame, width: str = "1 day") -> DataFrame:

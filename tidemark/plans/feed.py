@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import ALLOWED_ASSET_TYPES, ALLOWED_SOURCES
-from tidemark.functions import decimal_text, normalize_text
+from tidemark.functions import decimal_text, decimal_too_far, normalize_text
 from tidemark.operators.quality import DataQualityError
 from tidemark.schemas import MARKET_FIELDS
 
@@ -36,6 +36,8 @@ REASONS = (
     "missing_event_time",
     "invalid_price",
     "invalid_volume",
+    "price_exponent_too_large",
+    "volume_exponent_too_large",
 )
 
 
@@ -56,22 +58,26 @@ def normalized_columns(df: DataFrame) -> dict[str, Column]:
     }
 
 
-def reject_reason(cols: dict[str, Column]) -> Column:
-    """QA-14: first failing rule, or NULL when the record is accepted."""
+def reject_reason(df: DataFrame, cols: dict[str, Column]) -> Column:
+    """QA-14: first failing rule, or NULL when the record is accepted.
+
+    A number whose exponent is too large to write out is no invalid one; it has a reason of its own.
+    """
+    number = lambda name, invalid, far: F.when(decimal_too_far(_field(df, name)), far).otherwise(invalid)
     return (
         F.when(~cols["source"].isin(*ALLOWED_SOURCES), REASONS[0])
         .when(~cols["asset_type"].isin(*ALLOWED_ASSET_TYPES), REASONS[1])
         .when(cols["symbol"] == "", REASONS[2])
         .when(cols["event_time"] == "", REASONS[3])
-        .when(cols["price"].isNull(), REASONS[4])
-        .when(cols["volume"].isNull(), REASONS[5])
+        .when(cols["price"].isNull(), number("price", REASONS[4], REASONS[6]))
+        .when(cols["volume"].isNull(), number("volume", REASONS[5], REASONS[7]))
     )
 
 
 def with_reject_reason(df: DataFrame) -> DataFrame:
     """Rows of ``df`` with ``reject_reason`` (``accepted`` when every rule passes)."""
     cols = normalized_columns(df)
-    return df.withColumn("reject_reason", F.coalesce(reject_reason(cols), F.lit("accepted")))
+    return df.withColumn("reject_reason", F.coalesce(reject_reason(df, cols), F.lit("accepted")))
 
 
 def normalize(
@@ -90,7 +96,7 @@ def normalize(
     batch = batch_id or str(uuid.uuid4())
     stamp = ingestion_time or datetime.now(timezone.utc).isoformat()
     cols = normalized_columns(records)
-    reason = reject_reason(cols)
+    reason = reject_reason(records, cols)
     tagged = records.select(
         *[F.col(c) for c in records.columns],
         *[v.alias(f"_n_{k}") for k, v in cols.items()],

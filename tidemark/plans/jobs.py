@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as qa
+from tidemark.operators.lineage import materialize
 from tidemark.plans import dashboard, feed, market, market_checks, orders
 from tidemark.sinks import writers
 from tidemark.sources import feeds, files
@@ -178,6 +179,8 @@ def feed_build(
     """
     stocks = feeds.parse_daily_bars(bars) if bars is not None else None
     crypto = feeds.map_products(feeds.parse_tickers(tickers), products) if tickers is not None else None
+    # every payload is parsed once; errors, rejects and the batch are read from the parsed records
+    stocks, crypto = (materialize(p, "parsed-feed") if p is not None else None for p in (stocks, crypto))
     parsed = [p for p in (stocks, crypto) if p is not None]
     if strict and parsed:
         failed = feed.error_counts(*parsed).first()

@@ -8,12 +8,18 @@ from tidemark import functions as fn
 from tidemark.plans import market
 from tidemark.registry import query
 from tidemark.registry.market_queries import silver
-from tidemark.registry.sql import MARKET_CHAIN, RAW_FEED, with_ctes
+from tidemark.registry.sql import MARKET_CHAIN, RAW_FEED, plain_decimal, with_ctes
 from tidemark.sources import bindings
 
 WS = "' \t\n\r\x0b\x0c'"
 
 
+#: Feed prices, some of them written with a short, a long or a far too long exponent.
+EXPONENTS = """CASE WHEN event_id % 499 = 0 THEN '7.50E+100000' WHEN event_id % 501 = 0 THEN '+.2e-0100000'
+  WHEN event_id % 503 = 0 THEN '2e99999999999' WHEN event_id % 11 = 0 THEN price || 'e' || CAST(event_id % 40 - 20 AS STRING)
+  ELSE price END"""
+
+
 def _raw(spark, sf_dir):
     return bindings.raw_feed(spark, sf_dir)
 
@@ -105,16 +111,19 @@ def fn_bar_date_iso(spark, sf_dir):
     "fn_decimal_text",
     with_ctes(
         RAW_FEED,
-        select="SELECT event_id, "
-        f"CASE WHEN TRY_CAST(trim(price, {WS}) AS DECIMAL(38,18)) > 0 THEN trim(price, {WS}) END AS price, "
-        f"CASE WHEN TRY_CAST(trim(volume, {WS}) AS DECIMAL(38,18)) > 0 THEN trim(volume, {WS}) END AS volume "
-        "FROM raw_feed",
+        f"exponents AS (SELECT event_id, {EXPONENTS.replace('STRING', 'VARCHAR')} AS price, trim(volume, {WS}) AS volume FROM raw_feed)",
+        select=f"SELECT event_id, {plain_decimal('price')} AS price, {plain_decimal('volume')} AS volume, "
+        "price = '2e99999999999' AS too_far FROM exponents",
     ),
 )
 def fn_decimal_text(spark, sf_dir):
-    """FN-12: positive decimals as plain text (scale kept), everything else NULL."""
-    return _raw(spark, sf_dir).select(
-        "event_id", fn.decimal_text("price").alias("price"), fn.decimal_text("volume").alias("volume")
+    """FN-12: positive decimals as plain text (scale kept, exponents written out), everything else NULL."""
+    rows = _raw(spark, sf_dir).select("event_id", F.expr(EXPONENTS).alias("price"), "volume")
+    return rows.select(
+        "event_id",
+        fn.decimal_text("price").alias("price"),
+        fn.decimal_text("volume").alias("volume"),
+        fn.decimal_too_far("price").alias("too_far"),
     )
 
 

@@ -13,10 +13,28 @@ RUN_TS = "2031-02-03T04:05:06.000007+00:00"
 
 
 def positive_decimal(text: str) -> str:
-    """Positive decimal text of any size, on the text alone."""
+    """Positive decimal text with an exponent of at most a million either way."""
     return (
-        f"coalesce(regexp_matches({text}, '^[+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{{1,5}})?$') "
-        f"AND regexp_matches(regexp_replace({text}, '[eE].*$', ''), '[1-9]'), false)"
+        f"coalesce(regexp_matches({text}, '^[+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') "
+        f"AND regexp_matches(regexp_replace({text}, '[eE].*$', ''), '[1-9]') "
+        f"AND (NOT regexp_matches({text}, '[eE]') OR abs(TRY_CAST({exponent_of(text)} AS BIGINT)) <= 1000000), false)"
+    )
+
+
+def exponent_of(text: str) -> str:
+    return f"regexp_extract({text}, '[eE][+]?(-?[0-9]+)$', 1)"
+
+
+def plain_decimal(text: str) -> str:
+    """The plain digits of a positive decimal text, NULL for others."""
+    mantissa = f"regexp_replace(ltrim({text}, '+'), '[eE].*$', '')"
+    digits = f"replace({mantissa}, '.', '')"
+    point = f"(length(split_part({mantissa}, '.', 1)) + coalesce(TRY_CAST({exponent_of(text)} AS BIGINT), 0))"
+    before = f"CASE WHEN {point} <= 0 THEN '' ELSE left(rpad({digits}, CAST(greatest({point}, length({digits})) AS INT), '0'), {point}) END"
+    after = f"CASE WHEN {point} <= 0 THEN repeat('0', -{point}) || {digits} ELSE substr({digits}, {point} + 1) END"
+    return (
+        f"CASE WHEN {positive_decimal(text)} THEN concat_ws('.', "
+        f"regexp_replace('0' || {before}, '^0+([0-9])', '\\1'), nullif({after}, '')) END"
     )
 
 

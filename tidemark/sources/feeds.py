@@ -75,16 +75,17 @@ def parse_tickers(payloads: DataFrame, product: str = "product_id", payload: str
 
 def product_symbols(spark: SparkSession) -> DataFrame:
     """SRC-10: the fixed product → symbol dimension (size fixed by the constant map)."""
-    return spark.createDataFrame(list(CRYPTO_PRODUCTS.items()), "product_id string, symbol string")
+    fixed = spark.createDataFrame(list(CRYPTO_PRODUCTS.items()), "product_id string, symbol string")
+    return fixed.hint("broadcast")
 
 
 def map_products(tickers: DataFrame, products: DataFrame) -> DataFrame:
     """SRC-10: attach the feed symbol; unknown products get ``unknown_product``.
 
-    The dimension is broadcast: it is a constant-sized table, so the hint
-    cannot grow with the data, and the ticker side is never shuffled.
+    The fixed dimension carries its own broadcast hint; a table that the
+    caller brings is joined as its size at run time allows.
     """
-    joined = tickers.join(F.broadcast(products), "product_id", "left")
+    joined = tickers.join(products, "product_id", "left")
     keep = [c for c in tickers.columns if c not in ("product_id", "price", "volume", "event_time", "error")]
     return joined.select(
         *keep,
