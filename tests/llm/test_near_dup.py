@@ -6,7 +6,8 @@ import numpy as np
 
 from tests.llm import edges
 from tidemark.llm.components import connected_components
-from tidemark.llm.near_dup import drop_near_duplicates, near_duplicate_groups, shingle_set, signature
+from tidemark.llm import near_dup
+from tidemark.llm.near_dup import CELLS, drop_near_duplicates, near_duplicate_groups, rare_prefixes, shingle_set, signature
 
 
 def shingles(text):
@@ -114,3 +115,56 @@ def test_one_row_of_every_group_stays(spark):
     worded = sorted(((i or 0), t[0]) for i, t in left if t and t.strip())
     assert worded == [(0, "a"), (0, "c"), (2, "e"), (3, "b"), (4, "d"), (6, "f")]
     assert sorted((i or 0) for i, t in left if not (t and t.strip())) == [0, 0, 7, 7]
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_rare_prefixes_meet_in_every_linked_pair():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 1 << 62, 400, dtype=np.uint64)
+    sets = []
+    for _ in range(60):
+        base = rng.choice(pool, int(rng.integers(1, 60)), replace=False)
+        sets.append(np.unique(base))
+        for cut in (1, 3, 8):
+            sets.append(np.unique(np.append(base[cut:], rng.integers(0, 1 << 62, cut // 2, dtype=np.uint64))))
+    sets = [m for m in sets if len(m)]
+    counts = np.bincount((np.concatenate(sets) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+    found = [rare_prefixes(m, counts) for m in sets]
+    linked = 0
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            if i != j and len(x) <= len(y) and jaccard(set(x.tolist()), set(y.tolist())) >= 0.75:
+                (a, short), (b, _) = found[i], found[j]
+                assert set(a[short].tolist()) & set(b.tolist())
+                linked += 1
+    assert linked > 100
+
+
+def template_rows(n, seed=3):
+    """Documents that share a template of 45 words (similarity near 0.6, none linked) and a pair of near copies."""
+    rng = random.Random(seed)
+    template = [f"t{k}" for k in range(45)]
+    rows = [" ".join(template + [f"o{rng.randrange(10**9)}" for _ in range(13)]) for _ in range(n)]
+    return rows + [rows[0].replace("t0 ", "x "), rows[n // 2] + " end"]
+
+
+def test_a_common_template_deals_no_blocks(spark, monkeypatch):
+    dealt = {}
+    real = near_dup.materialize
+
+    def seen(df, name):
+        out = real(df, name)
+        if name in ("blocks", "rare-shingles"):
+            dealt[name] = out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "materialize", seen)
+    for n in (500, 2000):
+        rows = template_rows(n)
+        got = near_duplicate_groups(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)).collect()
+        names = {r["doc_id"]: r["component_id"] for r in got}
+        assert (names.pop(n), names.pop(n + 1)) == (0, n // 2) and all(k == v for k, v in names.items())
+        assert dealt["blocks"] <= 40 * n and dealt["rare-shingles"] <= 40 * n

@@ -12,12 +12,16 @@ No group is expanded into all its pairs:
 1. Equal sets are one node from the start.
 2. In each bucket every node is compared with the bucket's hub, the node with
    the largest buckets of its own; a node confirms the best hub it has.
-3. Only nodes of a bucket that are still in different components are compared
-   with each other, inside blocks of bounded size that carry the full sets;
-   a node leaves a block with at most one link to each other component.
-
-Step 3 covers every pair of a bucket that is not linked yet, so no candidate
-is dropped.  A pair of similarity 0.75 misses all bands with probability
+3. Nodes of a bucket that are still in different components have to be told
+   apart.  Two sets can only reach the threshold if the rarest shingles of
+   both, a fixed share of their sizes, have one in common; nodes that share
+   none with a node of another component are done, however many of them a
+   common template puts into one bucket.
+4. The others are compared inside blocks of bounded size that carry the full
+   sets; a node leaves a block with at most one link to each other component.
+
+Steps 3 and 4 cover every pair of a bucket that is not linked yet, so no
+candidate is dropped.  A pair of similarity 0.75 misses all bands with probability
 5e-6, and its sketch is ruled out with probability below 1e-7.
 """
 
@@ -47,6 +51,8 @@ SKETCH_LIMIT = 112
 BLOCK = 512
 #: Members that are sent with one copy of their hub's text.
 HUB_CHUNK = 1024
+#: Cells in which the shingles of open buckets are counted; a shared cell only makes a shingle look more common.
+CELLS = 1 << 20
 #: Parts in which the nodes of one component are named.
 SALT = 16
 
@@ -199,6 +205,15 @@ def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """``(band, size, most)`` of the buckets that still hold several components; ``most`` is the largest one."""
+    counts = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("band").agg(
+        F.count("*").alias("roots"), F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most")
+    )
+    return sizes.where("roots > 1").drop("roots")
+
+
 def _blocks(members: DataFrame) -> DataFrame:
     """Rows of the buckets that still hold several components, dealt to blocks of about BLOCK rows.
 
@@ -206,11 +221,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     all rows (``side`` 1).  Both sides are dealt by a hash, so a block holds
     at most BLOCK times BLOCK comparisons whatever the bucket's size.
     """
-    counts = members.groupBy("band", "root").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("band").agg(
-        F.count("*").alias("roots"), F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most")
-    )
-    open_ = sizes.where("roots > 1").select(
+    open_ = _open_buckets(members).select(
         "band",
         F.col("most.root").alias("main"),
         F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"),
@@ -227,8 +238,8 @@ def _blocks(members: DataFrame) -> DataFrame:
     return rest.union(every)
 
 
-def _with_sets(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Block rows with the full shingle set, the bands and the sketch of their node, computed once a node."""
+def _full_sets(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``nodes`` (node, root) with the full shingle set, the bands and the sketch, computed once a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
@@ -237,16 +248,69 @@ def _with_sets(rows: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("node"),
+                    part.column("root"),
                     pa.array([m.tobytes() for m in found], pa.binary()),
                     pa.array([s.bands.tobytes() for s in signed], pa.binary()),
                     pa.array([s.sketch.tobytes() for s in signed], pa.binary()),
                 ],
-                names=["node", "members", "bands", "sketch"],
+                names=["node", "root", "members", "bands", "sketch"],
             )
 
-    wanted = texts.join(rows.select("node").distinct(), "node").select("node", "text")
-    sets = materialize(map_batches(wanted, run, "node long, members binary, bands binary, sketch binary"), "open-sets")
-    return rows.join(sets, "node")
+    wanted = texts.join(nodes, "node").select("node", "root", "text")
+    return materialize(map_batches(wanted, run, "node long, root long, members binary, bands binary, sketch binary"), "open-sets")
+
+
+def rare_prefixes(members: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rarest shingles of a set by which a partner must show itself, and which of them count on its smaller side.
+
+    With the shingles in one order for all sets, a set of ``n`` shares one of
+    its first ``n - ceil(0.75 n) + 1`` with any partner, and one of its first
+    ``n - ceil(6 n / 7) + 1`` with any partner that is not smaller: those are
+    0.75 and 2 * 0.75 / 1.75 of it, the least overlaps with such partners.
+    Shingles that no other set can hold are left out.
+    """
+    n = len(members)
+    often = counts[members % np.uint64(CELLS)]
+    order = np.lexsort((members, often))[: n - -(-PERCENT * n // 100) + 1]
+    short = np.arange(len(order)) <= n - -(-2 * PERCENT * n // (100 + PERCENT))
+    shared = often[order] > 1
+    return members[order][shared], short[shared]
+
+
+def partnered(sets: DataFrame) -> DataFrame:
+    """The nodes that share one of their rarest shingles with a node of another component."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for members in batch.column("members").to_pylist():
+                total += np.bincount((np.frombuffer(members, np.uint64) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["cell", "n"])
+
+    cells = map_batches(sets.select("members"), count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    table = cells.toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, root = (batch.column(c).to_numpy() for c in ("node", "root"))
+            for k, members in enumerate(batch.column("members").to_pylist()):
+                rare, short = rare_prefixes(np.frombuffer(members, np.uint64), shared.value)
+                if len(rare):
+                    same = lambda v, n=len(rare): pa.array(np.full(n, v))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rare.view(np.int64)), same(node[k]), same(root[k]), pa.array(short)],
+                        names=["shingle", "node", "root", "short"],
+                    )
+
+    rows = map_batches(sets.select("node", "root", "members"), prefixes, "shingle long, node long, root long, short boolean")
+    rows = materialize(rows, "rare-shingles")
+    groups = rows.groupBy("shingle").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.bool_or("short").alias("any"))
+    met = groups.where("a <> b AND any").select("shingle")
+    return rows.join(met, "shingle", "left_semi").select("node").distinct()
 
 
 def link_block(rows: list[dict], band: int) -> list[tuple[int, int]]:
@@ -286,7 +350,10 @@ def link_block(rows: list[dict], band: int) -> list[tuple[int, int]]:
 
 def open_links(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Links ``(a, b)`` between different components that share a bucket, confirmed on the full sets."""
-    blocks = _with_sets(materialize(_blocks(members), "blocks"), texts)
+    opened = members.join(_open_buckets(members), "band", "left_semi").select("node", "root").distinct()
+    sets = _full_sets(opened, texts)
+    left = materialize(members.join(partnered(sets), "node", "left_semi").select("band", "node", "root"), "left-members")
+    blocks = materialize(_blocks(left), "blocks").join(sets.drop("root"), "node")
     keys = ["band", "i", "j"]
     dealt = blocks.repartition(*keys).sortWithinPartitions(*keys)
 
