@@ -143,7 +143,17 @@ def encoder(path: str, end_id: int) -> UnitEncoder:
 
 
 def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(folder if ":" in folder.split("/")[0] else f"file://{os.path.abspath(folder)}")
+    return pafs.FileSystem.from_uri(folder)
+
+
+def placed(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark itself writes it under.
+
+    A path without one belongs to the cluster's default file system, which
+    tasks can only know from Spark: a row written there tells.
+    """
+    spark.range(1, numPartitions=1).write.mode("overwrite").parquet(f"{folder}/place")
+    return spark.read.parquet(f"{folder}/place").inputFiles()[0].rsplit("/place/", 1)[0]
 
 
 def write_token_files(
@@ -161,7 +171,7 @@ def write_token_files(
     driver sees nothing else.  Rows with equal ids are ordered by their text.
     """
     spark = docs.sparkSession
-    folder = folder or staging_path(spark, "token-files")
+    folder = placed(spark, folder or staging_path(spark, "token-files"))
     job = uuid.uuid4().hex
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
