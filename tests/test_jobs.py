@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from tests.fixtures import LATEST_BATCH, ORDERS_CSV, SAMPLE_BATCH, write_jsonl
 from tidemark.plans import jobs
@@ -66,3 +67,19 @@ def test_bucketed_orders_validate_without_join_shuffles(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         jobs.cleanup(spark, "bkt", principal="tester")
+
+
+def test_checks_taken_while_writing_are_those_of_a_scan(spark, tmp_path):
+    root = tmp_path / "sample_data"
+    root.mkdir()
+    bad = [dict(SAMPLE_BATCH[0], ingestion_time=None), *SAMPLE_BATCH]
+    write_jsonl(root / "latest_market_batch.jsonl", bad)
+    names = jobs.market_job(spark, str(root), "obs", principal="tester")
+    key = lambda r: (r["table"], r["check"])
+    taken = jobs.market_validation(spark, "obs", principal="tester", strict=False)
+    counted = jobs.market_validation(spark, "obs", principal="tester", strict=False, rescan=True)
+    assert sorted(taken.collect(), key=key) == sorted(counted.collect(), key=key)
+    scans = lambda df: len(re.findall(rf"\.{names['silver']}\b", df._jdf.queryExecution().analyzed().toString()))
+    assert (scans(taken), scans(counted)) == (1, 2)
+    jobs.cleanup(spark, "obs", principal="tester")
+    assert not [r for r in spark.sql("SHOW TABLES").collect() if "_obs_" in r["tableName"]]

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -52,6 +52,29 @@ def rule_counts(
     )
 
 
+class Observed:
+    """Checks of a table taken while it is written, so that they cost no scan of their own.
+
+    The same figures as :func:`rule_counts`, from metrics that the writing
+    tasks carry; ``results`` waits for the write.  Put it on the very rows
+    that are written: metrics of a stage whose tasks may be run again for a
+    later shuffle could count rows twice.
+    """
+
+    def __init__(self, rules: Mapping[str, Column], table: str, sizes: Mapping[str, Column] | None = None):
+        self.table = table
+        self.counted = {n: F.count_if(F.coalesce(rule, F.lit(False))) for n, rule in rules.items()} | dict(sizes or {})
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.observation, *[v.alias(f"_v{i}") for i, v in enumerate(self.counted.values())])
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        found = self.observation.get
+        rows = [(self.table, n, int(found[f"_v{i}"]), not found[f"_v{i}"]) for i, n in enumerate(self.counted)]
+        return spark.createDataFrame(rows, "table string, check string, violations long, passed boolean")
+
+
 def at_least(n: int) -> Column:
     """QA-2: rows that are missing from a table of at least ``n``."""
     return F.greatest(F.lit(n) - F.count(F.lit(1)), F.lit(0))

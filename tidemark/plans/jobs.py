@@ -17,6 +17,7 @@ a lineage cut on shared storage and a failed step can be rerun alone.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +44,21 @@ def market_job(
     market_batch_file: str = "",
     principal: str | None = None,
 ) -> dict[str, str]:
-    """PIP-2: run the market medallion for one batch file; returns the table names."""
+    """PIP-2: run the market medallion for one batch file; returns the table names.
+
+    The checks of bronze, silver and the summary are taken while these are
+    written and kept in a table of their own for :func:`market_validation`.
+    """
     who = _principal(spark, principal)
     names = writers.market_table_names(bundle_target, who)
     path = files.first_batch(spark, sample_root, [market_batch_file] if market_batch_file else DEFAULT_BATCHES)
-    writers.overwrite_table(files.read_market_batch(spark, path), names["bronze"])
-    writers.overwrite_table(market.silver(spark.table(names["bronze"])), names["silver"])
+    checks = market_checks.observers()
+    writers.overwrite_table(checks["bronze"].watch(files.read_market_batch(spark, path)), names["bronze"])
+    writers.overwrite_table(checks["silver"].watch(market.silver(spark.table(names["bronze"]))), names["silver"])
     silver = spark.table(names["silver"])
-    writers.overwrite_table(market.gold_summary(silver), names["summary"])
+    writers.overwrite_table(checks["summary"].watch(market.gold_summary(silver)), names["summary"])
+    taken = [c.results(spark) for c in checks.values()]
+    writers.overwrite_table(reduce(DataFrame.unionByName, taken), writers.checks_table_name(names))
     writers.split_by_value(
         market.top_transactions(silver),
         "asset_type",
@@ -60,9 +68,13 @@ def market_job(
 
 
 def market_validation(
-    spark: SparkSession, bundle_target: str, principal: str | None = None, strict: bool = True
+    spark: SparkSession, bundle_target: str, principal: str | None = None, strict: bool = True, rescan: bool = False
 ) -> DataFrame:
-    """PIP-5 (market): all checks over the written tables; raises on failure when strict."""
+    """PIP-5 (market): all checks over the written tables; raises on failure when strict.
+
+    Checks that the job took while writing are read from its table; ``rescan``
+    counts them again from the tables, as is done where there are none.
+    """
     names = writers.market_table_names(bundle_target, _principal(spark, principal))
     t = {k: spark.table(v) for k, v in names.items()}
     from tidemark.schemas import (
@@ -82,7 +94,11 @@ def market_validation(
     for key, contract in contracts.items():
         missing, unexpected = qa.schema_contract(t[key], contract)
         qa.require(not missing and not unexpected, f"Unexpected {key} columns: {t[key].columns}")
-    res = market_checks.validation(t["bronze"], t["silver"], t["summary"], t["top_stocks"], t["top_crypto"])
+    taken = writers.checks_table_name(names)
+    if rescan or not spark.catalog.tableExists(taken):
+        res = market_checks.validation(t["bronze"], t["silver"], t["summary"], t["top_stocks"], t["top_crypto"])
+    else:
+        res = market_checks.validation_of_written(spark.table(taken), t["silver"], t["top_stocks"], t["top_crypto"])
     return qa.enforce(res) if strict else res
 
 
@@ -131,9 +147,9 @@ def orders_validation(
 def cleanup(spark: SparkSession, bundle_target: str, principal: str | None = None) -> list[str]:
     """SNK-5: drop every market and orders table of the tenant."""
     who = _principal(spark, principal)
-    names = list(writers.order_table_names(bundle_target, who).values()) + list(
-        writers.market_table_names(bundle_target, who).values()
-    )
+    market_names = writers.market_table_names(bundle_target, who)
+    names = [*writers.order_table_names(bundle_target, who).values(), *market_names.values()]
+    writers.drop_tables(spark, [writers.checks_table_name(market_names)])
     return writers.drop_tables(spark, names)
 
 

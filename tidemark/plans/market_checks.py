@@ -50,6 +50,26 @@ def topk_checks(top: DataFrame, asset_type: str, table: str) -> DataFrame:
     return qa.rule_counts(top, topk_rules(asset_type), table, {"max_rows": qa.at_most(TOP_K)})
 
 
+def observers() -> dict[str, qa.Observed]:
+    """The checks of bronze, silver and gold that can be taken while these are written."""
+    return {
+        "bronze": qa.Observed({}, "bronze_market_events", {"non_empty": qa.at_least(1)}),
+        "silver": qa.Observed(silver_rules(), "silver_market_ticks", {"non_empty": qa.at_least(1)}),
+        "summary": qa.Observed(gold_rules(), "gold_market_summary", {"non_empty": qa.at_least(1)}),
+    }
+
+
+def validation_of_written(observed: DataFrame, silver: DataFrame, top_stock: DataFrame, top_crypto: DataFrame) -> DataFrame:
+    """The suite where the checks of :func:`observers` are at hand; silver is read for its keys only."""
+    parts = [
+        observed,
+        qa.unique_key(silver, list(DEDUP_KEYS), "silver_market_ticks"),
+        topk_checks(top_stock, "stock", "gold_top_stock_transactions"),
+        topk_checks(top_crypto, "crypto", "gold_top_crypto_transactions"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def validation(
     bronze: DataFrame,
     silver: DataFrame,

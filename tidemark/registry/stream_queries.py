@@ -28,6 +28,7 @@ from tidemark.registry.sql import (
 from tidemark.session import staging_path
 from tidemark.sinks import writers
 from tidemark.sources import bindings
+from tidemark.sources.landing import save_schema
 from tidemark.streaming import market_stream as ms
 
 def _midpoint(spark: SparkSession, df: DataFrame, day: "F.Column") -> "F.Column":
@@ -104,6 +105,56 @@ def stream_bronze_append(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+CUT = 24  # characters left of a line that was cut off
+
+
+def _changed_lines(rows: DataFrame, changed: "F.Column") -> DataFrame:
+    """The feed as JSON lines; in the ``changed`` rows some have another field, an id as text, or are cut off."""
+    fields = [c for c in rows.columns if c != "event_id"]
+    venue = F.when(changed & (F.col("event_id") % 5 == 0), F.concat(F.lit("v"), (F.col("event_id") % 3).cast("string")))
+    line = lambda event_id: F.to_json(F.struct(*fields, event_id.alias("event_id"), venue.alias("venue")))
+    text = F.when(changed & (F.col("event_id") % 17 == 0), line(F.concat(F.lit("id-"), F.col("event_id").cast("string"))))
+    text = F.coalesce(text, line(F.col("event_id")))
+    cut = changed & (F.col("event_id") % 331 == 0)
+    return rows.select(F.when(cut, F.left(text, F.lit(CUT))).otherwise(text).alias("value"), "ingestion_time")
+
+
+_SECOND = f"NOT ({_first_half_sql(FEED_DAY, 'raw_feed')})"
+_BROKEN = "second AND event_id % 331 = 0"
+
+
+@query(
+    "stream_rescued_fields",
+    with_ctes(
+        RAW_FEED,
+        f"""marked AS (SELECT *, {_SECOND} AS second FROM raw_feed),
+flagged AS (SELECT *, {_BROKEN} AS broken, second AND event_id % 17 = 0 AS retyped, second AND event_id % 5 = 0 AS added FROM marked)""",
+        select="SELECT "
+        + ", ".join(
+            f"CASE WHEN NOT broken THEN {c} END AS {c}"
+            for c in ("source", "asset_type", "symbol", "price", "volume", "event_time", "ingestion_time", "batch_id")
+        )
+        + f""", CASE WHEN NOT broken AND NOT retyped THEN event_id END AS event_id,
+  CASE WHEN broken THEN left('{{"source":"' || source || '","asset_type":"' || asset_type || '"', {CUT})
+    WHEN retyped AND added THEN '{{"event_id":"id-' || event_id || '","venue":"v' || (event_id % 3) || '"}}'
+    WHEN retyped THEN '{{"event_id":"id-' || event_id || '"}}'
+    WHEN added THEN '{{"venue":"v' || (event_id % 3) || '"}}' END AS _rescued,
+  CASE WHEN second THEN 'batch-2' ELSE 'batch-1' END AS source_file FROM flagged""",
+    ),
+)
+def stream_rescued_fields(spark, sf_dir):
+    """SRC-11: lines landed under the schema on file; the second batch has fields that it does not know."""
+    root = staging_path(spark, "stream_rescue")
+    save_schema(spark, ms.FEED_SCHEMA, f"{root}/schemas")
+    rows = bindings.raw_feed(spark, sf_dir)
+    first = _midpoint(spark, rows, _feed_day())
+    for batch, lines in ((1, _changed_lines(rows.where(first), F.lit(False))), (2, _changed_lines(rows.where(~first), F.lit(True)))):
+        lines.select("value").write.text(f"{root}/landing/batch-{batch}")
+        stream = ms.read_landing_stream(spark, f"{root}/landing/*", f"{root}/schemas")
+        _drain(stream, ms.append_epochs(f"{root}/bronze"), f"{root}/_checkpoint")()
+    return ms.read_epochs(spark, f"{root}/bronze")
+
+
 BATCH_OF_ROW = f"CASE WHEN {_first_half_sql(FEED_DAY, 'raw_feed')} THEN 'batch-1' ELSE 'batch-2' END"
 LANDED = f"""bronze AS (
   SELECT source, asset_type, symbol, price, volume, event_time, ingestion_time, batch_id,

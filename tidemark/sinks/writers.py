@@ -150,6 +150,11 @@ def market_table_names(bundle_target: str, principal: str) -> dict[str, str]:
     return {k: f"{p}_{suffix}" for k, p in zip(keys, MARKET_TABLE_PREFIXES)}
 
 
+def checks_table_name(names: dict[str, str]) -> str:
+    """Where the market job keeps the checks taken while it wrote the tables ``names``."""
+    return f"checks_{names['silver']}"
+
+
 def order_table_names(bundle_target: str, principal: str) -> dict[str, str]:
     suffix = suffix_of(bundle_target, principal)
     return {k: f"{p}_{suffix}" for k, p in zip(("bronze", "silver"), ORDER_TABLE_PREFIXES)}

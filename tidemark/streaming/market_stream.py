@@ -37,6 +37,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tidemark.plans import analytics, market
 from tidemark.schemas import MARKET_SCHEMA
 from tidemark.sinks.buckets import BucketTable
+from tidemark.sources.landing import parse_landed, stored_schema
 
 FEED_SCHEMA = StructType(MARKET_SCHEMA.fields + [StructField("event_id", LongType())])
 
@@ -65,6 +66,15 @@ def read_feed_stream(
     return reader.json(landing)
 
 
+def read_landing_stream(spark: SparkSession, landing: str, schemas: str) -> DataFrame:
+    """ST-1 source under the schema on file: bronze rows with lineage, unknown and retyped fields rescued."""
+    _, schema = stored_schema(spark, schemas)
+    if schema is None:
+        raise FileNotFoundError(f"no schema under {schemas}")
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("source_file")
+    return parse_landed(spark.readStream.text(landing), schema, folder)
+
+
 def append_epochs(table: str, *partition_by: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer: one folder per trigger, replaced whole if the trigger is retried."""
 
