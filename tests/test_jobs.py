@@ -79,7 +79,7 @@ def test_checks_taken_while_writing_are_those_of_a_scan(spark, tmp_path):
     taken = jobs.market_validation(spark, "obs", principal="tester", strict=False)
     counted = jobs.market_validation(spark, "obs", principal="tester", strict=False, rescan=True)
     assert sorted(taken.collect(), key=key) == sorted(counted.collect(), key=key)
-    scans = lambda df: len(re.findall(rf"\.{names['silver']}\b", df._jdf.queryExecution().analyzed().toString()))
+    scans = lambda df: len(re.findall(rf"SubqueryAlias \S+\.{names['silver']}\b", df._jdf.queryExecution().analyzed().toString()))
     assert (scans(taken), scans(counted)) == (1, 2)
     jobs.cleanup(spark, "obs", principal="tester")
     assert not [r for r in spark.sql("SHOW TABLES").collect() if "_obs_" in r["tableName"]]
