@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import DASH_BRONZE_LIMIT, DASH_SUMMARY_LIMIT, DASH_TOP_LIMIT
 
+# --- FIXED VALUES: columns of the four extracts -----------------------------------------
 BRONZE_COLS = (
     "source",
     "asset_type",

@@ -15,6 +15,7 @@ from tidemark.constants import ALLOWED_ASSET_TYPES, ALLOWED_SOURCES, DEDUP_KEYS,
 from tidemark.operators import quality as qa
 from tidemark.schemas import MARKET_FIELDS
 
+# --- FIXED VALUES: columns that may not be NULL -----------------------------------------
 SILVER_REQUIRED = MARKET_FIELDS
 GOLD_REQUIRED = ("symbol", "asset_type", "latest_price", "volume", "last_updated")
 

@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# --- FIXED VALUES: fields of the market feed, in the order of its records --------------
 MARKET_FIELDS = (
     "source",
     "asset_type",
@@ -32,6 +33,7 @@ MARKET_FIELDS = (
 # enforced by file sources, so QA checks it instead.
 MARKET_SCHEMA = StructType([StructField(name, StringType(), nullable=False) for name in MARKET_FIELDS])
 
+# --- FIXED VALUES: the orders extract ---------------------------------------------------
 ORDERS_SCHEMA = StructType(
     [
         StructField("order_id", LongType(), nullable=False),
@@ -41,6 +43,7 @@ ORDERS_SCHEMA = StructType(
     ]
 )
 
+# --- FIXED VALUES: vendor payloads ------------------------------------------------------
 # Vendor daily-bar payload: {"status": {"rCode": 200}, "data": {"tradesTable": {"rows": [...]}}}
 BAR_ROW_SCHEMA = StructType(
     [
@@ -75,46 +78,7 @@ TICKER_SCHEMA = StructType(
     ]
 )
 
-# --- column contracts (sets; order ignored) -------------------------------------------
-BRONZE_MARKET_COLUMNS = frozenset(MARKET_FIELDS + ("source_file",))
-SILVER_MARKET_COLUMNS = frozenset(MARKET_FIELDS + ("source_file",))
-GOLD_SUMMARY_COLUMNS = frozenset(
-    (
-        "symbol",
-        "asset_type",
-        "latest_price",
-        "previous_price",
-        "price_change",
-        "price_change_percent",
-        "volume",
-        "high",
-        "low",
-        "last_updated",
-    )
-)
-TOP_TRANSACTION_COLUMNS = frozenset(
-    (
-        "rank",
-        "source",
-        "asset_type",
-        "symbol",
-        "price",
-        "volume",
-        "transaction_value",
-        "event_time",
-        "ingestion_time",
-        "batch_id",
-        "source_file",
-    )
-)
-BRONZE_ORDER_COLUMNS = frozenset(
-    ("order_id", "customer", "status", "amount", "source_file", "ingested_at_utc")
-)
-SILVER_ORDER_COLUMNS = frozenset(
-    ("order_id", "customer", "amount", "amount_bucket", "source_file", "ingested_at_utc")
-)
-
-# Column order of the gold outputs (the contracts above are sets).
+# --- FIXED VALUES: columns of the layers, in their output order ------------------------
 GOLD_SUMMARY_ORDER = (
     "symbol",
     "asset_type",
@@ -140,4 +104,15 @@ TOP_TRANSACTION_ORDER = (
     "batch_id",
     "source_file",
 )
+BRONZE_ORDER_COLUMNS = frozenset(
+    ("order_id", "customer", "status", "amount", "source_file", "ingested_at_utc")
+)
+SILVER_ORDER_COLUMNS = frozenset(
+    ("order_id", "customer", "amount", "amount_bucket", "source_file", "ingested_at_utc")
+)
 
+# Column contracts: the same columns, order ignored.
+BRONZE_MARKET_COLUMNS = frozenset(MARKET_FIELDS + ("source_file",))
+SILVER_MARKET_COLUMNS = BRONZE_MARKET_COLUMNS
+GOLD_SUMMARY_COLUMNS = frozenset(GOLD_SUMMARY_ORDER)
+TOP_TRANSACTION_COLUMNS = frozenset(TOP_TRANSACTION_ORDER)
