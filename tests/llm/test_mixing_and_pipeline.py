@@ -149,3 +149,53 @@ def test_pipeline_stages_against_the_operators(spark):
     for name, stage in pipeline.STAGES[:4]:
         assert stage(spark, edges.docs(spark), SF_SMALL).columns == edges.docs(spark).columns, name
         assert stage(spark, edges.empty(spark), SF_SMALL).count() == 0, name
+
+
+def _table(spark, rows, folder):
+    rows.write.mode("overwrite").parquet(str(folder / "documents.parquet"))
+    spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").write.mode("overwrite").parquet(str(folder / "benchmark.parquet"))
+    return str(folder)
+
+
+def test_whole_pipeline_against_brute_force(spark, tmp_path):
+    """Every stage but the classifier and the draw of the copies worked out plainly on what the stage before kept."""
+    import zlib
+
+    import numpy as np
+
+    import corpus_pipeline as pipeline
+    from tests.llm.test_decontam import brute as hits
+    from tests.llm.test_near_dup import brute as groups
+    from tests.llm.test_tokens import library
+    from tidemark.llm.decontam import words
+    from tidemark.llm.weak_quality import drop_low_quality
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(120)
+    sf_dir = _table(spark, docs, tmp_path)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in drop_low_quality(docs).collect()]
+    kept = {i for i, (_, c) in groups(rows).items() if i == c}
+    items = [(str(r["item_id"]), words(r["text"])) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    texts = {i: t for i, t in rows if i in kept and not hits(words(t), items, 10)[0]}
+    assert 0 < len(texts) < len(rows) < docs.count()
+    got = sorted(pipeline.run(spark, sf_dir).collect(), key=lambda r: r["start"])
+    left = docs.where(docs["doc_id"].isin(list(texts)))
+    copies = Counter(r["doc_id"] for r in mix_documents(left).select("doc_id").collect())
+    assert Counter(r["doc_id"] for r in got) == copies and set(copies) == set(texts)
+    at, tool = 0, library("word_bpe_49k.json")
+    assert [r["doc_id"] for r in got] == sorted(r["doc_id"] for r in got)
+    for r in got:
+        ids = np.array([*tool.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 1], "<u4")
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
+def test_whole_pipeline_on_awkward_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline as pipeline
+
+    got = pipeline.run(spark, _table(spark, edges.docs(spark), tmp_path / "odd"))
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert {r["doc_id"] for r in got.collect()} <= {r[0] for r in edges.rows()}
+    assert pipeline.run(spark, _table(spark, edges.empty(spark), tmp_path / "none")).count() == 0
+    for stage in (s for _, s in pipeline.STAGES[4:]):
+        assert stage(spark, edges.docs(spark), SF_SMALL).count() == len(edges.rows())
