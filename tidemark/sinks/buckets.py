@@ -65,6 +65,8 @@ class BucketTable:
             rows = rows.unionByName(self._stored(spark, held).select(*rows.columns))
         if touched:
             merged = self.merge(rows).withColumn(BUCKET, bucket)
+            # buckets are balanced, being hashes of whole keys: one task and one file each
+            merged = merged.repartition(len(touched), BUCKET)
             merged.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/epoch={epoch}")
         versions |= dict.fromkeys(touched, epoch)
         listed = spark.createDataFrame(sorted(versions.items()), f"{BUCKET} int, held long")
