@@ -73,3 +73,8 @@ def test_token_counts_of_awkward_rows(spark):
     assert sorted((r["n_bytes"], r["n_tokens"]) for r in got) == expected
     assert all(r["over_limit"] == (r["n_tokens"] > 1024) for r in got)
     assert token_counts(edges.empty(spark)).count() == 0
+
+
+def test_vocabularies_that_cannot_be_cut_are_refused():
+    with pytest.raises(ValueError, match="folds case"):
+        UnitEncoder(vocabulary_path("byte_bpe_50k.json"), 0)

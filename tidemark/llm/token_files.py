@@ -78,6 +78,14 @@ class UnitEncoder:
         self.end = np.array([end_id], self.dtype).tobytes()
         self.units, self.words = Memo(), Memo()
         self.marks = {mark: self._alone(mark) for mark in ".,"}
+        self.check()
+
+    def check(self) -> None:
+        """Vocabularies that cannot be cut at blanks and last marks are an error."""
+        probe = "The cat's 12 Dogs, in the U.S.\nhello.World  (x), it's 3.5 \t\xc4pfel. Caf\xe9, end."
+        whole = self._alone(probe) + self.end
+        if self.encode([probe]) != [whole]:
+            raise ValueError("not a vocabulary that folds case, drops blanks and splits off full stops and commas")
 
     def _alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
