@@ -78,3 +78,24 @@ def test_token_counts_of_awkward_rows(spark):
 def test_vocabularies_that_cannot_be_cut_are_refused():
     with pytest.raises(ValueError, match="folds case"):
         UnitEncoder(vocabulary_path("byte_bpe_50k.json"), 0)
+
+
+def test_units_of_known_words_need_no_library():
+    """Case and last marks are no reason to encode a word again; a full memo goes on with its last batch."""
+    tool = UnitEncoder(vocabulary_path("word_bpe_49k.json"), 1)
+    texts = ["Some WORDS, here!\nHere?! words... Élan.", "so;e"]
+    expected = [np.array([*library("word_bpe_49k.json").encode(t, add_special_tokens=False).ids, 1], "<u2").tobytes() for t in texts]
+    assert tool.encode(["here words some élan x! x?! x, x. x..."]) and tool.encode(["so;e"])
+    tool.model = tool.tokenizer = None
+    assert tool.encode(texts) == expected
+
+
+def test_a_full_memo_keeps_what_its_last_batch_needs(monkeypatch):
+    from tidemark.llm import token_files
+
+    monkeypatch.setattr(token_files, "MAX_CACHED", 20)
+    tool, texts = UnitEncoder(vocabulary_path("word_bpe_49k.json"), 1), [f"Word{chr(97 + k)}, it's {'y' * 70}! x{k}." for k in range(26)]
+    expected = [np.array([*library("word_bpe_49k.json").encode(t, add_special_tokens=False).ids, 1], "<u2").tobytes() for t in texts]
+    assert tool.encode(texts) == expected and tool.encode(texts) == expected
+    assert max(map(len, tool.known)) <= token_files.MAX_UNIT
+    assert all(tool.encode([t]) == [e] for t, e in zip(texts, expected, strict=True)) and len(tool.known) < 60

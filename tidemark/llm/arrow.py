@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -46,6 +47,23 @@ def text_slices(batches: Iterator[pa.RecordBatch], *names: str, max_bytes: int =
             yield batch.slice(start)
 
 
+def gathered(
+    ids: list[bytes], index: np.ndarray, counts: np.ndarray, dtype: np.dtype, end: bytes | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The token ids of a batch in one array, and the borders of its texts.
+
+    Text ``k`` is the next ``counts[k]`` places of ``index`` into ``ids``, closed by ``end``.
+    """
+    if end is not None:
+        index, counts, ids = np.insert(index, np.cumsum(counts), len(ids)), counts + 1, [*ids, end]
+    taken = pa.array(ids, pa.large_binary()).take(pa.array(index))
+    _, ends, data = taken.buffers()
+    places = np.frombuffer(ends, np.int64, len(taken) + 1) if len(taken) else np.zeros(1, np.int64)
+    borders = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    flat = np.frombuffer(data, dtype, int(places[-1]) // dtype.itemsize) if places[-1] else np.zeros(0, dtype)
+    return flat, places[borders] // dtype.itemsize
+
+
 def vocabulary_path(name: str) -> str:
     """A vocabulary file: ``name`` itself where it is a path, else the installed public file of that name."""
     if os.sep in name:

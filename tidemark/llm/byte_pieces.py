@@ -44,6 +44,13 @@ _BYTES = "".join(chr(b if b in _VISIBLE else 0x100 + _HIDDEN.index(b)) for b in
 _ODD_PIECE = r"(?:^|[\s\x0b\x1c-\x1f\x{85}\p{Z}])$|<\|"
 #: Units remembered in a worker, and the longest of them.
 MAX_CACHED, MAX_UNIT = 300_000, 64
+#: Marks that are split off the end of a word; a run of them is one pre-token.
+MARKS = ".,;:!?"
+
+
+def byte_text(text: str) -> str:
+    """``text`` as byte-level vocabularies write it, one character for each byte."""
+    return charmap_decode(text.encode(), "strict", _BYTES)[0]
 
 
 class BytePieces:
@@ -78,7 +85,7 @@ class BytePieces:
         parts = _PRE_TOKENS.findall("".join(units))
         own, model = {}, self.model
         for part in set(parts):
-            own[part] = array("I", [t.id for t in model(charmap_decode(part.encode(), "strict", _BYTES)[0])]).tobytes()
+            own[part] = array("I", [t.id for t in model(byte_text(part))]).tobytes()
         ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
         cuts = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, units), np.int64, len(units))), "right").tolist()
         ids, out, a = [own[p] for p in parts], [], 0

@@ -17,55 +17,39 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.arrow import text_slices, vocabulary_path
+from tidemark.llm.arrow import BATCH_BYTES, gathered, map_batches, text_slices, vocabulary_path
+from tidemark.llm.byte_pieces import MARKS, byte_text
 from tidemark.llm.columns import text_rows
 from tidemark.session import staging_path
 
 #: Stands for a NULL document id in ``.doc`` files (such rows come first).
 NULL_ID = -(2**63)
-#: Characters that Python counts as blank and the tokenizers' patterns do not.
-ODD_BLANKS = ("\x1c", "\x1d", "\x1e", "\x1f")
-MAX_CACHED, MAX_UNIT = 400_000, 64
-
-
-class Memo:
-    """A bounded memo: when it is full, what was not used since the last time goes."""
-
-    def __init__(self) -> None:
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def missing(self, keys: set[str]) -> list[str]:
-        """The keys that are not known; those of the old generation become new again."""
-        if len(self.new) > MAX_CACHED:
-            self.old, self.new = self.new, {}
-        out = []
-        for key in keys.difference(self.new):
-            if (value := self.old.get(key)) is None:
-                out.append(key)
-            else:
-                self.new[key] = value
-        return out
+#: Units remembered in a worker, and the longest of them.
+MAX_CACHED, MAX_UNIT = 800_000, 64
 
 
 class UnitEncoder:
-    """Encodes texts with the tokenizers library, each distinct blank-separated unit once.
+    """Encodes batches of texts with the tokenizers library, each distinct unit between ASCII blanks once.
 
     Exact for vocabularies whose patterns fold case, drop blanks and span
-    neither blanks nor the border between a letter and a full stop or comma:
-    the ids of a text are then those of its units in order, and the ids of a
-    unit those of its folded word and of its last mark.  Folding is left to
-    the library beyond Latin-1 and wherever a special string might stand.
+    neither blanks nor the border between a letter and a mark: the ids of a
+    text are then those of its units in order, and the ids of a unit those of
+    its folded word and of its last marks.  A Latin-1 word of
+    letters is one pre-token and goes straight to the library's model;
+    everything else, and what might hold a special string, goes through the
+    whole library.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -73,22 +57,30 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model.tokenize
         top = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id)
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
-        self.end = np.array([end_id], self.dtype).tobytes()
-        self.units, self.words = Memo(), Memo()
-        self.marks = {mark: self._alone(mark) for mark in ".,"}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.end = self._raw([end_id])
+        self.known: dict[str, bytes] = {"": b""}
         self.check()
 
     def check(self) -> None:
         """Vocabularies that cannot be cut at blanks and last marks are an error."""
-        probe = "The cat's 12 Dogs, in the U.S.\nhello.World  (x), it's 3.5 \t\xc4pfel. Caf\xe9, end."
-        whole = self._alone(probe) + self.end
-        if self.encode([probe]) != [whole]:
+        probe = "The cat's 12 Dogs, in the U.S.\nhello.World  (x), it's 3.5: so?! one; \t\xc4pfel. Caf\xe9, \xaa\xb5\xdf end."
+        whole = [self._alone(probe) + self.end]
+        try:
+            same = self.encode([probe]) == whole
+        except Exception:  # a model of another kind may refuse the vocabulary's byte characters
+            same = False
+        if not same:
             raise ValueError("not a vocabulary that folds case, drops blanks and splits off full stops and commas")
 
+    def _raw(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
     def _alone(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self._raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _joined(self, words: list[str]) -> list[bytes]:
         """Ids of Latin-1 words without blanks: one call for many, cut apart by the tokens' offsets."""
@@ -96,45 +88,66 @@ class UnitEncoder:
         for at in range(0, len(words), 2000):
             part = words[at : at + 2000]
             found = self.tokenizer.encode("\n".join(part), add_special_tokens=False)
-            raw = np.array(found.ids, self.dtype).tobytes()
+            raw = self._raw(found.ids)
             begins = np.array([b for b, _ in found.offsets], np.int64)
             borders = np.cumsum([0, *(len(w) + 1 for w in part)])
             cuts = (np.searchsorted(begins, borders) * self.dtype.itemsize).tolist()
             out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
-    def _learn(self, units: set[str]) -> list[str]:
-        """Make all ``units`` known; returns the long ones, which are not to be kept."""
-        new = self.units.missing(units)
-        plain = [u for u in new if (u.isascii() or _latin(u)) and "<|" not in u and len(u) <= MAX_UNIT]
-        ids = self.units.new
-        other = set(new).difference(plain) if len(plain) < len(new) else set()
-        for unit in other:
-            ids[unit] = self._alone(unit)
-        if not plain:
-            return [u for u in other if len(u) > MAX_UNIT]
-        folded = "\n".join(plain).lower().split("\n")
-        words = [w[:-1] if w[-1] in ".," and w[-2:-1].isalpha() else w for w in folded]
-        missing = self.words.missing(set(words))
-        known, marks = self.words.new, self.marks
-        known.update(zip(missing, self._joined(missing), strict=True))
-        for unit, whole, word in zip(plain, folded, words, strict=True):
-            ids[unit] = known[word] if len(whole) == len(word) else known[word] + marks[whole[-1]]
-        return [u for u in other if len(u) > MAX_UNIT]
+    def units(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units without ASCII blanks."""
+        known, model, code = self.known, self.model, self.code
+        out = list(map(known.get, units))
+        rest = []
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            unit = units[k]
+            body = unit.rstrip(MARKS)
+            if not body.isalpha() or len(unit) > MAX_UNIT or not (body.isascii() or _latin(body)):
+                rest.append(k)
+                continue
+            word = body.lower()
+            ids = known.get(word)
+            if ids is None:
+                ids = array(code, [t.id for t in model(word if word.isascii() else byte_text(word))]).tobytes()
+                known[word] = ids
+            if len(body) < len(unit):
+                ids += self._marks(unit[len(body) :])
+            known[unit] = out[k] = ids
+        if rest:
+            special = "<|" in "".join([units[k] for k in rest])
+            plain = [u for u in (units[k] for k in rest) if len(u) <= MAX_UNIT and _latin(u) and not (special and "<|" in u)]
+            known.update(zip(plain, self._joined(plain), strict=True))
+            for k in rest:
+                unit = units[k]
+                out[k] = known[unit] if unit in known else self._alone(unit)
+                if len(unit) <= MAX_UNIT:
+                    known[unit] = out[k]
+        if len(known) > MAX_CACHED:  # go on with those of this batch
+            self.known = {"": b""} | {u: ids for u, ids in zip(units, out, strict=True) if len(u) <= MAX_UNIT}
+        return out
+
+    def _marks(self, marks: str) -> bytes:
+        """Ids of a run of marks, which is one pre-token."""
+        ids = self.known.get(marks)
+        if ids is None:
+            ids = self._alone(marks)
+            if len(marks) <= MAX_UNIT:
+                self.known[marks] = ids
+        return ids
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a batch in one array, and the borders of its texts; NULL is empty, the end id closes each."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = pc.list_flatten(lists).dictionary_encode()
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        return gathered(self.units(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), index, counts, self.dtype, self.end)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, with the end id, as bytes."""
-        odd = [any(c in t for c in ODD_BLANKS) for t in texts]
-        rows = [[] if o else t.split() for o, t in zip(odd, texts, strict=True)]
-        long = self._learn(set().union(*rows))
-        get = self.units.new.__getitem__
-        out = [b"".join(map(get, row)) + self.end for row in rows]
-        for unit in long:
-            del self.units.new[unit]
-        for k, o in enumerate(odd):
-            if o:
-                out[k] = self._alone(texts[k]) + self.end
-        return out
+        flat, stops = self.encode_batch(pa.array(texts, pa.string()))
+        return [flat[a:b].tobytes() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
 
 
 def _latin(text: str) -> bool:
@@ -189,15 +202,14 @@ def write_token_files(
         store.create_dir(root, recursive=True)
         names = {kind: f"{root}/part-{part:06d}.{kind}" for kind in ("ids", "off", "doc")}
         streams, at, n_docs = {}, 0, 0
-        for piece in text_slices(batches):
+        for piece in text_slices(batches, max_bytes=BATCH_BYTES):
             if not streams:
                 streams = {k: store.open_output_stream(f"{n}.{job}-{attempt}") for k, n in names.items()}
                 streams["off"].write(np.zeros(1, "<u8").tobytes())
-            rows = tool.encode(piece.column("text").to_pylist())
-            ends = at + np.cumsum([len(r) // tool.dtype.itemsize for r in rows], dtype=np.uint64)
-            at, n_docs = int(ends[-1]), n_docs + len(rows)
-            streams["ids"].write(b"".join(rows))
-            streams["off"].write(ends.astype("<u8").tobytes())
+            flat, stops = tool.encode_batch(piece.column("text"))
+            streams["ids"].write(flat.tobytes())
+            streams["off"].write((at + stops[1:]).astype("<u8").tobytes())
+            at, n_docs = at + int(stops[-1]), n_docs + piece.num_rows
             ids = piece.column("doc_id").fill_null(NULL_ID).to_numpy(zero_copy_only=False)
             streams["doc"].write(ids.astype("<i8").tobytes())
         for kind, stream in streams.items():
@@ -215,7 +227,7 @@ def write_token_files(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
     ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    written = ordered.mapInArrow(write, "part long, n_docs long, n_tokens long, width long").collect()
+    written = map_batches(ordered, write, "part long, n_docs long, n_tokens long, width long").collect()
     manifest, base = [], 0
     for shard in sorted((r.asDict() for r in written), key=lambda r: r["part"]):
         manifest.append(shard | {"base": base})
