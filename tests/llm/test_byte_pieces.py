@@ -51,3 +51,23 @@ def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         BytePieces(vocabulary_path("word_bpe_49k.json"))
     assert byte_pieces(NAME).encode(pa.array([], pa.string()))[0].dtype == np.uint32
+
+
+def test_pieces_of_known_words_need_no_library():
+    """Last marks and line breaks are no reason to encode a word again."""
+    tool, texts = BytePieces(vocabulary_path(NAME)), ["So here, a word?! élan.\nNext word.", "So a\nNext!"]
+    tool.encode(pa.array(["So a here word élan x, x?! x. x!\nNext x", "Next"]), 0)
+    tool.model = tool.tokenizer = None
+    ids, stops = tool.encode(pa.array(texts), 0)
+    assert [ids[a:b].tolist() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)] == library(texts, 0)
+
+
+def test_a_full_memo(monkeypatch):
+    from tidemark.llm import byte_pieces as module
+
+    monkeypatch.setattr(module, "MAX_CACHED", 20)
+    tool, texts = BytePieces(vocabulary_path(NAME)), [f"W{k} word{chr(97 + k)}, it's {'y' * 70}!\n{'z' * 70}\nEnd {'v' * 70}." for k in range(26)]
+    for part in (texts, texts, texts[:1], texts[3:9]):
+        ids, stops = tool.encode(pa.array(part), 0)
+        assert [ids[a:b].tolist() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)] == library(part, 0)
+    assert max(len(u) for known in tool.known.values() for u in known) <= module.MAX_UNIT

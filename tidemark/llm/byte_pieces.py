@@ -3,8 +3,9 @@
 A pre-token of the vocabulary's pattern never holds a blank after a
 non-blank, so a text may be cut before each blank that follows a non-blank.
 A batch is split at spaces by an Arrow kernel and coded as a dictionary; each
-distinct piece is encoded once by the tokenizers library, many of them in one
-call, and the ids of the batch are gathered from those of its pieces.  Texts
+distinct piece is encoded once by the tokenizers library, apart from its last
+marks and from what follows a line break, and the ids of the batch are
+gathered from those of its pieces.  Texts
 in which a space follows another blank are cut by a pattern instead, and texts
 with special strings are left to the library whole.
 """
@@ -21,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tidemark.llm.arrow import vocabulary_path
+from tidemark.llm.arrow import gathered, vocabulary_path
 
 #: The library's blanks; Python's ``isspace`` takes four control characters more.
 _BLANK = r"\t-\r \x85\xa0  -     　"
@@ -43,7 +44,7 @@ _BYTES = "".join(chr(b if b in _VISIBLE else 0x100 + _HIDDEN.index(b)) for b in
 #: A piece between spaces that is empty, ends with a blank of either kind or may hold a special string.
 _ODD_PIECE = r"(?:^|[\s\x0b\x1c-\x1f\x{85}\p{Z}])$|<\|"
 #: Units remembered in a worker, and the longest of them.
-MAX_CACHED, MAX_UNIT = 300_000, 64
+MAX_CACHED, MAX_UNIT = 800_000, 64
 #: Marks that are split off the end of a word; a run of them is one pre-token.
 MARKS = ".,;:!?"
 
@@ -62,7 +63,9 @@ class BytePieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model.tokenize
-        self.known: dict[str, bytes] = {}
+        #: Ids of units that follow a space, without it, and of those that do not.
+        self.known: dict[str, dict[str, bytes]] = {" ": {}, "": {}}
+        self.line_break = self._alone(["\n"])[0]
         self.check()
 
     def check(self) -> None:
@@ -94,45 +97,68 @@ class BytePieces:
             a = b
         return out
 
-    def units(self, units: list[str]) -> list[bytes]:
-        """Ids of distinct units, each encoded as a text of its own."""
-        if len(self.known) > MAX_CACHED:
-            self.known.clear()
-        known = self.known
-        new = [u for u in units if u not in known]
-        joint = "".join(new)
-        special, beyond = "<|" in joint, not joint.isascii()
-        plain = [
-            u
-            for u in new
-            if u[:1] == " " and not u[-1].isspace() and not (special and "<|" in u) and not (beyond and _BEYOND_LATIN.search(u))
-        ]
-        fresh = dict(zip(plain, self._joined(plain), strict=True))
-        if len(plain) < len(new):
-            other = [u for u in new if u not in fresh]
-            fresh.update(zip(other, self._alone(other), strict=True))
-        known.update(fresh)
-        out = list(map(known.__getitem__, units))
-        for unit in fresh:
-            if len(unit) > MAX_UNIT:
-                del known[unit]
+    def _learn(self, units: list[str], lead: str) -> None:
+        """Make units without line breaks between words known; ``lead`` is what stands before them."""
+        known, model, bare = self.known[lead], self.model, self.known[""]
+        ascii_lead = "\u0120" if lead else ""
+        joined, other = [], []
+        for unit in units:
+            if unit in known:
+                continue
+            word = unit.rstrip(MARKS)
+            if not word.isalpha() or len(unit) > MAX_UNIT or not (plain := word.isascii()) and _BEYOND_LATIN.search(word):
+                simple = lead and unit and not unit[-1].isspace() and "<|" not in unit and not _BEYOND_LATIN.search(unit)
+                (joined if simple else other).append(unit)
+                continue
+            ids = known.get(word)
+            if ids is None:
+                ids = array("I", [t.id for t in model(ascii_lead + word if plain else byte_text(lead + word))]).tobytes()
+                known[word] = ids
+            if len(word) < len(unit):
+                marks = unit[len(word) :]
+                if marks not in bare:
+                    bare[marks] = self._alone([marks])[0]
+                known[unit] = ids + bare[marks]
+        if joined:
+            known.update(zip(joined, self._joined([lead + u for u in joined]), strict=True))
+        if other:
+            known.update(zip(other, self._alone([lead + u for u in other]), strict=True))
+
+    def units(self, units: list[str], lead: str) -> list[bytes]:
+        """Ids of distinct units, each encoded as a text of its own that begins with ``lead`` (a space or nothing)."""
+        known = self.known[lead]
+        out = list(map(known.get, units))
+        new = [k for k, ids in enumerate(out) if ids is None]
+        if not new:
+            return out
+        # a single line break between words is a pre-token of its own
+        lines = {k: p for k in new if "\n" in units[k] and (p := _lines(units[k]))}
+        self._learn([units[k] for k in new if k not in lines] + [p[0] for p in lines.values()], lead)
+        self._learn([word for p in lines.values() for word in p[1:]], "")
+        bare = self.known[""]
+        for k, (first, *rest) in lines.items():
+            known[units[k]] = self.line_break.join([known[first], *map(bare.__getitem__, rest)])
+        for k in new:
+            out[k] = known[units[k]]
+        for unit in {w for k in new if len(units[k]) > MAX_UNIT for w in (units[k], *lines.get(k, ())) if len(w) > MAX_UNIT}:
+            known.pop(unit, None), bare.pop(unit, None)
+        if sum(map(len, self.known.values())) > MAX_CACHED:  # go on with those of this batch
+            self.known = {" ": {}, "": {}} | {lead: {u: ids for u, ids in zip(units, out, strict=True) if len(u) <= MAX_UNIT}}
         return out
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch in one array, and the borders of its texts; NULL is empty, ``end_id`` closes each."""
         lists = pc.split_pattern(texts.fill_null(""), " ")
         coded = pc.list_flatten(lists).dictionary_encode()
-        pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        pieces, index = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         borders = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))]).astype(np.int64)
         first = borders[:-1]
         odd_piece = pc.match_substring_regex(coded.dictionary, pattern=_ODD_PIECE).to_numpy(zero_copy_only=False)
         odd = np.add.reduceat(odd_piece[index].astype(np.int64), first) > 0 if len(first) else np.zeros(0, bool)
-        # slots: pieces after a space, then first pieces and the units of odd texts, then the end
-        units = [" " + p for p in pieces]
+        # slots: pieces after a space, then first pieces and the units of odd texts
         more: dict[str, int] = {}
-        slot = lambda u: more.setdefault(u, len(units) + len(more))
-        begin = index[first].tolist()
-        index[first] = [slot(pieces[b]) for b in begin]
+        slot = lambda u: more.setdefault(u, len(pieces) + len(more))
+        index[first] = [slot(pieces[k]) for k in index[first].tolist()]
         counts = np.diff(borders)
         rows = np.flatnonzero(odd).tolist()
         if rows:
@@ -143,19 +169,16 @@ class BytePieces:
                 parts += [index[last : borders[row]], np.array([slot(u) for u in own], np.int64)]
                 last, counts[row] = borders[row + 1], len(own)
             index = np.concatenate([*parts, index[last:]])
-        ids = self.units([*units, *more])
-        if end_id is not None:
-            index = np.insert(index, np.cumsum(counts), len(ids))
-            counts = counts + 1
-            ids.append(np.uint32(end_id).tobytes())
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        length = sizes[index]
-        ends = np.cumsum(length)
-        place = np.repeat(starts[index] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
-        stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return flat[place], stops
+            for k in np.flatnonzero(odd_piece).tolist():  # nothing refers to them any more
+                pieces[k] = ""
+        end = None if end_id is None else np.uint32(end_id).tobytes()
+        return gathered([*self.units(pieces, " "), *self.units([*more], "")], index, counts, np.dtype(np.uint32), end)
+
+
+def _lines(unit: str) -> list[str] | None:
+    """The words of a unit that are parted by single line breaks and hold no other blank at their ends."""
+    words = unit.split("\n")
+    return words if "<|" not in unit and all(w and not (w[0].isspace() or w[-1].isspace()) for w in words) else None
 
 
 @lru_cache(maxsize=2)
