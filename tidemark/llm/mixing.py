@@ -160,7 +160,9 @@ def mixed_rows(
     copies = copies.withColumnRenamed("_epoch", "epoch").withColumn("_order", order).drop("_docs")
     keys = [SOURCE_KEY, "epoch", "_order", "doc_id", "n_tokens", "_text", "_tie"]
     copies = materialize(copies, "mix-copies")
-    permuted = copies.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_text", "_tie", "_order")
+    # a stated number of partitions: one source or id is spread even where the rows are few enough to be coalesced
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    permuted = copies.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).drop("_text", "_tie", "_order")
     permuted = materialize(permuted.withColumn("_place", F.monotonically_increasing_id()), "mix-permuted")
     part = [SOURCE_KEY, "_part"]
     permuted = permuted.withColumn("_part", F.shiftright("_place", PLACE_BITS))
